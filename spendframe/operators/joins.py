@@ -29,15 +29,28 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
     return F.broadcast(df) if size is not None and size <= limit else df
 
 
+# In-memory rows are wider than compressed parquet; the scan estimate is scaled by this.
+EXPANSION = 4
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             bounded: bool = False) -> DataFrame:
+             bounded: bool = False, size_proxy: DataFrame | None = None) -> DataFrame:
     """Many-to-one join of fact to a dimension whose key is unique.
 
     ``bounded=True`` marks a dimension whose row count does not grow with the data
     (fixed lookup rows, the date spine); it is always broadcast.  Others are
-    broadcast only under the size check, else shuffled on the key.
+    broadcast only under the size check, else shuffled on the key (AQE may still
+    switch to broadcast at run time).  ``size_proxy`` is the dimension's own base-table
+    scan: Catalyst's estimate of a dimension that itself joins small lookups
+    multiplies sizes and is useless, while a scan estimate is the file size.
     """
-    side = F.broadcast(dim) if bounded else broadcast_if_small(dim)
+    if bounded:
+        side = F.broadcast(dim)
+    else:
+        size = estimated_bytes(size_proxy if size_proxy is not None else dim)
+        ok = size is not None and size * (EXPANSION if size_proxy is not None else 1) \
+            <= BROADCAST_LIMIT_BYTES
+        side = F.broadcast(dim) if ok else dim
     return fact.join(side, on=on, how=how)
 
 

@@ -46,7 +46,7 @@ BASE_COLS = {"date", "year", "client_key", "card_key", "mcc", "channel", "channe
              "errors", "is_approved", "ok", "outcome_key", "outcome", "outcome_class",
              "fraud_key", "fraud_status", "is_labelled", "is_fraud", "lab", "fr", "amount",
              "month_no", "month_year", "month_year_sort", "month_start", "month", "quarter",
-             "quarter_key", "order_key", "line_number"}
+             "quarter_key", "order_key", "line_number", "timestamp"}
 PART_COLS = {"category", "category_group"}
 CLIENT_COLS = {"merchant_state", "location", "location_type", "state_code", "country",
                "credit_score", "credit_score_band", "credit_score_band_sort", "income_band",
@@ -103,6 +103,7 @@ class Star:
     def __init__(self, spark: SparkSession, src: str):
         self.spark, self.src = spark, src
         self.t = Tables(spark, src)
+        self._mat = _MATERIALIZED.get((id(spark._jsparkSession), src))
 
     # ------------------------------------------------------------------ fixed lookups
     @cached_property
@@ -110,71 +111,106 @@ class Star:
         return self.spark.createDataFrame(K.US_STATES, "_state_code string, _state_name string")
 
     # ------------------------------------------------------------------ fact
-    def base(self) -> DataFrame:
-        li = self.t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                    "l_quantity", "l_extendedprice", "l_returnflag")
-        o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-                                 "o_orderpriority")
-        f = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    @staticmethod
+    def raw_expressions() -> dict:
+        """Columns computed straight from lineitem + orders (first projection)."""
         date = F.col("o_orderdate").cast("date")
         price = F.col("l_extendedprice").cast(MONEY)
         errors = F.when(F.col("o_orderstatus") != "P", F.lit(None).cast("string")).otherwise(
             F.element_at(F.array(*[F.lit(e) for e in ERROR_BY_LINE]),
                          (F.pmod(F.col("l_linenumber"), F.lit(4)) + 1).cast("int")))
-        fk = (F.when(F.col("l_returnflag") == "R", F.lit(2))
-              .when(F.col("l_returnflag") == "A", F.lit(1)).otherwise(F.lit(0)))
-        f = f.select(
-            F.col("l_orderkey").alias("order_key"),
-            F.col("l_linenumber").alias("line_number"),
-            date.alias("date"),
-            F.col("o_custkey").alias("client_key"),
-            F.col("l_suppkey").alias("card_key"),
-            F.col("l_partkey").alias("mcc"),
-            F.col("o_orderpriority").alias("channel"),
-            F.when(F.col("o_orderpriority").isin(*NOT_PRESENT_CHANNELS), F.lit("Card not present"))
-             .otherwise(F.lit("Card present")).alias("channel_type"),
-            errors.alias("errors"),
-            fk.alias("fraud_key"),
-            F.when(F.col("l_quantity") <= 2, -price).otherwise(price).alias("amount"),
-        )
+        rf = F.col("l_returnflag")
+        fk = F.when(rf == "R", F.lit(2)).when(rf == "A", F.lit(1)).otherwise(F.lit(0))
+        return {
+            "order_key": F.col("l_orderkey"),
+            "line_number": F.col("l_linenumber"),
+            "date": date,
+            "timestamp": F.col("o_orderdate"),
+            "client_key": F.col("o_custkey"),
+            "card_key": F.col("l_suppkey"),
+            "mcc": F.col("l_partkey"),
+            "channel": F.col("o_orderpriority"),
+            "channel_type": F.when(F.col("o_orderpriority").isin(*NOT_PRESENT_CHANNELS),
+                                   F.lit("Card not present")).otherwise(F.lit("Card present")),
+            "errors": errors,
+            "fraud_key": fk,
+            "amount": F.when(F.col("l_quantity") <= 2, -price).otherwise(price),
+        }
+
+    @staticmethod
+    def derived_expressions() -> dict:
+        """Columns derived from the first projection (error text, fraud key, date)."""
         oc = outcome_columns(F.col("errors"))
-        f = f.select("*", *[v.alias(k) for k, v in oc.items()])
-        f = f.withColumn("is_approved", F.when(F.col("outcome_key") == 0, "Yes").otherwise("No"))
-        status = (F.when(F.col("fraud_key") == 2, K.FRAUD_STATUS[2][1])
-                  .when(F.col("fraud_key") == 1, K.FRAUD_STATUS[1][1])
+        ok = F.coalesce(F.col("errors"), F.lit("")) == ""
+        fk = F.col("fraud_key")
+        status = (F.when(fk == 2, K.FRAUD_STATUS[2][1]).when(fk == 1, K.FRAUD_STATUS[1][1])
                   .otherwise(K.FRAUD_STATUS[0][1]))
         d = F.col("date")
-        return f.select(
-            "*",
-            (F.col("outcome_key") == 0).alias("ok"),
-            (F.col("fraud_key") > 0).alias("lab"),
-            (F.col("fraud_key") == 2).alias("fr"),
-            status.alias("fraud_status"),
-            F.when(F.col("fraud_key") > 0, "Yes").otherwise("No").alias("is_labelled"),
-            F.when(F.col("fraud_key") == 2, "Yes").otherwise("No").alias("is_fraud"),
-            F.year(d).cast("bigint").alias("year"),
-            F.month(d).cast("bigint").alias("month_no"),
-            F.date_format(d, "MMM yyyy").alias("month_year"),
-            (F.year(d) * 100 + F.month(d)).cast("bigint").alias("month_year_sort"),
-            F.trunc(d, "MM").alias("month_start"),
-            F.date_format(d, "yyyy-MM").alias("month"),
-            F.concat(F.lit("Q"), F.quarter(d).cast("string")).alias("quarter"),
-            (F.year(d) * 10 + F.quarter(d)).cast("bigint").alias("quarter_key"),
-        )
+        return {
+            **oc,
+            "is_approved": F.when(ok, "Yes").otherwise("No"),
+            "ok": ok,
+            "lab": fk > 0,
+            "fr": fk == 2,
+            "fraud_status": status,
+            "is_labelled": F.when(fk > 0, "Yes").otherwise("No"),
+            "is_fraud": F.when(fk == 2, "Yes").otherwise("No"),
+            "year": F.year(d).cast("bigint"),
+            "month_no": F.month(d).cast("bigint"),
+            "month_year": F.date_format(d, "MMM yyyy"),
+            "month_year_sort": (F.year(d) * 100 + F.month(d)).cast("bigint"),
+            "month_start": F.trunc(d, "MM"),
+            "month": F.date_format(d, "yyyy-MM"),
+            "quarter": F.concat(F.lit("Q"), F.quarter(d).cast("string")),
+            "quarter_key": (F.year(d) * 10 + F.quarter(d)).cast("bigint"),
+        }
+
+    DERIVED_NEEDS = {"errors", "fraud_key", "date"}
+
+    def base(self, cols=None) -> DataFrame:
+        """lineitem JOIN orders projected to the requested base columns (all if None):
+        two projections, so the error text is computed once per row."""
+        if self._mat is not None:
+            m = self._mat[0]
+            return m.select(*[c for c in m.columns if c in BASE_COLS and (cols is None or c in cols)])
+        li = self.t.lineitem
+        o = self.t.orders
+        f = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+        raw, der = self.raw_expressions(), self.derived_expressions()
+        want_der = [c for c in der if cols is None or c in cols]
+        want_raw = [c for c in raw if cols is None or c in cols or
+                    (want_der and c in self.DERIVED_NEEDS)]
+        f = f.select(*[raw[c].alias(c) for c in want_raw])
+        if want_der:
+            keep = [c for c in want_raw if cols is None or c in cols]
+            f = f.select(*keep, *[der[c].alias(c) for c in want_der])
+        return f
 
     def fact(self, need=None) -> DataFrame:
         """Enriched fact.  ``need``: column names the caller will use (None = all)."""
         need = set(need) if need is not None else (BASE_COLS | PART_COLS | CLIENT_COLS |
                                                      CARD_COLS | DATE_DIM_COLS)
-        f = self.base()
+        base_cols = need & BASE_COLS
+        if need & PART_COLS:
+            base_cols.add("mcc")
+        if need & CLIENT_COLS:
+            base_cols |= {"client_key", "channel", "line_number"}
+        if need & CARD_COLS:
+            base_cols.add("card_key")
+        if need & DATE_DIM_COLS:
+            base_cols.add("date")
+        if self._mat is not None:           # imported model: prune the in-memory star
+            return self._mat[0]
+        f = self.base(base_cols or {"order_key"})
         if need & PART_COLS:
-            f = join_dim(f, self.category_dim().select("mcc", "category", "category_group"), "mcc")
+            f = join_dim(f, self.category_dim().select("mcc", "category", "category_group"), "mcc",
+                         size_proxy=self.t.part.select("p_partkey", "p_brand", "p_type"))
         if need & CLIENT_COLS:
             f = self._with_client(f)
         if need & CARD_COLS:
             f = join_dim(f, self.card_dim().select(
                 "card_key", "credit_limit", "credit_limit_band", "credit_limit_band_sort",
-                "card_brand", "card_type", "has_chip"), "card_key")
+                "card_brand", "card_type", "has_chip"), "card_key", size_proxy=self.card_proxy())
         if need & DATE_DIM_COLS:
             dd = self.date_dim().select("date", "in_lfl", "is_complete_year")
             f = join_dim(f, dd, "date", how="inner", bounded=True)
@@ -182,7 +218,7 @@ class Star:
 
     def _with_client(self, f: DataFrame) -> DataFrame:
         cl = self.client_geo()
-        f = join_dim(f, cl, "client_key")
+        f = join_dim(f, cl, "client_key", size_proxy=self.client_proxy())
         st = (F.when(F.col("channel") == ONLINE_CHANNEL, F.lit(None).cast("string"))
               .when(F.col("line_number") == NOT_RECORDED_LINE, F.lit(None).cast("string"))
               .otherwise(F.col("_home_state")))
@@ -193,6 +229,13 @@ class Star:
                                                                          "_state_name")
 
     # ------------------------------------------------------------------ dimensions
+    def client_proxy(self) -> DataFrame:
+        """Size proxy of the client dimension (its base scan) for the broadcast check."""
+        return self.t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+
+    def card_proxy(self) -> DataFrame:
+        return self.t.supplier.select("s_suppkey", "s_nationkey", "s_acctbal")
+
     def client_geo(self) -> DataFrame:
         """Client attributes + home location code (one row per customer)."""
         c = self.t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
@@ -244,9 +287,14 @@ class Star:
     # ------------------------------------------------------------------ date spine
     def date_bounds(self) -> DataFrame:
         """One row: first and last transaction date (a global aggregate)."""
-        return self.base().agg(F.min("date").alias("first"), F.max("date").alias("last"))
+        return self.base({"date"}).agg(F.min("date").alias("first"), F.max("date").alias("last"))
 
     def date_dim(self) -> DataFrame:
+        if self._mat is not None:
+            return self._mat[1]
+        return self._date_dim()
+
+    def _date_dim(self) -> DataFrame:
         """Contiguous day spine first..last with calendar attributes.  Its size is
         the number of days in the range, not the number of transactions."""
         b = self.date_bounds()
@@ -255,6 +303,32 @@ class Star:
         return date_attributes(spine)
 
 
+_MATERIALIZED: dict = {}
+
+
+def materialize(spark: SparkSession, src: str) -> tuple[DataFrame, DataFrame]:
+    """Import the star once (the model refresh): the fully enriched fact and the day spine
+    are persisted (memory, spilling to disk), and every later ``Star`` over the same
+    source reads them instead of re-joining the raw tables.  Lost executors recompute
+    their cached blocks from lineage."""
+    from pyspark import StorageLevel
+    star = Star(spark, src)
+    star._mat = None
+    fact = star.fact(None).persist(StorageLevel.MEMORY_AND_DISK)
+    dd = star.date_dim().persist(StorageLevel.MEMORY_AND_DISK)
+    fact.count()
+    dd.count()
+    _MATERIALIZED[(id(spark._jsparkSession), src)] = (fact, dd)
+    return fact, dd
+
+
+def release(spark: SparkSession, src: str) -> None:
+    mat = _MATERIALIZED.pop((id(spark._jsparkSession), src), None)
+    if mat:
+        for df in mat:
+            df.unpersist()
+
+
 def date_attributes(spine: DataFrame) -> DataFrame:
     """Calendar columns of a spine with columns (date, last)."""
     d, last = F.col("date"), F.col("last")

@@ -20,9 +20,6 @@ FLAT_CLIENT = {"client_age", "client_yearly_income", "client_credit_score", "mer
 def flat_table(star: Star, need=None) -> DataFrame:
     need = set(need) if need is not None else FLAT_PART | FLAT_CARD | FLAT_CLIENT
     f = star.base()
-    ts = star.t.orders.select("o_orderkey", F.col("o_orderdate").alias("timestamp"))
-    f = f.join(ts, f.order_key == ts.o_orderkey, "inner").drop("o_orderkey") if "timestamp" in need \
-        else f.withColumn("timestamp", F.col("date").cast("timestamp_ntz"))
     out = f.select(
         F.concat_ws("-", F.col("order_key").cast("string"), F.col("line_number").cast("string"))
          .alias("transaction_id"),
@@ -37,17 +34,17 @@ def flat_table(star: Star, need=None) -> DataFrame:
     )
     if need & FLAT_PART:
         out = join_dim(out, star.category_dim().select("mcc", F.col("category").alias(
-            "merchant_category")), "mcc")
+            "merchant_category")), "mcc", size_proxy=star.t.part.select("p_partkey", "p_brand"))
     if need & FLAT_CARD:
         cd = star.card_dim().select("card_key", "card_brand", "card_type",
                                     F.when(F.col("has_chip") == "Chip", "YES").otherwise("NO")
                                     .alias("card_has_chip"),
                                     F.col("credit_limit").alias("card_credit_limit"))
-        out = join_dim(out, cd, "card_key")
+        out = join_dim(out, cd, "card_key", size_proxy=star.card_proxy())
     if need & FLAT_CLIENT:
         cl = star.client_geo().select("client_key", "_home_state",
                                       F.col("credit_score").alias("client_credit_score"))
-        out = join_dim(out, cl, "client_key")
+        out = join_dim(out, cl, "client_key", size_proxy=star.client_proxy())
         st = (F.when(F.col("channel") == "1-URGENT", F.lit(""))
               .when(F.col("line_number") == 7, F.lit(""))
               .otherwise(F.coalesce(F.col("_home_state"), F.lit(""))))

@@ -169,7 +169,7 @@ class Model:
         """M17 (CROSSFILTER BOTH): cards seen in the filtered fact, each once per group."""
         seen = self.fact(set(keys) | {"card_key"}, where).select(*keys, "card_key").distinct()
         cards = self.star.card_dim().select("card_key", F.col("credit_limit").alias("_limit"))
-        j = join_dim(seen, cards, "card_key", how="inner")
+        j = join_dim(seen, cards, "card_key", how="inner", size_proxy=self.star.card_proxy())
         return j.groupBy(*keys).agg(F.sum("_limit").alias("total_credit_limit"))
 
     def years_in_period(self, date_keys: list[str], date_where: Mapping | None) -> DataFrame:

@@ -21,10 +21,19 @@ def table_path(src: str, name: str) -> str:
     return p if os.path.exists(p) else os.path.join(src, name)
 
 
+_READERS: dict = {}
+
+
 def read_table(spark: SparkSession, src: str, name: str) -> DataFrame:
+    """Lazy parquet reader; the (immutable) relation is reused per session and path so
+    footers are not re-listed for every query."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(src, name))
+    key = (id(spark._jsparkSession), table_path(src, name))
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(key[1])
+    return df
 
 
 class Tables:
