@@ -156,3 +156,37 @@ def with_ctes(select: str, *extra: str) -> str:
 
 CHIP = _q(CHIP_CHANNEL)
 ONLINE = _q(ONLINE_CHANNEL)
+
+
+def _lit(v) -> str:
+    return _q(v) if isinstance(v, str) else str(v)
+
+
+def where_sql(where: dict | None) -> str:
+    conds = []
+    for k, v in (where or {}).items():
+        if isinstance(v, (list, tuple, set, frozenset)):
+            conds.append(f"{k} IN ({', '.join(_lit(x) for x in v)})")
+        else:
+            conds.append(f"{k} = {_lit(v)}")
+    return (" WHERE " + " AND ".join(conds)) if conds else ""
+
+
+def measure_sql(key: str) -> str:
+    """The hand-written SQL of a plain (non-special) measure, typed as the Spark output."""
+    from spendframe.plans.measures import MEASURES
+    m = MEASURES[key]
+    if m.sql is None:
+        raise KeyError(f"{key} needs a hand-written query")
+    if m.kind == "money":
+        return f"CAST({m.sql} AS DOUBLE)"
+    if m.kind == "count":
+        return f"CAST({m.sql} AS BIGINT)"
+    return m.sql
+
+
+def group_sql(keys, measures, where=None, source: str = "att") -> str:
+    """SELECT keys, measures FROM att [WHERE] GROUP BY keys (measures: (alias, key))."""
+    sel = list(keys) + [f"{measure_sql(k)} AS {a}" for a, k in measures]
+    gb = f" GROUP BY {', '.join(keys)}" if keys else ""
+    return f"SELECT {', '.join(sel)} FROM {source}{where_sql(where)}{gb}"
