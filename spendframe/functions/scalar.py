@@ -71,16 +71,21 @@ def month_in_quarter(d) -> Column:
 
 
 def short_money(v, money_: bool = True) -> Column:
-    """$1.23M / $12.3k / $1.23k / $123 for money; 1.23M / 12.3k / 1,234 for counts."""
-    v = col_(v).cast("double")
+    """$1.23M / $12.3k / $1.23k / $123 for money; 1.23M / 12.3k / 1,234 for counts.
+    Rounded as exact decimals (half away from zero), so the text never depends on
+    binary floating point."""
+    from decimal import Decimal
+    v = col_(v).cast("decimal(20,2)")
     p = F.lit("$") if money_ else F.lit("")
-    big = F.concat(p, F.format_string("%.2f", v / 1e6), F.lit("M"))
-    tens = F.concat(p, F.format_string("%.1f", v / 1e3), F.lit("k"))
+    mil = F.round(v * F.lit(Decimal("0.000001")), 2).cast("decimal(20,2)").cast("string")
+    k1 = F.round(v * F.lit(Decimal("0.001")), 1).cast("decimal(20,1)").cast("string")
+    k2 = F.round(v * F.lit(Decimal("0.001")), 2).cast("decimal(20,2)").cast("string")
+    whole = F.round(v, 0).cast("bigint").cast("string")
+    out = (F.when(v >= 1000000, F.concat(p, mil, F.lit("M")))
+           .when(v >= 10000, F.concat(p, k1, F.lit("k"))))
     if money_:
-        mid = F.concat(p, F.format_string("%.2f", v / 1e3), F.lit("k"))
-        small = F.concat(p, F.format_string("%.0f", v))
-        return (F.when(v >= 1e6, big).when(v >= 1e4, tens).when(v >= 1e3, mid).otherwise(small))
-    return F.when(v >= 1e6, big).when(v >= 1e4, tens).otherwise(F.format_number(v, 0))
+        return out.when(v >= 1000, F.concat(p, k2, F.lit("k"))).otherwise(F.concat(p, whole))
+    return out.otherwise(F.format_number(v, 0))
 
 
 def signed_pct(v, dp: int = 1) -> Column:
