@@ -11,7 +11,7 @@ from spendframe.plans.flat import flat_measures, flat_table
 from spendframe.plans.measures import MEASURES
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
-from spendframe.plans.registry import register
+from spendframe.plans.registry import ORACLE, register
 from spendframe.plans.binding import Star
 
 D = "CAST({} AS DOUBLE)"
@@ -467,3 +467,7 @@ def _measure_sql(key: str) -> str | None:
 
 for _key in MEASURES:
     register(f"m_{_key}", _measure_sql(_key))(_measure_query(_key))
+
+
+# The naive prior year (year arithmetic on the flat table) under its survey name.
+register("spend_yoy_naive", ORACLE["f07_spend_yoy"])(f07)

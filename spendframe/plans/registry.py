@@ -31,4 +31,4 @@ def load_all() -> None:
         importlib.import_module(f"spendframe.plans.{mod}")
 
 
-MODULES = ["benchmark", "report", "calendar", "exports", "etl"]
+MODULES = ["benchmark", "report", "calendar", "exports", "etl", "reconcile"]
