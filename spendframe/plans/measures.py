@@ -36,22 +36,25 @@ def _c(name):
     return F.col(name)
 
 
-AMT = _c("amount")
+def AMT_():
+    return F.col("amount")
+
+
 PARTS: dict[str, Part] = {p.name: p for p in [
     Part("n", lambda: F.count(F.lit(1)), "count(*)"),
     Part("n_ok", lambda: F.count_if(_c("ok")), "count(*) FILTER (WHERE ok)", frozenset({"ok"})),
     Part("n_decl", lambda: F.count_if(~_c("ok")), "count(*) FILTER (WHERE NOT ok)",
          frozenset({"ok"})),
-    Part("spend", lambda: F.sum(F.when(_c("ok"), AMT)), "sum(amount) FILTER (WHERE ok)",
+    Part("spend", lambda: F.sum(F.when(_c("ok"), AMT_())), "sum(amount) FILTER (WHERE ok)",
          frozenset({"ok", "amount"}), "money"),
-    Part("attempted", lambda: F.sum(AMT), "sum(amount)", frozenset({"amount"}), "money"),
-    Part("purchase_value", lambda: F.sum(F.when(_c("ok") & (AMT > 0), AMT)),
+    Part("attempted", lambda: F.sum(AMT_()), "sum(amount)", frozenset({"amount"}), "money"),
+    Part("purchase_value", lambda: F.sum(F.when(_c("ok") & (AMT_() > 0), AMT_())),
          "sum(amount) FILTER (WHERE ok AND amount > 0)", frozenset({"ok", "amount"}), "money"),
-    Part("n_purchase", lambda: F.count_if(_c("ok") & (AMT > 0)),
+    Part("n_purchase", lambda: F.count_if(_c("ok") & (AMT_() > 0)),
          "count(*) FILTER (WHERE ok AND amount > 0)", frozenset({"ok", "amount"})),
-    Part("n_refund", lambda: F.count_if(_c("ok") & (AMT < 0)),
+    Part("n_refund", lambda: F.count_if(_c("ok") & (AMT_() < 0)),
          "count(*) FILTER (WHERE ok AND amount < 0)", frozenset({"ok", "amount"})),
-    Part("refund_value", lambda: F.sum(F.when(_c("ok") & (AMT < 0), AMT)),
+    Part("refund_value", lambda: F.sum(F.when(_c("ok") & (AMT_() < 0), AMT_())),
          "sum(amount) FILTER (WHERE ok AND amount < 0)", frozenset({"ok", "amount"}), "money"),
     Part("cards", lambda: F.countDistinct("card_key"), "count(DISTINCT card_key)",
          frozenset({"card_key"}), "distinct"),
@@ -59,9 +62,9 @@ PARTS: dict[str, Part] = {p.name: p for p in [
          frozenset({"client_key"}), "distinct"),
     Part("n_lab", lambda: F.count_if(_c("lab")), "count(*) FILTER (WHERE lab)", frozenset({"lab"})),
     Part("n_fr", lambda: F.count_if(_c("fr")), "count(*) FILTER (WHERE fr)", frozenset({"fr"})),
-    Part("fraud_value", lambda: F.sum(F.when(_c("fr"), AMT)), "sum(amount) FILTER (WHERE fr)",
+    Part("fraud_value", lambda: F.sum(F.when(_c("fr"), AMT_())), "sum(amount) FILTER (WHERE fr)",
          frozenset({"fr", "amount"}), "money"),
-    Part("labelled_value", lambda: F.sum(F.when(_c("lab"), AMT)), "sum(amount) FILTER (WHERE lab)",
+    Part("labelled_value", lambda: F.sum(F.when(_c("lab"), AMT_())), "sum(amount) FILTER (WHERE lab)",
          frozenset({"lab", "amount"}), "money"),
     Part("fraud_cards", lambda: F.countDistinct(F.when(_c("fr"), _c("card_key"))),
          "count(DISTINCT card_key) FILTER (WHERE fr)", frozenset({"fr", "card_key"}), "distinct"),
@@ -74,9 +77,9 @@ PARTS: dict[str, Part] = {p.name: p for p in [
     Part("n_tech", lambda: F.count_if(_c("outcome_class") == "Declined - technical"),
          "count(*) FILTER (WHERE outcome_class = 'Declined - technical')",
          frozenset({"outcome_class"})),
-    Part("declined_value", lambda: F.sum(F.when(~_c("ok"), AMT)),
+    Part("declined_value", lambda: F.sum(F.when(~_c("ok"), AMT_())),
          "sum(amount) FILTER (WHERE NOT ok)", frozenset({"ok", "amount"}), "money"),
-    Part("spend_lfl", lambda: F.sum(F.when(_c("ok") & (_c("in_lfl") == "Yes"), AMT)),
+    Part("spend_lfl", lambda: F.sum(F.when(_c("ok") & (_c("in_lfl") == "Yes"), AMT_())),
          "sum(amount) FILTER (WHERE ok AND in_lfl = 'Yes')",
          frozenset({"ok", "amount", "in_lfl"}), "money"),
     Part("n_ok_lfl", lambda: F.count_if(_c("ok") & (_c("in_lfl") == "Yes")),
