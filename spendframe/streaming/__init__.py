@@ -1,0 +1,9 @@
+"""Streaming.
+
+The card model has no streaming operator: no watermark, window, state or late
+data anywhere; its chunked reads are bounded batch scans (see ``sources.raw``).
+Nothing is built here on purpose - adding stream operators the model does not
+have would be out of scope.  The batch jobs are written so that an incremental
+load is a dynamic-partition overwrite of the affected years
+(``sources.raw.write_fact_by_year``).
+"""
