@@ -62,6 +62,18 @@ def main() -> None:
     warm, warm_rows = timed(STAR + FLAT)
     assert warm_rows == rows, (warm_rows, rows)
     star_total = round(sum(warm[q] for q in STAR), 4)
+
+    # Star vs flat timing comparison with the harness noise floor (ms)
+    from spendframe.functions.constants import NOISE_FLOOR_MS
+    from spendframe.operators.reconcile import bench_compare
+    tab = "query string, cold_ms double, warm_ms double"
+    st = spark.createDataFrame([(q[:3].replace("q", ""), cold[q] * 1000, warm[q] * 1000)
+                                for q in STAR], tab)
+    nv = spark.createDataFrame([(f[:3].replace("f", ""), cold[f] * 1000, warm[f] * 1000)
+                                for f in FLAT], tab)
+    compare = {r["query"]: {"cold_delta_ms": r["cold_delta_ms"], "warm_delta_ms": r["warm_delta_ms"],
+                            "separable": r["cold_separable"]}
+               for r in bench_compare(st, nv, NOISE_FLOOR_MS).collect()}
     sf = os.path.basename(os.path.normpath(src)).replace("sf", "")
     print(json.dumps({
         "metric": "star_q01_q10_median_total_imported", "value": star_total, "unit": "sec",
@@ -69,7 +81,8 @@ def main() -> None:
         "flat_queries": {q[:3]: warm[q] for q in FLAT},
         "cold_total": round(sum(cold[q] for q in STAR), 4),
         "cold": {q[:3]: cold[q] for q in STAR + FLAT},
-        "refresh_sec": refresh, "rows": rows, "runs": runs, "cpus": cpus, "sf": sf,
+        "refresh_sec": refresh, "star_vs_flat": compare,
+        "rows": rows, "runs": runs, "cpus": cpus, "sf": sf,
     }))
     spark.stop()
 

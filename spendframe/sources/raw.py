@@ -68,3 +68,9 @@ def read_fact(spark: SparkSession, path: str, years: list[int] | None = None) ->
     """The multi-file (all years) scan; a year filter prunes directories."""
     df = spark.read.option("basePath", path).parquet(f"{path}/year=*")
     return df.where(F.col("year").isin(*years)) if years else df
+
+
+def write_csv(df: DataFrame, path: str, line_sep: str = "\n") -> None:
+    """CSV sink with a header and a fixed line ending (one file per task)."""
+    (df.write.mode("overwrite").option("header", True).option("lineSep", line_sep)
+     .csv(path))
