@@ -45,6 +45,17 @@ def _filter(df: DataFrame, where: Mapping | None) -> DataFrame:
     return df
 
 
+def _year_range(where: Mapping | None):
+    """[first day, day after) covering a year slicer, or None."""
+    if not where or "year" not in where:
+        return None
+    v = where["year"]
+    ys = [int(x) for x in (v if isinstance(v, (list, tuple, set, frozenset)) else [v])]
+    if not ys:
+        return None
+    return f"{min(ys)}-01-01 00:00:00", f"{max(ys) + 1}-01-01 00:00:00"
+
+
 def join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on group keys, null-safe; with no keys ``right`` is one row."""
     if not keys:
@@ -66,7 +77,17 @@ class Model:
     # ------------------------------------------------------------------ inputs
     def fact(self, need: Iterable[str], where: Mapping | None = None) -> DataFrame:
         need = set(need) | set((where or {}).keys())
-        return _filter(self.star.fact(need), where)
+        rng = _year_range(where)
+        if rng is not None:
+            need.add("timestamp")
+        f = _filter(self.star.fact(need), where)
+        if rng is not None:
+            # the same filter restated on the raw order timestamp, so it reaches the
+            # parquet scan (PushedFilters) instead of running after the join
+            lo, hi = rng
+            f = f.where((F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz")) &
+                        (F.col("timestamp") < F.lit(hi).cast("timestamp_ntz")))
+        return f
 
     def spine(self, date_where: Mapping | None = None) -> DataFrame:
         return _filter(self.star.date_dim(), date_where)
