@@ -554,3 +554,112 @@ def calendar_facts(spark, src):
                F.concat(F.lit("none of the "), F.col("days_all").cast("string")))
          .otherwise(F.concat(F.col("quiet_days").cast("string"), F.lit(" of "),
                              F.col("days_all").cast("string"))).alias("quiet_phrase"))
+
+
+# ---------------------------------------------------------------- titles (narrative text)
+def _pct_text(x, dp: int) -> "F.Column":
+    """abs(x) as a percentage with dp decimals, rounded as an exact decimal."""
+    d = F.round((F.abs(x) * 100).cast("decimal(20,6)"), dp)
+    return (d.cast("bigint") if dp == 0 else d.cast(f"decimal(20,{dp})")).cast("string")
+
+
+def _pct_sql(x: str, dp: int) -> str:
+    d = f"round(CAST(abs({x}) * 100 AS DECIMAL(20,6)), {dp})"
+    return (f"CAST(CAST({d} AS BIGINT) AS VARCHAR)" if dp == 0
+            else f"CAST(CAST({d} AS DECIMAL(20,{dp})) AS VARCHAR)")
+
+
+TITLE_CTES = (
+    "months AS (SELECT year, month_no, strftime(min(date), '%B') AS month_name, "
+    "strftime(min(date), '%B %Y') AS label, strftime(min(date), '%Y-%m') AS mkey, "
+    "CAST(sum(v) AS DECIMAL(20,2)) AS v, count(*) FILTER (WHERE v > 0) AS active "
+    "FROM cells_day GROUP BY year, month_no)",
+    "years AS (SELECT year, CAST(sum(v) AS DECIMAL(20,2)) AS v FROM months GROUP BY year)",
+    "whole AS (SELECT year FROM date_dim GROUP BY year HAVING count(*) >= 365)",
+    "qtr AS (SELECT c.quarter, sum(c.v) AS v FROM cells_day c JOIN whole w ON c.year = w.year "
+    "GROUP BY c.quarter)",
+    "part AS (SELECT (SELECT count(*) FROM years WHERE v > 0) - (SELECT count(*) FROM years y "
+    "JOIN whole w ON y.year = w.year WHERE y.v > 0) AS n)",
+    "ypool AS (SELECT y.year, y.v FROM years y JOIN whole w ON y.year = w.year WHERE y.v > 0)",
+    "wd AS (SELECT strftime(date, '%A') AS day_name, CAST(sum(v) AS DOUBLE) / "
+    "NULLIF(count(*) FILTER (WHERE v > 0), 0) AS a FROM cells_day GROUP BY 1)",
+)
+
+
+@register("calendar_titles", with_ctes(
+    "SELECT 'Day' AS view, mkey AS key, label || ': ' || " + _short_sql("v") + " || "
+    "' in spend across ' || CAST(active AS VARCHAR) || ' active days' AS title FROM months "
+    "UNION ALL SELECT 'Month', CAST(y.year AS VARCHAR), CAST(y.year AS VARCHAR) || ': ' || "
+    + _short_sql("y.v") + " || ' in spend, and ' || (SELECT min(m.month_name) FROM months m "
+    "WHERE m.year = y.year AND m.v = (SELECT max(v) FROM months m2 WHERE m2.year = y.year)) "
+    "|| ' was the biggest month' FROM years y "
+    "UNION ALL SELECT 'Quarter', 'all', (SELECT min(quarter) FROM qtr WHERE v = (SELECT max(v) "
+    "FROM qtr)) || ' carries ' || " + _pct_sql("CAST((SELECT max(v) FROM qtr) AS DOUBLE) / "
+                                                "CAST((SELECT sum(v) FROM qtr) AS DOUBLE)", 0)
+    + " || '% of all spend, more than any other quarter' || CASE WHEN (SELECT n FROM part) > 0 "
+    "THEN ' (whole years only)' ELSE '' END "
+    "UNION ALL SELECT 'Year', 'all', CAST(l.year AS VARCHAR) || ' closed at ' || "
+    + _short_sql("l.v") + " || ' in spend, ' || CASE WHEN (CAST(l.v AS DOUBLE) - CAST(f.v AS DOUBLE)) "
+    "/ CAST(f.v AS DOUBLE) >= 0 THEN 'up ' ELSE 'down ' END || "
+    + _pct_sql("(CAST(l.v AS DOUBLE) - CAST(f.v AS DOUBLE)) / CAST(f.v AS DOUBLE)", 1)
+    + " || '% on ' || CAST(f.year AS VARCHAR) || CASE WHEN (SELECT n FROM part) > 0 "
+    "THEN ' (whole years only)' ELSE '' END FROM ypool l, ypool f "
+    "WHERE l.year = (SELECT max(year) FROM ypool) AND f.year = (SELECT min(year) FROM ypool) "
+    "UNION ALL SELECT 'Weekday', 'all', (SELECT min(day_name) FROM wd WHERE a = (SELECT max(a) "
+    "FROM wd WHERE a > 0)) || 's run highest per active day'",
+    *CAL_CTES[:2], *TITLE_CTES))
+def calendar_titles(spark, src):
+    """Title Cal Day / Month / Quarter / Year / Weekday: the headline sentences of the
+    calendar views, built from the same cells as the matrices."""
+    cal = _cal(spark, src)
+    d = cal.cells_day()
+    months = d.groupBy("year", "month_no").agg(
+        F.date_format(F.min("date"), "MMMM").alias("month_name"),
+        F.date_format(F.min("date"), "MMMM yyyy").alias("label"),
+        F.date_format(F.min("date"), "yyyy-MM").alias("mkey"),
+        F.sum("v").cast("decimal(20,2)").alias("v"), F.count_if(F.col("v") > 0).alias("active"))
+    day = months.select(F.lit("Day").alias("view"), F.col("mkey").alias("key"),
+                        F.concat("label", F.lit(": "), short_money("v"), F.lit(" in spend across "),
+                                 F.col("active").cast("string"), F.lit(" active days"))
+                        .alias("title"))
+    yr = months.groupBy("year").agg(
+        F.sum("v").cast("decimal(20,2)").alias("v"),
+        F.min_by("month_name", F.struct((-F.col("v")).alias("a"), F.col("month_name").alias("b")))
+         .alias("best"))
+    month = yr.select(F.lit("Month").alias("view"), F.col("year").cast("string").alias("key"),
+                      F.concat(F.col("year").cast("string"), F.lit(": "), short_money("v"),
+                               F.lit(" in spend, and "), "best", F.lit(" was the biggest month"))
+                      .alias("title"))
+    whole = (cal.spine().groupBy("year").agg(F.count(F.lit(1)).alias("_d"))
+             .where(F.col("_d") >= 365).select("year"))
+    wyears = yr.join(F.broadcast(whole), "year", "left_semi")
+    part = (yr.agg(F.count_if(F.col("v") > 0).alias("_a"))
+            .crossJoin(wyears.agg(F.count_if(F.col("v") > 0).alias("_w")))
+            .select((F.col("_a") - F.col("_w")).alias("part_years")))
+    suffix = F.when(F.col("part_years") > 0, F.lit(" (whole years only)")).otherwise(F.lit(""))
+    q = (d.join(F.broadcast(whole), "year", "left_semi").groupBy("quarter").agg(F.sum("v").alias("v"))
+         .agg(F.max("v").alias("_best"), F.sum("v").alias("_tot"),
+              F.min_by("quarter", F.struct((-F.col("v")).alias("a"), F.col("quarter").alias("b")))
+              .alias("_q")))
+    quarter = q.crossJoin(part).select(
+        F.lit("Quarter").alias("view"), F.lit("all").alias("key"),
+        F.concat("_q", F.lit(" carries "), _pct_text(ratio(F.col("_best"), F.col("_tot")), 0),
+                 F.lit("% of all spend, more than any other quarter"), suffix).alias("title"))
+    yp = wyears.where(F.col("v") > 0)
+    ends = yp.agg(F.max("year").alias("_ly"), F.min("year").alias("_fy"),
+                  F.max_by("v", "year").alias("_lv"), F.min_by("v", "year").alias("_fv"))
+    chg = change(F.col("_lv"), F.col("_fv"))
+    year = ends.crossJoin(part).select(
+        F.lit("Year").alias("view"), F.lit("all").alias("key"),
+        F.concat(F.col("_ly").cast("string"), F.lit(" closed at "), short_money("_lv"),
+                 F.lit(" in spend, "), F.when(chg >= 0, F.lit("up ")).otherwise(F.lit("down ")),
+                 _pct_text(chg, 1), F.lit("% on "), F.col("_fy").cast("string"), suffix)
+        .alias("title"))
+    wd = (d.groupBy(F.date_format("date", "EEEE").alias("day_name"))
+          .agg(ratio(F.sum("v"), F.count_if(F.col("v") > 0)).alias("a"))
+          .where(F.col("a") > 0)
+          .agg(F.min_by("day_name", F.struct((-F.col("a")).alias("x"), F.col("day_name").alias("y")))
+               .alias("_d")))
+    weekday = wd.select(F.lit("Weekday").alias("view"), F.lit("all").alias("key"),
+                        F.concat("_d", F.lit("s run highest per active day")).alias("title"))
+    return day.unionByName(month).unionByName(quarter).unionByName(year).unionByName(weekday)
