@@ -91,3 +91,18 @@ def attach_totals(df: DataFrame, totals: DataFrame, keys: list[str]) -> DataFram
     for k in keys:
         joined = joined.drop(t[k])
     return joined
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int = 16,
+                how: str = "left") -> DataFrame:
+    """Fact many-to-one a dimension too large to broadcast, when one key may hold a
+    large share of the fact: each fact row gets a salt in [0, salts) derived from its
+    own columns (deterministic, so a retried task re-creates the same rows), the
+    dimension is replicated once per salt, and the join runs on (key, salt).  A hot key
+    is spread over ``salts`` tasks instead of one.  The dimension grows by ``salts``, so
+    use it only for dimensions much smaller than the fact (AQE's skew-join splitting is
+    the default alternative)."""
+    f = fact.withColumn("__salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
+    d = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                      F.lit(salts - 1).cast("long"))))
+    return f.join(d, on=[key, "__salt"], how=how).drop("__salt")

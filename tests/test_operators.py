@@ -100,3 +100,12 @@ def test_year_partitioned_round_trip(spark, tmpdir_fresh):
         "amount", F.lit(9.0).cast(df.schema["amount"].dataType)), path)
     rows = {r.year: r.amount for r in read_fact(spark, path).collect()}
     assert rows == {2018: 1.5, 2019: 9.0}
+
+
+def test_salted_join_equals_plain_join(spark):
+    from spendframe.operators.joins import salted_join
+    fact = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 99), (3, 7)], "k int, v int")
+    dim = spark.createDataFrame([(1, "hot"), (2, "two")], "k int, name string")
+    a = sorted(tuple(r) for r in salted_join(fact, dim, "k", salts=4).select("k", "v", "name").collect())
+    b = sorted(tuple(r) for r in fact.join(dim, "k", "left").select("k", "v", "name").collect())
+    assert a == b
