@@ -663,3 +663,146 @@ def calendar_titles(spark, src):
     weekday = wd.select(F.lit("Weekday").alias("view"), F.lit("all").alias("key"),
                         F.concat("_d", F.lit("s run highest per active day")).alias("title"))
     return day.unionByName(month).unionByName(quarter).unionByName(year).unionByName(weekday)
+
+
+# ---------------------------------------------------------------- standfirsts (narrative text)
+def _count_text(c) -> "F.Column":
+    return F.format_number(F.col(c).cast("bigint"), 0) if isinstance(c, str) else F.format_number(c, 0)
+
+
+def _change_words(cur, prev) -> "F.Column":
+    chg = change(cur, prev)
+    return F.concat(F.when(chg >= 0, F.lit("up ")).otherwise(F.lit("down ")), _pct_text(chg, 1),
+                    F.lit("%"))
+
+
+def _words_sql(cur: str, prev: str) -> str:
+    chg = f"((CAST({cur} AS DOUBLE) - CAST({prev} AS DOUBLE)) / CAST({prev} AS DOUBLE))"
+    return (f"CASE WHEN {chg} >= 0 THEN 'up ' ELSE 'down ' END || {_pct_sql(chg, 1)} || '%'")
+
+
+STAND_CTES = (
+    "mcell AS (SELECT year, month_no, strftime(min(date), '%B %Y') AS label, "
+    "strftime(min(date), '%Y-%m') AS mkey, CAST(sum(v) AS DECIMAL(20,2)) AS v, sum(c) AS c, "
+    "count(*) AS days_all, count(*) FILTER (WHERE v <= 0) AS quiet FROM cells_day "
+    "GROUP BY year, month_no)",
+    "ends_m AS (SELECT year, month_no, max(date) AS e FROM date_dim GROUP BY year, month_no)",
+    "mpy AS (SELECT e.year, e.month_no, sum(x.v) AS py FROM ends_m e JOIN daily x "
+    "ON year(x.date) = e.year - 1 AND month(x.date) = e.month_no "
+    "AND x.date <= CAST(e.e - INTERVAL 12 MONTH AS DATE) GROUP BY e.year, e.month_no)",
+    "best AS (SELECT strftime(date, '%Y-%m') AS mkey, day(date) AS d, v FROM (SELECT date, v, "
+    "row_number() OVER (PARTITION BY strftime(date, '%Y-%m') ORDER BY v DESC, date) AS rn "
+    "FROM cells_day) WHERE rn = 1)",
+    "ycell AS (SELECT year, CAST(sum(v) AS DECIMAL(20,2)) AS v, sum(c) AS c FROM cells_day "
+    "GROUP BY year)",
+    "ends_y AS (SELECT year, max(date) AS e, count(*) >= 365 AS whole FROM date_dim GROUP BY year)",
+
+    "ypy AS (SELECT e.year, sum(x.v) AS py FROM ends_y e JOIN daily x ON year(x.date) = e.year - 1 "
+    "AND x.date <= CAST(e.e - INTERVAL 12 MONTH AS DATE) GROUP BY e.year)",
+    "ybest AS (SELECT year, max(mv) AS mv, min(mname) FILTER (WHERE mv = mx) AS mname FROM ("
+    "SELECT year, strftime(min(date), '%B') AS mname, sum(v) AS mv, "
+    "max(sum(v)) OVER (PARTITION BY year) AS mx FROM cells_day GROUP BY year, month_no) GROUP BY year)",
+)
+
+
+def _suffix_sql(d: str) -> str:
+    return (f"CASE WHEN {d} % 100 IN (11, 12, 13) THEN 'th' WHEN {d} % 10 = 1 THEN 'st' "
+            f"WHEN {d} % 10 = 2 THEN 'nd' WHEN {d} % 10 = 3 THEN 'rd' ELSE 'th' END")
+
+
+@register("calendar_standfirst", with_ctes(
+    "SELECT 'Day' AS view, m.mkey AS key, m.label || ' recorded ' || " + _short_sql("m.v")
+    + " || ' in spend from ' || format('{:,}', m.c) || ' transactions' || "
+    "CASE WHEN p.py > 0 THEN ', ' || " + _words_sql("m.v", "p.py")
+    + " || ' on the same month a year earlier' ELSE '' END || '. The biggest day was the ' || "
+    "CAST(b.d AS VARCHAR) || " + _suffix_sql("b.d") + " || ' at ' || "
+    + _short_sql("CAST(b.v AS DECIMAL(20,2))") + " || '; ' || CASE WHEN m.quiet = 0 THEN "
+    "'none of the ' || CAST(m.days_all AS VARCHAR) ELSE CAST(m.quiet AS VARCHAR) || ' of ' || "
+    "CAST(m.days_all AS VARCHAR) END || ' days had no spend.' AS text "
+    "FROM mcell m LEFT JOIN mpy p ON m.year = p.year AND m.month_no = p.month_no "
+    "JOIN best b ON m.mkey = b.mkey "
+    "UNION ALL SELECT 'Month', CAST(y.year AS VARCHAR), CAST(y.year AS VARCHAR) || ' recorded ' || "
+    + _short_sql("y.v") + " || ' in spend from ' || format('{:,}', y.c) || ' transactions' || "
+    "CASE WHEN p.py > 0 THEN ', ' || " + _words_sql("y.v", "p.py") + " || ' on ' || "
+    "CASE WHEN e.whole THEN '' ELSE 'the same period of ' END || CAST(y.year - 1 AS VARCHAR) "
+    "ELSE '' END || '. ' || b.mname || ' alone was ' || "
+    + _pct_sql("CAST(b.mv AS DOUBLE) / CAST(y.v AS DOUBLE)", 1)
+    + " || '% of the year' || CASE WHEN e.whole THEN '' ELSE ' to date' END || "
+    "'. Switch to Day to open a month.' FROM ycell y LEFT JOIN ypy p ON y.year = p.year "
+    "JOIN ends_y e ON y.year = e.year JOIN ybest b ON y.year = b.year "
+    "UNION ALL SELECT 'Quarter', 'all', CAST((SELECT min(year) FROM ycell WHERE v > 0) AS VARCHAR) "
+    "|| ' to ' || CAST((SELECT max(year) FROM ycell WHERE v > 0) AS VARCHAR) || ' recorded ' || "
+    + _short_sql("CAST((SELECT sum(v) FROM ycell) AS DECIMAL(20,2))")
+    + " || ' in spend from ' || format('{:,}', (SELECT sum(c) FROM ycell)) || ' transactions. "
+    "Read across a row for the shape of a year, down a column for the same quarter year on year.' "
+    "UNION ALL SELECT 'Year', 'all', CAST((SELECT count(*) FROM ycell WHERE v > 0) AS VARCHAR) || "
+    "' years, ' || " + _short_sql("CAST((SELECT sum(v) FROM ycell) AS DECIMAL(20,2))")
+    + " || ' in spend from ' || format('{:,}', (SELECT sum(c) FROM ycell)) || ' transactions. "
+    "Switch to Quarter or Month to see where inside a year the change came from.'",
+    *CAL_CTES[:2], *STAND_CTES))
+def calendar_standfirst(spark, src):
+    """Standfirst Cal Day / Month / Quarter / Year: the paragraph under each view's title."""
+    cal = _cal(spark, src)
+    d = cal.cells_day()
+    m = d.groupBy("year", "month_no").agg(
+        F.date_format(F.min("date"), "MMMM yyyy").alias("label"),
+        F.date_format(F.min("date"), "yyyy-MM").alias("mkey"),
+        F.sum("v").cast("decimal(20,2)").alias("v"), F.sum("c").alias("c"),
+        F.count(F.lit(1)).alias("days_all"), F.count_if(F.col("v") <= 0).alias("quiet"))
+    mpy = cal_month_py(spark, src).select("year", "month_no", F.col("value_py").alias("py"))
+    best = d.groupBy(F.date_format("date", "yyyy-MM").alias("mkey")).agg(
+        F.min_by(F.struct(F.dayofmonth("date").alias("d"), F.col("v").alias("bv")),
+                 F.struct((-F.col("v")).alias("a"), F.col("date").alias("b"))).alias("_b"))
+    mj = m.join(mpy, ["year", "month_no"], "left").join(best, "mkey")
+    bd = F.col("_b.d")
+    day = mj.select(
+        F.lit("Day").alias("view"), F.col("mkey").alias("key"),
+        F.concat("label", F.lit(" recorded "), short_money("v"), F.lit(" in spend from "),
+                 _count_text("c"), F.lit(" transactions"),
+                 F.when(F.col("py") > 0, F.concat(F.lit(", "), _change_words(F.col("v"), F.col("py")),
+                                                  F.lit(" on the same month a year earlier")))
+                 .otherwise(F.lit("")),
+                 F.lit(". The biggest day was the "), bd.cast("string"), ordinal_suffix(bd),
+                 F.lit(" at "), short_money(F.col("_b.bv")), F.lit("; "),
+                 F.when(F.col("quiet") == 0, F.concat(F.lit("none of the "),
+                                                      F.col("days_all").cast("string")))
+                 .otherwise(F.concat(F.col("quiet").cast("string"), F.lit(" of "),
+                                     F.col("days_all").cast("string"))),
+                 F.lit(" days had no spend.")).alias("text"))
+    y = d.groupBy("year").agg(F.sum("v").cast("decimal(20,2)").alias("v"), F.sum("c").alias("c"))
+    ypy = cal_year_py(spark, src).select("year", F.col("value_py").alias("py"))
+    whole = cal.spine().groupBy("year").agg((F.count(F.lit(1)) >= 365).alias("whole"))
+    mon = d.groupBy("year", "month_no").agg(F.date_format(F.min("date"), "MMMM").alias("mname"),
+                                            F.sum("v").alias("mv"))
+    yb = mon.groupBy("year").agg(F.max("mv").alias("mv"), F.min_by(
+        "mname", F.struct((-F.col("mv")).alias("a"), F.col("mname").alias("b"))).alias("mname"))
+    yj = y.join(ypy, "year", "left").join(whole, "year").join(yb, "year")
+    month = yj.select(
+        F.lit("Month").alias("view"), F.col("year").cast("string").alias("key"),
+        F.concat(F.col("year").cast("string"), F.lit(" recorded "), short_money("v"),
+                 F.lit(" in spend from "), _count_text("c"), F.lit(" transactions"),
+                 F.when(F.col("py") > 0, F.concat(
+                     F.lit(", "), _change_words(F.col("v"), F.col("py")), F.lit(" on "),
+                     F.when(F.col("whole"), F.lit("")).otherwise(F.lit("the same period of ")),
+                     (F.col("year") - 1).cast("string"))).otherwise(F.lit("")),
+                 F.lit(". "), "mname", F.lit(" alone was "),
+                 _pct_text(ratio(F.col("mv"), F.col("v")), 1), F.lit("% of the year"),
+                 F.when(F.col("whole"), F.lit("")).otherwise(F.lit(" to date")),
+                 F.lit(". Switch to Day to open a month.")).alias("text"))
+    tot = y.agg(F.min(F.when(F.col("v") > 0, F.col("year"))).alias("_f"),
+                F.max(F.when(F.col("v") > 0, F.col("year"))).alias("_l"),
+                F.sum("v").cast("decimal(20,2)").alias("_v"), F.sum("c").alias("_c"),
+                F.count_if(F.col("v") > 0).alias("_n"))
+    quarter = tot.select(
+        F.lit("Quarter").alias("view"), F.lit("all").alias("key"),
+        F.concat(F.col("_f").cast("string"), F.lit(" to "), F.col("_l").cast("string"),
+                 F.lit(" recorded "), short_money("_v"), F.lit(" in spend from "), _count_text("_c"),
+                 F.lit(" transactions. Read across a row for the shape of a year, down a column "
+                       "for the same quarter year on year.")).alias("text"))
+    year = tot.select(
+        F.lit("Year").alias("view"), F.lit("all").alias("key"),
+        F.concat(F.col("_n").cast("string"), F.lit(" years, "), short_money("_v"),
+                 F.lit(" in spend from "), _count_text("_c"),
+                 F.lit(" transactions. Switch to Quarter or Month to see where inside a year "
+                       "the change came from.")).alias("text"))
+    return day.unionByName(month).unionByName(quarter).unionByName(year)
