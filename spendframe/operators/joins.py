@@ -79,12 +79,21 @@ def guard_empty(df: DataFrame, what: str, sample: int = 5) -> DataFrame:
     return df
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a global aggregate (exactly one row) to every row of ``df``
+    as uncorrelated scalar subqueries.  Catalyst merges sibling subqueries over the same
+    plan into one (MergeScalarSubqueries), runs it once and reads the values as
+    constants: no join, no cartesian product, nothing sized by ``df``."""
+    return df.select("*", *[one_row.select(one_row[c]).scalar().alias(c)
+                            for c in one_row.columns])
+
+
 def attach_totals(df: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
     """Attach coarser-grain totals to each row.  With keys this is an equi-join on
     the (null-safe) keys; with none, ``totals`` is a global aggregate of exactly one
-    row, attached as a broadcast scalar."""
+    row, attached as scalar subqueries."""
     if not keys:
-        return df.crossJoin(F.broadcast(totals))
+        return with_scalars(df, totals)
     cond = [df[k].eqNullSafe(totals[k]) for k in keys]
     t = totals
     joined = df.join(broadcast_if_small(t), on=cond, how="left")

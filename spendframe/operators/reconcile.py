@@ -93,12 +93,13 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
                  F.count_if(s.isNull() | (s == "")).alias(f"{c}__b"),
                  F.sum(F.length(s)).alias(f"{c}__bytes")]
     g = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
+    total = sum((F.coalesce(F.col(f"{c}__bytes"), F.lit(0)) for c in columns), F.lit(0))
+    g = g.select("*", total.cast("bigint").alias("__total"))    # same row: no second pass
     expr = "stack({}, {}) as (column_name, distinct_count, blanks, bytes)".format(
         len(columns), ", ".join(f"'{c}', `{c}__d`, `{c}__b`, CAST(`{c}__bytes` AS BIGINT)"
                                 for c in columns))
-    long = g.selectExpr("__rows", expr)
-    tot = long.agg(F.sum("bytes").alias("__total"))
-    return (long.crossJoin(tot)   # one-row total
+    long = g.selectExpr("__rows", "__total", expr)
+    return (long
             .select("column_name", "distinct_count", "blanks", "bytes",
                     (F.col("bytes") / F.col("__rows")).alias("avg_bytes"),
                     (F.col("bytes") / F.col("__total")).alias("share")))

@@ -2,7 +2,7 @@
 
 ``orderBy(...).limit(n)`` plans as a distributed take-ordered: each task keeps its
 own n best rows and only n x tasks rows meet at the end.  The n-th value becomes a
-one-row cutoff, broadcast back, and every row at or above it survives, so rows
+one-row cutoff, read back as a scalar subquery, and every row at or above it survives, so rows
 tied with the n-th are all kept.
 """
 
@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendframe.operators.joins import with_scalars
+
 
 def top_n_with_ties(df: DataFrame, n: int, by: str, ascending: bool = False) -> DataFrame:
     order = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
     head = df.where(F.col(by).isNotNull()).orderBy(order).limit(n)
     cutoff = head.agg((F.max(by) if ascending else F.min(by)).alias("__cutoff"),
                       F.count(F.lit(1)).alias("__k"))
-    j = df.crossJoin(F.broadcast(cutoff))   # one row
+    j = with_scalars(df, cutoff)
     keep = F.col("__k") < n          # fewer than n non-null rows: keep everything
     keep = keep | ((F.col(by) <= F.col("__cutoff")) if ascending else (F.col(by) >= F.col("__cutoff")))
     return j.where(keep).drop("__cutoff", "__k")

@@ -18,6 +18,7 @@ from spendframe.functions import constants as K
 from spendframe.functions.scalar import (change, month_in_quarter, ordinal_suffix, ratio,
                                          short_money, week_of_month)
 from spendframe.operators.calendar import rank_band, zero_fill
+from spendframe.operators.joins import with_scalars
 from spendframe.plans.measures import PARTS
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
@@ -373,7 +374,7 @@ def quarter_seasonality(spark, src):
     d = cal.cells_day().join(F.broadcast(whole), "year", "left_semi")
     g = d.groupBy("quarter").agg(F.sum("v").alias("_v"))
     tot = g.agg(F.sum("_v").alias("_t"))
-    return (g.crossJoin(F.broadcast(tot))
+    return (with_scalars(g, tot)
             .select("quarter", F.col("_v").cast("double").alias("value"),
                     ratio(F.col("_v"), F.col("_t")).alias("share")))
 
@@ -502,7 +503,7 @@ def cal_total_all(spark, src):
         F.count_if(F.col("_yv") > 0).alias("year_count"))
     g = d.agg(F.sum("v").alias("_v"), F.sum("c").alias("_c"),
               F.count_if(F.col("v") > 0).alias("_a"))
-    return g.crossJoin(yc).select(F.col("_v").cast("double").alias("value"),
+    return with_scalars(g, yc).select(F.col("_v").cast("double").alias("value"),
                                   F.col("_c").cast("bigint").alias("count"),
                                   ratio(F.col("_v"), F.col("_a")).alias("avg_per_active_day"),
                                   "year_count")
@@ -633,15 +634,15 @@ def calendar_titles(spark, src):
     whole = (cal.spine().groupBy("year").agg(F.count(F.lit(1)).alias("_d"))
              .where(F.col("_d") >= 365).select("year"))
     wyears = yr.join(F.broadcast(whole), "year", "left_semi")
-    part = (yr.agg(F.count_if(F.col("v") > 0).alias("_a"))
-            .crossJoin(wyears.agg(F.count_if(F.col("v") > 0).alias("_w")))
+    part = (with_scalars(yr.agg(F.count_if(F.col("v") > 0).alias("_a")),
+                         wyears.agg(F.count_if(F.col("v") > 0).alias("_w")))
             .select((F.col("_a") - F.col("_w")).alias("part_years")))
     suffix = F.when(F.col("part_years") > 0, F.lit(" (whole years only)")).otherwise(F.lit(""))
     q = (d.join(F.broadcast(whole), "year", "left_semi").groupBy("quarter").agg(F.sum("v").alias("v"))
          .agg(F.max("v").alias("_best"), F.sum("v").alias("_tot"),
               F.min_by("quarter", F.struct((-F.col("v")).alias("a"), F.col("quarter").alias("b")))
               .alias("_q")))
-    quarter = q.crossJoin(part).select(
+    quarter = with_scalars(q, part).select(
         F.lit("Quarter").alias("view"), F.lit("all").alias("key"),
         F.concat("_q", F.lit(" carries "), _pct_text(ratio(F.col("_best"), F.col("_tot")), 0),
                  F.lit("% of all spend, more than any other quarter"), suffix).alias("title"))
@@ -649,7 +650,7 @@ def calendar_titles(spark, src):
     ends = yp.agg(F.max("year").alias("_ly"), F.min("year").alias("_fy"),
                   F.max_by("v", "year").alias("_lv"), F.min_by("v", "year").alias("_fv"))
     chg = change(F.col("_lv"), F.col("_fv"))
-    year = ends.crossJoin(part).select(
+    year = with_scalars(ends, part).select(
         F.lit("Year").alias("view"), F.lit("all").alias("key"),
         F.concat(F.col("_ly").cast("string"), F.lit(" closed at "), short_money("_lv"),
                  F.lit(" in spend, "), F.when(chg >= 0, F.lit("up ")).otherwise(F.lit("down ")),

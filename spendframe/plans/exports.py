@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendframe.functions.scalar import ratio
+from spendframe.operators.joins import with_scalars
 from spendframe.plans.binding import CHIP_CHANNEL, ONLINE_CHANNEL, Star
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
@@ -151,7 +152,7 @@ def x_totals(spark, src):
               F.count_if(F.col("ok") & (F.col("amount") < 0)).alias("_rn"),
               F.min("date").alias("_first"), F.max("date").alias("_last"))
     cards = Tables(spark, src).supplier.agg(F.count(F.lit(1)).alias("cards_on_file"))
-    g = g.crossJoin(cards)          # both sides are global aggregates: one row each
+    g = with_scalars(g, cards)      # both sides are global aggregates: one row each
     return g.select(
         *figure_cols(), "clients", "cards_active", "cards_on_file",
         F.round(F.col("_att"), 2).cast("double").alias("attempted_value"),
@@ -242,7 +243,7 @@ def step_change(spark, src):
               F.min_by(F.when(F.col("share") > 0, F.col("share")),
                        F.when(F.col("share") > 0, F.col("month"))).alias("_first"))
     chip = chip_consistency(spark, src)
-    return g.crossJoin(chip).select(
+    return with_scalars(g, chip).select(
         "first_chip_month", "last_month_without_chip",
         F.round("_before", 4).alias("share_month_before"),
         F.round("_first", 4).alias("share_first_month"), "chip_rows_on_cards_without_a_chip")

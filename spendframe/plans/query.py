@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from spendframe.functions.constants import DAYS_PER_YEAR
 from spendframe.functions.scalar import change, ratio
-from spendframe.operators.joins import join_dim
+from spendframe.operators.joins import join_dim, with_scalars
 from spendframe.operators.topn import top_n_with_ties
 from spendframe.plans.binding import Star
 from spendframe.plans.measures import (DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
@@ -59,7 +59,7 @@ def _year_range(where: Mapping | None):
 def join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on group keys, null-safe; with no keys ``right`` is one row."""
     if not keys:
-        return left.crossJoin(F.broadcast(right))
+        return with_scalars(left, right)
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]

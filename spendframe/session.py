@@ -46,7 +46,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="spendframe-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: a cluster needs a shared "
+                               "checkpoint folder (a machine-local one does not survive an "
+                               "executor loss)")
+        path = tempfile.mkdtemp(prefix="spendframe-ckpt-")   # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
