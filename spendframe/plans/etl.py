@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from spendframe.functions import constants as K
 from spendframe.functions.scalar import MONEY, band, money, money_text, ratio
-from spendframe.operators.joins import GuardError, anti, guard_empty, join_dim, semi
+from spendframe.operators.joins import GuardError, anti, guard_empty, join_dim, semi, with_scalars
 from spendframe.plans.binding import (CHIP_CHANNEL, ONLINE_CHANNEL, Star, location_columns)
 from spendframe.plans.flat import flat_table
 from spendframe.plans.oracle import _q, with_ctes
@@ -529,6 +529,52 @@ def eligible_clients(spark, src):
     return c.intersect(_seen_clients(spark, src))
 
 
+@register("population_counts", with_ctes(
+    "SELECT CAST((SELECT count(*) FROM customer) AS BIGINT) AS population_clients, "
+    "CAST((SELECT count(DISTINCT client_key) FROM att) AS BIGINT) "
+    "AS population_clients_with_transactions, "
+    "CAST((SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT client_key FROM att)) "
+    "AS BIGINT) AS population_clients_never_transacting, "
+    "CAST((SELECT count(*) FROM supplier WHERE s_suppkey NOT IN (SELECT card_key FROM att)) "
+    "AS BIGINT) AS population_cards_never_transacting, "
+    "CAST((SELECT count(*) FROM panel) AS BIGINT) AS sample_clients, "
+    "CAST((SELECT count(*) FROM att) AS BIGINT) AS population_transactions, "
+    "CAST((SELECT count(*) FROM att WHERE client_key IN (SELECT client_key FROM panel)) "
+    "AS BIGINT) AS sample_transactions, "
+    "CAST((SELECT count(DISTINCT card_key) FROM att WHERE client_key IN "
+    "(SELECT client_key FROM panel)) AS BIGINT) AS sample_cards_active", SAMPLE_SQL))
+def population_counts(spark, src):
+    """A10: population vs sample.  Master clients, clients seen in the fact, the never
+    transacting on both masters, the panel drawn from the seen clients, and the fact rows
+    and active cards the panel keeps.  Each figure is a global aggregate (one row); they
+    are put side by side as scalar subqueries."""
+    t = Tables(spark, src)
+    f = Model(spark, src).fact({"client_key", "card_key"})
+    cust = t.customer.select(F.col("c_custkey").alias("client_key"))
+    supp = t.supplier.select(F.col("s_suppkey").alias("card_key"))
+    p = panel(spark, src)
+    kept = semi(f, p, "client_key", bounded=True)     # the panel is bounded by its size
+    out = cust.agg(F.count(F.lit(1)).alias("population_clients"))
+    for one in [
+        f.agg(F.countDistinct("client_key").alias("population_clients_with_transactions"),
+              F.count(F.lit(1)).alias("population_transactions")),
+        anti(cust, f.select("client_key"), "client_key").agg(
+            F.count(F.lit(1)).alias("population_clients_never_transacting")),
+        anti(supp, f.select("card_key"), "card_key").agg(
+            F.count(F.lit(1)).alias("population_cards_never_transacting")),
+        p.agg(F.count(F.lit(1)).alias("sample_clients")),
+        kept.agg(F.count(F.lit(1)).alias("sample_transactions"),
+                 F.countDistinct("card_key").alias("sample_cards_active")),
+    ]:
+        out = with_scalars(out, one)
+    return out.select(
+        *[F.col(c).cast("bigint").alias(c) for c in [
+            "population_clients", "population_clients_with_transactions",
+            "population_clients_never_transacting", "population_cards_never_transacting",
+            "sample_clients", "population_transactions", "sample_transactions",
+            "sample_cards_active"]])
+
+
 @register("reconcile_presence",
           "SELECT CASE WHEN d.doc_id IS NULL THEN 'right_only' WHEN l.doc_id IS NULL THEN 'left_only' "
           "ELSE 'both' END AS presence, count(*) AS n FROM documents d FULL OUTER JOIN labels l "
