@@ -9,6 +9,7 @@ from spendframe.functions import constants as K
 from spendframe.operators.calendar import zero_fill
 from spendframe.operators.reconcile import column_profile as profile_op
 from spendframe.operators.reconcile import field_diff, multiset_diff, widen
+from spendframe.operators.topn import top_n_with_ties
 from spendframe.plans.benchmark import FLAT_CTES, GRAINS, figures_4_grains
 from spendframe.plans.calendar import Calendar
 from spendframe.plans.flat import flat_table
@@ -211,10 +212,15 @@ def column_profile(spark, src):
     "CAST(rank() OVER (ORDER BY sum(amount) FILTER (WHERE ok) ASC NULLS LAST) AS INTEGER) "
     "FROM att GROUP BY category) WHERE rank <= 5"))
 def top_bottom_n(spark, src, n: int = 5):
-    """Top or bottom N by competition rank (ties share a rank, all kept)."""
+    """Top or bottom N by competition rank (ties share a rank, all kept).  The rows
+    with rank <= n are exactly those at or beyond the n-th value: a distributed top-N
+    with ties selects them, and the rank is then numbered inside that bounded subset
+    (every row ranked above a kept row is kept, so the rank equals the global one)."""
     r = Model(spark, src).evaluate(["category"], ["spend"])
-    top = r.select(F.lit("top").alias("direction"), "category", "spend",
-                   F.rank().over(Window.orderBy(F.col("spend").desc_nulls_last())).alias("rank"))
-    bot = r.select(F.lit("bottom").alias("direction"), "category", "spend",
-                   F.rank().over(Window.orderBy(F.col("spend").asc_nulls_last())).alias("rank"))
-    return top.unionByName(bot).where(F.col("rank") <= n)
+    out = []
+    for direction, asc in (("top", False), ("bottom", True)):
+        head = top_n_with_ties(r, n, "spend", ascending=asc)
+        order = F.col("spend").asc_nulls_last() if asc else F.col("spend").desc_nulls_last()
+        out.append(head.select(F.lit(direction).alias("direction"), "category", "spend",
+                               F.rank().over(Window.orderBy(order)).alias("rank")))
+    return out[0].unionByName(out[1]).where(F.col("rank") <= n)
