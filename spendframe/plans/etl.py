@@ -277,12 +277,20 @@ def location_classify(spark, src):
 def label_three_state(spark, src):
     """P13 on a genuine partial label set: not labelled != clean."""
     t = Tables(spark, src)
-    d = t.documents.select("doc_id")
-    lab = t.labels.select("doc_id", "toxic", F.lit(True).alias("_has"))
-    j = join_dim(d, lab, "doc_id", size_proxy=t.labels.select("doc_id", "toxic"))
+    j = label_status(t.documents.select("doc_id"), t.labels.select("doc_id", "toxic"),
+                     "doc_id", "toxic")
+    return j.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def label_status(rows: DataFrame, labels: DataFrame, key: str, flag: str) -> DataFrame:
+    """Each row of ``rows`` gets a three-state ``status`` by membership in the label
+    set: absent = not labelled, flag 1 = confirmed fraud, otherwise confirmed not fraud.
+    The label set is joined many-to-one (broadcast only under the size check)."""
+    lab = labels.select(key, flag, F.lit(True).alias("_has"))
+    j = join_dim(rows, lab, key, size_proxy=labels)
     st = (F.when(F.col("_has").isNull(), K.FRAUD_STATUS[0][1])
-          .when(F.col("toxic") == 1, K.FRAUD_STATUS[2][1]).otherwise(K.FRAUD_STATUS[1][1]))
-    return j.groupBy(st.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+          .when(F.col(flag) == 1, K.FRAUD_STATUS[2][1]).otherwise(K.FRAUD_STATUS[1][1]))
+    return j.select(*rows.columns, st.alias("status"))
 
 
 # ---------------------------------------------------------------- P14, P15, P17, P19, P20
