@@ -54,15 +54,29 @@ def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(side, on=on, how=how)
 
 
+def _key_set(keys: DataFrame, on) -> DataFrame:
+    """The distinct keys of ``keys``.  A key set is often a fact column; the distinct runs
+    a partial aggregate before its shuffle, so a key holding a third of all rows sends one
+    row per task instead of landing whole in one task (AQE cannot split the build side of
+    a semi/anti join).  Duplicates do not change EXISTS / NOT EXISTS."""
+    if isinstance(on, str):
+        on = [on]
+    if isinstance(on, (list, tuple)) and all(isinstance(c, str) for c in on):
+        return keys.select(*on).distinct()
+    return keys
+
+
 def semi(df: DataFrame, keys: DataFrame, on, bounded: bool = False) -> DataFrame:
     """EXISTS: rows of ``df`` whose key appears in ``keys``."""
-    side = F.broadcast(keys) if bounded else broadcast_if_small(keys)
+    k = _key_set(keys, on)
+    side = F.broadcast(k) if bounded else broadcast_if_small(k)
     return df.join(side, on=on, how="left_semi")
 
 
 def anti(df: DataFrame, keys: DataFrame, on, bounded: bool = False) -> DataFrame:
     """NOT EXISTS: rows of ``df`` whose key is absent from ``keys``."""
-    side = F.broadcast(keys) if bounded else broadcast_if_small(keys)
+    k = _key_set(keys, on)
+    side = F.broadcast(k) if bounded else broadcast_if_small(k)
     return df.join(side, on=on, how="left_anti")
 
 
