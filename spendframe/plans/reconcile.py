@@ -212,15 +212,10 @@ def column_profile(spark, src):
     "CAST(rank() OVER (ORDER BY sum(amount) FILTER (WHERE ok) ASC NULLS LAST) AS INTEGER) "
     "FROM att GROUP BY category) WHERE rank <= 5"))
 def top_bottom_n(spark, src, n: int = 5):
-    """Top or bottom N by competition rank (ties share a rank, all kept).  The rows
-    with rank <= n are exactly those at or beyond the n-th value: a distributed top-N
-    with ties selects them, and the rank is then numbered inside that bounded subset
-    (every row ranked above a kept row is kept, so the rank equals the global one)."""
+    """Top or bottom N by competition rank (ties share a rank, all kept), each as a
+    one-pass top-N with ties (per-task partial limits, bounded final task)."""
     r = Model(spark, src).evaluate(["category"], ["spend"])
-    out = []
-    for direction, asc in (("top", False), ("bottom", True)):
-        head = top_n_with_ties(r, n, "spend", ascending=asc)
-        order = F.col("spend").asc_nulls_last() if asc else F.col("spend").desc_nulls_last()
-        out.append(head.select(F.lit(direction).alias("direction"), "category", "spend",
-                               F.rank().over(Window.orderBy(order)).alias("rank")))
-    return out[0].unionByName(out[1]).where(F.col("rank") <= n)
+    out = [top_n_with_ties(r, n, "spend", ascending=asc, rank_col="rank")
+           .select(F.lit(direction).alias("direction"), "category", "spend", "rank")
+           for direction, asc in (("top", False), ("bottom", True))]
+    return out[0].unionByName(out[1])

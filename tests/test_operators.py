@@ -39,6 +39,27 @@ def test_top_n_keeps_ties(spark):
     assert sorted(r.k for r in top_n_with_ties(df, 10, "s").collect()) == ["a", "b", "c", "d"]
 
 
+def test_top_n_window_and_cutoff_paths_agree(spark):
+    df = spark.createDataFrame([("a", 10.0), ("b", 9.0), ("c", 9.0), ("d", 1.0), ("e", None)],
+                               "k string, s double")
+    cases = [(2, False), (1, True), (2, True), (5, False), (10, False)]
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
+    got = {}
+    try:
+        for conf in ("1000", "-1"):      # window-group-limit plan, then the cutoff plan
+            spark.conf.set(key, conf)
+            got[conf] = ([sorted(r.k for r in top_n_with_ties(df, n, "s", asc).collect())
+                          for n, asc in cases],
+                         sorted((r.k, r.rk) for r in
+                                top_n_with_ties(df, 2, "s", rank_col="rk").collect()))
+    finally:
+        spark.conf.set(key, old)
+    assert got["1000"] == got["-1"]
+    assert got["1000"][0][:3] == [["a", "b", "c"], ["d"], ["b", "c", "d"]]
+    assert got["1000"][1] == [("a", 1), ("b", 2), ("c", 2)]
+
+
 def test_peak_day_tie_takes_earliest(spark):
     df = spark.sql("SELECT date'2020-01-03' d, 5 v UNION ALL SELECT date'2020-01-01', 5 "
                    "UNION ALL SELECT date'2020-01-02', 4")
