@@ -381,9 +381,9 @@ def active_entity_scan(spark, src):
 
 
 @register("json_map_explode",
-          "SELECT k AS key, count(*) AS n, sum(CAST(json_extract(props, '$.\"' || k || '\"') "
-          "AS BIGINT)) AS total FROM (SELECT props, unnest(json_keys(props)) AS k FROM events) "
-          "GROUP BY k")
+          "SELECT k AS key, count(*) AS n, CAST(sum(CAST(json_extract(props, '$.\"' || k || '\"') "
+          "AS BIGINT)) AS BIGINT) AS total FROM (SELECT props, unnest(json_keys(props)) AS k "
+          "FROM events) GROUP BY k")
 def json_map_explode(spark, src):
     """A {key: value} JSON object per row -> (key, value) rows."""
     ev = Tables(spark, src).events
@@ -427,7 +427,7 @@ def _written_fact(spark, src) -> str:
 def fact_by_year_counts(spark, src):
     """The fact written one directory per year (sorted inside), read back."""
     path = _written_fact(spark, src)
-    return read_fact(spark, path).groupBy("year").agg(
+    return read_fact(spark, path).groupBy(F.col("year").cast("bigint").alias("year")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
 
 
