@@ -403,18 +403,22 @@ def peak_year(spark, src):
              .where(F.col("_days") >= 365).select("year"))
     years = (cal.cells_day().join(F.broadcast(whole), "year", "left_semi")
              .groupBy("year").agg(F.sum("v").alias("v")).where(F.col("v") > 0))
-    g = years.agg(
+    ends = years.agg(F.max("year").alias("year_last"), F.min("year").alias("year_first"))
+    y = with_scalars(years, ends)
+
+    def at(cond):        # the value of the one year meeting cond (null when none)
+        return F.max(F.when(cond, F.col("v")))
+    g = y.agg(
         F.max("v").alias("_best"),
         F.min_by("year", F.struct((-F.col("v")).alias("a"), F.col("year").alias("b")))
          .alias("best_year"),
         F.avg(F.col("v").cast("double")).alias("avg_per_whole_year"),
-        F.max("year").alias("year_last"), F.min("year").alias("year_first"),
-        F.map_from_entries(F.collect_list(F.struct("year", "v"))).alias("_by"))
-    # _by holds one entry per whole year (bounded by the date range, not by rows)
-    last = F.element_at("_by", F.col("year_last"))
-    before = F.element_at("_by", F.col("year_last") - 1)
-    first = F.element_at("_by", F.col("year_first"))
-    second = F.element_at("_by", F.col("year_first") + 1)
+        F.max("year_last").alias("year_last"), F.max("year_first").alias("year_first"),
+        at(F.col("year") == F.col("year_last")).alias("_last"),
+        at(F.col("year") == F.col("year_last") - 1).alias("_before"),
+        at(F.col("year") == F.col("year_first")).alias("_first"),
+        at(F.col("year") == F.col("year_first") + 1).alias("_second"))
+    last, before, first, second = (F.col(c) for c in ("_last", "_before", "_first", "_second"))
     return g.select(F.col("_best").cast("double").alias("best"), "best_year",
                     "avg_per_whole_year", "year_last", "year_first",
                     change(last, before).alias("change_last"),
