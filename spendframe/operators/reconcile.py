@@ -76,11 +76,12 @@ def multiset_diff(a: DataFrame, b: DataFrame, a_cols: list[str] | None = None,
 
 
 def widen(long_df: DataFrame, column: str = "column", value: str = "value",
-          order: str = "ord") -> DataFrame:
-    """A positional row number per column, then one wide row per position."""
+          order: str = "ord", columns: list[str] | None = None) -> DataFrame:
+    """A positional row number per column, then one wide row per position.  With
+    ``columns`` given the pivot needs no extra job to find them."""
     w = Window.partitionBy(column).orderBy(order)
     numbered = long_df.withColumn("i", F.row_number().over(w))
-    return numbered.groupBy("i").pivot(column).agg(F.first(value))
+    return numbered.groupBy("i").pivot(column, columns).agg(F.first(value))
 
 
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:

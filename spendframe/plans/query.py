@@ -35,6 +35,8 @@ from spendframe.plans.binding import Star
 from spendframe.plans.measures import (DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
                                        output_cast)
 
+ADDITIVE = ("count", "money")      # part kinds that add up across days
+
 
 def _filter(df: DataFrame, where: Mapping | None) -> DataFrame:
     for col, val in (where or {}).items():
@@ -45,15 +47,19 @@ def _filter(df: DataFrame, where: Mapping | None) -> DataFrame:
     return df
 
 
-def _year_range(where: Mapping | None):
-    """[first day, day after) covering a year slicer, or None."""
+def _years(where: Mapping | None) -> list[int]:
     if not where or "year" not in where:
-        return None
+        return []
     v = where["year"]
-    ys = [int(x) for x in (v if isinstance(v, (list, tuple, set, frozenset)) else [v])]
+    return [int(x) for x in (v if isinstance(v, (list, tuple, set, frozenset)) else [v])]
+
+
+def _year_range(where: Mapping | None, back: int = 0):
+    """[first day, day after) covering a year slicer (widened ``back`` years), or None."""
+    ys = _years(where)
     if not ys:
         return None
-    return f"{min(ys)}-01-01 00:00:00", f"{max(ys) + 1}-01-01 00:00:00"
+    return f"{min(ys) - back}-01-01 00:00:00", f"{max(ys) + 1}-01-01 00:00:00"
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,8 +122,13 @@ class Model:
         need = set(keys) | {"date"}
         for p in parts:
             need |= PARTS[p].cols
-        f = self.fact(need, where)
-        agg = f.groupBy(*keys).agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)])
+        py_parts = sorted({s.split(":", 1)[1] for m in ms if m.special
+                           for s in [m.special] if s.startswith(("py:", "yoy:"))})
+        if py_parts and all(PARTS[p].kind in ADDITIVE for p in parts | set(py_parts)):
+            agg = self.current_and_prior(keys, parts, py_parts, where)
+        else:
+            f = self.fact(need, where)
+            agg = f.groupBy(*keys).agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)])
 
         cols = {p: F.col(p) for p in parts}
         specials = {m.special for m in ms if m.special}
@@ -136,7 +147,7 @@ class Model:
                     agg = join_keys(agg, self.prior_year(part, keys, where), keys)
             elif s.startswith("share:"):
                 part, cleared = SHARE_CLEARS[s]
-                agg = self._attach_share_total(agg, f, s, part, cleared, keys, where)
+                agg = self._attach_share_total(agg, s, part, cleared, keys, where)
             elif s == "trailing12":
                 agg = join_keys(agg, self.trailing_12m(keys, where), keys)
             elif s == "period":
@@ -212,6 +223,45 @@ class Model:
                                      F.date_format(l, "MMM yyyy"))))
         return b.select(*date_keys, label.alias("report_period"))
 
+    def current_and_prior(self, keys: list[str], parts: set[str], py_parts: list[str],
+                          where: Mapping | None) -> DataFrame:
+        """All parts per group and the prior year of ``py_parts``, in ONE scan of the fact
+        (additive parts only).  Every fact row is emitted twice - at its own date and
+        moved forward 12 months (29 Feb -> 28 Feb) - rolled up by (other keys, day,
+        shifted), inner-joined to the visible day spine (shifted days past the end drop
+        out; date keys and date filters come from the spine), and summed per group:
+        unshifted rows give the parts, shifted rows the prior year.  Groups without a
+        current row are dropped, as a group-by over the fact would never form them.  A
+        year slicer is widened by one year so it still reaches the scan."""
+        fwhere, dwhere = self.split_where(where)
+        date_keys = [k for k in keys if k in DATE_ATTRS]
+        other = [k for k in keys if k not in DATE_ATTRS]
+        every = sorted(set(parts) | set(py_parts))
+        need = set(other) | set(fwhere) | {"date"}
+        for p in every:
+            need |= PARTS[p].cols
+        ys = _years(where)
+        if ys:
+            need |= {"timestamp", "year"}
+        f = _filter(self.star.fact(need), fwhere)
+        if ys:
+            lo, hi = _year_range(where, back=1)
+            f = f.where((F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz")) &
+                        (F.col("timestamp") < F.lit(hi).cast("timestamp_ntz")) &
+                        F.col("year").between(min(ys) - 1, max(ys)))
+        pair = F.array(F.struct(F.col("date").alias("_d"), F.lit(False).alias("_shift")),
+                       F.struct(F.add_months("date", 12).alias("_d"), F.lit(True).alias("_shift")))
+        daily = (f.select("*", F.inline(pair))
+                 .groupBy(*other, "_d", "_shift").agg(*[PARTS[p].spark().alias(p) for p in every]))
+        spine = self.spine(dwhere).select(F.col("date").alias("_d"), *date_keys)
+        j = daily.join(F.broadcast(spine), "_d", "inner")   # spine: one row per day
+        cur, shifted = ~F.col("_shift"), F.col("_shift")
+        return (j.groupBy(*keys)
+                .agg(*[F.sum(F.when(cur, F.col(p))).alias(p) for p in sorted(parts)],
+                     *[F.sum(F.when(shifted, F.col(p))).alias(f"{p}__py") for p in py_parts],
+                     F.max(cur.cast("int")).alias("_cur"))
+                .where(F.col("_cur") == 1).drop("_cur"))
+
     def prior_year(self, part: str, keys: list[str], where: Mapping | None) -> DataFrame:
         """The part over the visible dates shifted back one year.  The fact
         is rolled up to days, the day moved forward 12 months (29 Feb -> 28 Feb), and
@@ -245,7 +295,7 @@ class Model:
              .where((F.col("date") > F.add_months("_end", -12)) & (F.col("date") <= F.col("_end"))))
         return j.groupBy(*keys).agg(F.sum("_v").alias("spend_12m"))
 
-    def _attach_share_total(self, agg, f, special, part, cleared, keys, where):
+    def _attach_share_total(self, agg, special, part, cleared, keys, where):
         """Denominator of a context share: the part with the cleared dimensions' group keys
         and filters removed."""
         rest = [k for k in keys if k not in cleared]

@@ -178,7 +178,7 @@ def result_widen(spark, src):
     r = QUERIES["q07_spend_yoy"](spark, src)
     long = r.selectExpr("year AS ord",
                         "stack(3, 'spend', spend, 'py', py, 'yoy', yoy) AS (column, value)")
-    return widen(long, "column", "value", "ord")
+    return widen(long, "column", "value", "ord", ["py", "spend", "yoy"])
 
 
 PROFILE_COLS = ["client_id", "card_id", "channel", "errors", "fraud_label", "merchant_category",
