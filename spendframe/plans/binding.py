@@ -186,22 +186,45 @@ class Star:
             f = f.select(*keep, *[der[c].alias(c) for c in want_der])
         return f
 
+    # foreign keys (and fact columns) each dimension join reads
+    DIM_KEYS = {"part": {"mcc"}, "client": {"client_key", "channel", "line_number"},
+                "card": {"card_key"}}
+    DIM_COLS = {"part": PART_COLS, "client": CLIENT_COLS, "card": CARD_COLS}
+
+    def dims_for(self, need) -> list[str]:
+        """The dimensions (part, client, card) whose columns ``need`` touches."""
+        return [d for d, cols in self.DIM_COLS.items() if set(need) & cols]
+
+    def dim_is_large(self, dim: str) -> bool:
+        """The broadcast size check of ``join_dim`` (base scan x expansion > limit)."""
+        from spendframe.operators.joins import BROADCAST_LIMIT_BYTES, EXPANSION, estimated_bytes
+        proxy = {"part": lambda: self.t.part.select("p_partkey", "p_brand", "p_type"),
+                 "client": self.client_proxy, "card": self.card_proxy}[dim]()
+        size = estimated_bytes(proxy)
+        return size is None or size * EXPANSION > BROADCAST_LIMIT_BYTES
+
     def fact(self, need=None) -> DataFrame:
         """Enriched fact.  ``need``: column names the caller will use (None = all)."""
         need = set(need) if need is not None else (BASE_COLS | PART_COLS | CLIENT_COLS |
                                                      CARD_COLS | DATE_DIM_COLS)
         base_cols = need & BASE_COLS
-        if need & PART_COLS:
-            base_cols.add("mcc")
-        if need & CLIENT_COLS:
-            base_cols |= {"client_key", "channel", "line_number"}
-        if need & CARD_COLS:
-            base_cols.add("card_key")
+        for d in self.dims_for(need):
+            base_cols |= self.DIM_KEYS[d]
         if need & DATE_DIM_COLS:
             base_cols.add("date")
         if self._mat is not None:           # imported model: prune the in-memory star
             return self._mat[0]
         f = self.base(base_cols or {"order_key"})
+        f = self.attach_dims(f, need)
+        if need & DATE_DIM_COLS:
+            dd = self.date_dim().select("date", "in_lfl", "is_complete_year")
+            f = join_dim(f, dd, "date", how="inner", bounded=True)
+        return f
+
+    def attach_dims(self, f: DataFrame, need) -> DataFrame:
+        """Join the part / client / card dimensions ``need`` touches onto ``f``, which
+        holds their foreign keys (fact rows, or fact rows pre-aggregated by those keys)."""
+        need = set(need)
         if need & PART_COLS:
             f = join_dim(f, self.category_dim().select("mcc", "category", "category_group"), "mcc",
                          size_proxy=self.t.part.select("p_partkey", "p_brand", "p_type"))
@@ -211,9 +234,6 @@ class Star:
             f = join_dim(f, self.card_dim().select(
                 "card_key", "credit_limit", "credit_limit_band", "credit_limit_band_sort",
                 "card_brand", "card_type", "has_chip"), "card_key", size_proxy=self.card_proxy())
-        if need & DATE_DIM_COLS:
-            dd = self.date_dim().select("date", "in_lfl", "is_complete_year")
-            f = join_dim(f, dd, "date", how="inner", bounded=True)
         return f
 
     def _with_client(self, f: DataFrame) -> DataFrame:

@@ -35,7 +35,8 @@ from spendframe.plans.binding import Star
 from spendframe.plans.measures import (DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
                                        output_cast)
 
-ADDITIVE = ("count", "money")      # part kinds that add up across days
+ADDITIVE = ("count", "money")      # part kinds that add up across days and groups
+EAGER_CONF = "spendframe.eagerDimAggregation"   # auto | always | never
 
 
 def _filter(df: DataFrame, where: Mapping | None) -> DataFrame:
@@ -126,6 +127,8 @@ class Model:
                            for s in [m.special] if s.startswith(("py:", "yoy:"))})
         if py_parts and all(PARTS[p].kind in ADDITIVE for p in parts | set(py_parts)):
             agg = self.current_and_prior(keys, parts, py_parts, where)
+        elif self._eager_dims(keys, parts, where):
+            agg = self.eager_aggregate(keys, parts, where)
         else:
             f = self.fact(need, where)
             agg = f.groupBy(*keys).agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)])
@@ -223,6 +226,43 @@ class Model:
                                      F.date_format(l, "MMM yyyy"))))
         return b.select(*date_keys, label.alias("report_period"))
 
+    def _eager_dims(self, keys, parts, where) -> list[str]:
+        """Dimensions to join AFTER a first aggregation (eager aggregation): only when every
+        part adds up, the star is not imported, and - in ``auto`` mode - a dimension the
+        query touches fails the broadcast size check (a shuffle join of every fact row)."""
+        mode = self.spark.conf.get(EAGER_CONF, "auto")
+        if mode == "never" or self.star._mat is not None:
+            return []
+        if not all(PARTS[p].kind in ADDITIVE for p in parts):
+            return []
+        dims = self.star.dims_for(set(keys) | set(where or {}))
+        if mode != "always" and not any(self.star.dim_is_large(d) for d in dims):
+            return []
+        return dims
+
+    def eager_aggregate(self, keys: list[str], parts: set[str],
+                        where: Mapping | None) -> DataFrame:
+        """Group-by over large dimensions without shuffling fact rows into a join: the fact
+        is aggregated by its own key columns plus the dimensions' foreign keys (map-side
+        combine first, so a hot key costs one row per task), the dimensions are joined onto
+        that aggregate, dimension filters applied, and the parts summed to the group keys.
+        Valid because every part adds up and every dimension column is a function of its
+        foreign keys."""
+        star = self.star
+        dims = star.dims_for(set(keys) | set(where or {}))
+        dim_cols = set().union(*[star.DIM_COLS[d] for d in dims])
+        fkeys = set().union(*[star.DIM_KEYS[d] for d in dims])
+        fact_where = {k: v for k, v in (where or {}).items() if k not in dim_cols}
+        dim_where = {k: v for k, v in (where or {}).items() if k in dim_cols}
+        pre_keys = sorted((set(keys) - dim_cols) | fkeys)
+        need = set(pre_keys)
+        for p in parts:
+            need |= PARTS[p].cols
+        pre = (self.fact(need, fact_where).groupBy(*pre_keys)
+               .agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)]))
+        j = _filter(star.attach_dims(pre, set(keys) | set(dim_where)), dim_where)
+        return j.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in sorted(parts)])
+
     def current_and_prior(self, keys: list[str], parts: set[str], py_parts: list[str],
                           where: Mapping | None) -> DataFrame:
         """All parts per group and the prior year of ``py_parts``, in ONE scan of the fact
