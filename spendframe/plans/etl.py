@@ -633,14 +633,26 @@ def _melt(df: DataFrame) -> DataFrame:
     "('spend_approved', CAST((SELECT sum(amount) FROM att WHERE ok) AS VARCHAR)), "
     "('spend_all_rows', CAST((SELECT sum(amount) FROM att) AS VARCHAR)), "
     "('partial_final_year', CAST((SELECT year(max(date)) FROM att) AS VARCHAR)), "
-    "('partial_final_year_months', CAST((SELECT month(max(date)) FROM att) AS VARCHAR))"
+    "('partial_final_year_months', CAST((SELECT month(max(date)) FROM att) AS VARCHAR)), "
+    "('population_cards', CAST((SELECT count(*) FROM supplier) AS VARCHAR)), "
+    "('fact_rows', CAST((SELECT count(*) FROM att) AS VARCHAR)), "
+    "('fact_years', CAST((SELECT count(DISTINCT year) FROM att) AS VARCHAR)), "
+    "('decline_rate', CAST((SELECT CAST(round(CAST(count(*) FILTER (WHERE NOT ok) AS DOUBLE) / "
+    "count(*), 6) AS DECIMAL(12,6)) FROM att) AS VARCHAR)), "
+    "('overstatement', CAST((SELECT sum(amount) - sum(amount) FILTER (WHERE ok) FROM att) "
+    "AS VARCHAR)), "
+    f"('state_null_and_online', CAST((SELECT count(*) FROM att WHERE merchant_state IS NULL "
+    f"AND channel = '{ONLINE_CHANNEL}') AS VARCHAR)), "
+    f"('state_null_not_online', CAST((SELECT count(*) FROM att WHERE merchant_state IS NULL "
+    f"AND channel <> '{ONLINE_CHANNEL}') AS VARCHAR))"
     ") AS t(metric, value)"))
 def quality_report(spark, src):
     """One aggregate pass per source, melted to (metric, value)."""
     t = Tables(spark, src)
     m = Model(spark, src)
-    f = m.fact({"client_key", "card_key", "lab", "fr", "date", "amount", "outcome_key",
-                "merchant_state", "ok"})
+    f = m.fact({"client_key", "card_key", "lab", "fr", "date", "year", "amount", "outcome_key",
+                "merchant_state", "channel", "ok"})
+    nul, online = F.col("merchant_state").isNull(), F.col("channel") == ONLINE_CHANNEL
     fact_m = f.agg(
         F.countDistinct("client_key").alias("population_clients_with_transactions"),
         F.count(F.lit(1)).alias("population_transactions"),
@@ -655,7 +667,14 @@ def quality_report(spark, src):
         F.sum(F.when(F.col("ok"), F.col("amount"))).alias("spend_approved"),
         F.sum("amount").alias("spend_all_rows"),
         F.year(F.max("date")).alias("partial_final_year"),
-        F.month(F.max("date")).alias("partial_final_year_months"))
+        F.month(F.max("date")).alias("partial_final_year_months"),
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.countDistinct("year").alias("fact_years"),
+        F.round(F.count_if(~F.col("ok")) / F.count(F.lit(1)), 6).cast("decimal(12,6)")
+         .alias("decline_rate"),
+        (F.sum("amount") - F.sum(F.when(F.col("ok"), F.col("amount")))).alias("overstatement"),
+        F.count_if(nul & online).alias("state_null_and_online"),
+        F.count_if(nul & ~online).alias("state_null_not_online"))
     seen_c = f.select("client_key").distinct()
     seen_k = f.select("card_key").distinct()
     cust = t.customer.select(F.col("c_custkey").alias("client_key"))
@@ -668,7 +687,8 @@ def quality_report(spark, src):
             F.count(F.lit(1)).alias("population_cards_never_transacting"))),
         _melt(t.part.agg(F.count(F.lit(1)).alias("mcc_codes"),
                          F.countDistinct("p_type").alias("mcc_groups"))),
-        _melt(supp.agg(F.count(F.lit(1)).alias("sample_cards_on_file"))),
+        _melt(supp.agg(F.count(F.lit(1)).alias("sample_cards_on_file"),
+                       F.count(F.lit(1)).alias("population_cards"))),
         _melt(fact_m),
     ]
     out = parts[0]
