@@ -85,3 +85,24 @@ def test_eager_dimension_aggregation_matches(spark):
     assert got["always"] == got["never"]
     # the fact is aggregated by the client's foreign keys below the client join
     assert plan.index("Aggregate [channel") > plan.index("Join LeftOuter")
+
+
+def test_approx_distinct_opt_in(spark):
+    """Distinct-count measures are exact unless a relative error is set; then they are
+    HyperLogLog sketches (no Expand) within that error."""
+    from spendframe.plans.measures import APPROX_CONF
+    from spendframe.plans.query import Model
+    m = Model(spark, SF_SMALL)
+    exact = {r.channel: (r.cards, r.clients) for r in
+             m.evaluate(["channel"], [("cards", "active_cards"), ("clients", "active_clients")])
+             .collect()}
+    try:
+        spark.conf.set(APPROX_CONF, "0.02")
+        df = m.evaluate(["channel"], [("cards", "active_cards"), ("clients", "active_clients")])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        approx = {r.channel: (r.cards, r.clients) for r in df.collect()}
+    finally:
+        spark.conf.unset(APPROX_CONF)
+    assert "Expand" not in plan and "approx_count_distinct" in plan
+    for k, (c, n) in exact.items():
+        assert abs(approx[k][0] - c) <= 0.1 * c and abs(approx[k][1] - n) <= 0.1 * n
