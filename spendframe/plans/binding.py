@@ -349,7 +349,7 @@ def materialize(spark: SparkSession, src: str,
         base = os.path.join(ensure_checkpoint_dir(spark),
                             "import-" + hashlib.sha1(src.encode()).hexdigest()[:12])
         dd = star.date_dim()
-        write_fact_by_year(fact, f"{base}/fact")
+        write_fact_by_year(fact, f"{base}/fact", years_overwrite=False)
         dd.write.mode("overwrite").parquet(f"{base}/date")
         # read back with the exact in-memory schema (year stays bigint and is the
         # partition column, so a year filter prunes directories)

@@ -58,13 +58,14 @@ def write_fact_by_year(fact: DataFrame, path: str, years_overwrite: bool = True)
     year is never one task, however large); the row hash, a deterministic function of
     the row, splits even one hot (date, card) over several tasks and keeps retries
     reproducible.  Each task's rows are then sorted on (date, card), so the files are in
-    (date, card) order.  Dynamic partition overwrite replaces only the years present."""
-    spark = fact.sparkSession
-    if years_overwrite:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    (date, card) order.  Dynamic partition overwrite replaces only the years present.
+    With ``years_overwrite=False`` the whole directory is replaced (a full import).  The
+    mode is a per-write option, never a session-wide setting."""
     h = F.xxhash64(*[F.col(c) for c in fact.columns])
     (fact.repartitionByRange("date", "card_key", h).sortWithinPartitions("date", "card_key")
-     .write.mode("overwrite").partitionBy("year").parquet(path))
+     .write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if years_overwrite else "static")
+     .partitionBy("year").parquet(path))
 
 
 def read_fact(spark: SparkSession, path: str, years: list[int] | None = None) -> DataFrame:
