@@ -39,6 +39,8 @@ def main() -> None:
     from spendframe.session import build_session
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2)
+    from spendframe.session import size_shuffles
+    size_shuffles(spark, src)                             # unchanged at sf0.1 (2 x cores)
     registry.load_all()
     qs = registry.QUERIES
     qs["q01_total_spend"](spark, src).collect()          # JVM / reader warm-up, not timed

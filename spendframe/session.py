@@ -60,3 +60,24 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Target size of one shuffle partition of the fact join (the largest shuffle of a query).
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, src: str) -> int:
+    """Size ``spark.sql.shuffle.partitions`` for the fact join of ``src``: the fact tables'
+    scan size over TARGET_PARTITION_BYTES, at least twice the cores, never lower than the
+    current setting.  AQE can coalesce small partitions afterwards but cannot split a too
+    large one (short of its skew handling), so the start count must fit the data.  Call
+    once per job (it sets a session option); at 100 TB this gives ~400k partitions, at
+    sf0.1 it leaves the local default."""
+    from spendframe.operators.joins import estimated_bytes
+    from spendframe.sources.tables import Tables
+    t = Tables(spark, src)
+    size = sum(estimated_bytes(df) or 0 for df in (t.lineitem, t.orders))
+    want = max(2 * spark.sparkContext.defaultParallelism, -(-size // TARGET_PARTITION_BYTES))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), want)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

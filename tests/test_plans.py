@@ -106,3 +106,16 @@ def test_approx_distinct_opt_in(spark):
     assert "Expand" not in plan and "approx_count_distinct" in plan
     for k, (c, n) in exact.items():
         assert abs(approx[k][0] - c) <= 0.1 * c and abs(approx[k][1] - n) <= 0.1 * n
+
+
+def test_size_shuffles_never_lowers(spark):
+    from spendframe.session import size_shuffles
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "999")
+        assert size_shuffles(spark, SF_SMALL) == 999          # tiny input: keeps the setting
+        spark.conf.set(key, "1")
+        assert size_shuffles(spark, SF_SMALL) >= 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set(key, old)
