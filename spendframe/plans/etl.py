@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from spendframe.functions import constants as K
 from spendframe.functions.scalar import MONEY, band, money, money_text, ratio
 from spendframe.operators.joins import GuardError, anti, guard_empty, join_dim, semi, with_scalars
-from spendframe.plans.binding import (CHIP_CHANNEL, ONLINE_CHANNEL, Star, location_columns)
+from spendframe.plans.binding import ONLINE_CHANNEL, Star, location_columns
 from spendframe.plans.flat import flat_table
-from spendframe.plans.oracle import _q, with_ctes
+from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.registry import register
 from spendframe.session import ensure_checkpoint_dir
