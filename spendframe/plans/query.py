@@ -272,18 +272,27 @@ class Model:
         out; date keys and date filters come from the spine), and summed per group:
         unshifted rows give the parts, shifted rows the prior year.  Groups without a
         current row are dropped, as a group-by over the fact would never form them.  A
-        year slicer is widened by one year so it still reaches the scan."""
+        year slicer is widened by one year so it still reaches the scan.  Dimensions that
+        would be shuffle-joined (see ``_eager_dims``) are joined onto the daily rollup."""
         fwhere, dwhere = self.split_where(where)
         date_keys = [k for k in keys if k in DATE_ATTRS]
         other = [k for k in keys if k not in DATE_ATTRS]
         every = sorted(set(parts) | set(py_parts))
-        need = set(other) | set(fwhere) | {"date"}
+        # large dimensions are joined onto the daily rollup, not onto fact rows
+        star = self.star
+        dims = self._eager_dims(keys, set(every), where)
+        dim_cols = set().union(*[star.DIM_COLS[d] for d in dims])
+        fkeys = set().union(*[star.DIM_KEYS[d] for d in dims])
+        dim_where = {k: v for k, v in fwhere.items() if k in dim_cols}
+        fwhere = {k: v for k, v in fwhere.items() if k not in dim_cols}
+        pre_other = sorted((set(other) - dim_cols) | fkeys)
+        need = set(pre_other) | set(fwhere) | {"date"}
         for p in every:
             need |= PARTS[p].cols
         ys = _years(where)
         if ys:
             need |= {"timestamp", "year"}
-        f = _filter(self.star.fact(need), fwhere)
+        f = _filter(star.fact(need), fwhere)
         if ys:
             lo, hi = _year_range(where, back=1)
             f = f.where((F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz")) &
@@ -292,7 +301,9 @@ class Model:
         pair = F.array(F.struct(F.col("date").alias("_d"), F.lit(False).alias("_shift")),
                        F.struct(F.add_months("date", 12).alias("_d"), F.lit(True).alias("_shift")))
         daily = (f.select("*", F.inline(pair))
-                 .groupBy(*other, "_d", "_shift").agg(*[PARTS[p].spark().alias(p) for p in every]))
+                 .groupBy(*pre_other, "_d", "_shift").agg(*[PARTS[p].spark().alias(p) for p in every]))
+        if dims:
+            daily = _filter(star.attach_dims(daily, set(other) | set(dim_where)), dim_where)
         spine = self.spine(dwhere).select(F.col("date").alias("_d"), *date_keys)
         j = daily.join(F.broadcast(spine), "_d", "inner")   # spine: one row per day
         cur, shifted = ~F.col("_shift"), F.col("_shift")

@@ -119,3 +119,27 @@ def test_size_shuffles_never_lowers(spark):
         assert size_shuffles(spark, SF_SMALL) >= 2 * spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set(key, old)
+
+
+def test_eager_dimensions_with_prior_year(spark):
+    """Prior year over large dimensions: the dimensions join the daily rollup; the
+    answers equal the plan that joins every fact row."""
+    from spendframe.plans.query import EAGER_CONF, Model
+    cases = [(["category_group"], ["spend", "spend_py", "spend_yoy"], None),
+             (["year", "location_type"], ["spend_lfl", "spend_lfl_py", "transactions"],
+              {"year": [1997, 1999]}),
+             (["credit_score_band", "month_year"], ["spend", "spend_py"],
+              {"category_group": "PROMO"}),
+             (["channel"], ["spend_py", "transactions_lfl_yoy"],
+              {"location_type": "US state", "year": 2000})]
+    got = {}
+    try:
+        for mode in ("never", "always"):
+            spark.conf.set(EAGER_CONF, mode)
+            got[mode] = [sorted(tuple(r) for r in
+                                Model(spark, SF_SMALL).evaluate(k, m, where=w).collect())
+                         for k, m, w in cases]
+    finally:
+        spark.conf.unset(EAGER_CONF)
+    assert got["always"] == got["never"]
+    assert all(got["never"])
