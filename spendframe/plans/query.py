@@ -127,11 +127,8 @@ class Model:
                            for s in [m.special] if s.startswith(("py:", "yoy:"))})
         if py_parts and all(PARTS[p].kind in ADDITIVE for p in parts | set(py_parts)):
             agg = self.current_and_prior(keys, parts, py_parts, where)
-        elif self._eager_dims(keys, parts, where):
-            agg = self.eager_aggregate(keys, parts, where)
         else:
-            f = self.fact(need, where)
-            agg = f.groupBy(*keys).agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)])
+            agg = self.rollup(keys, parts, where)
 
         cols = {p: F.col(p) for p in parts}
         specials = {m.special for m in ms if m.special}
@@ -201,8 +198,22 @@ class Model:
 
     # ------------------------------------------------------------------ special plans
     def credit_limit(self, keys: list[str], where: Mapping | None) -> DataFrame:
-        """M17 (CROSSFILTER BOTH): cards seen in the filtered fact, each once per group."""
-        seen = self.fact(set(keys) | {"card_key"}, where).select(*keys, "card_key").distinct()
+        """M17 (CROSSFILTER BOTH): cards seen in the filtered fact, each once per group.
+        Below large dimensions the distinct (fact keys, foreign keys, card) set is taken
+        first and the dimensions joined onto it (a distinct of a distinct is the same set)."""
+        star = self.star
+        dims = self._eager_dims(keys, (), where)
+        if dims:
+            dim_cols = set().union(*[star.DIM_COLS[d] for d in dims])
+            fkeys = set().union(*[star.DIM_KEYS[d] for d in dims])
+            dim_where = {k: v for k, v in (where or {}).items() if k in dim_cols}
+            fact_where = {k: v for k, v in (where or {}).items() if k not in dim_cols}
+            pre = sorted((set(keys) - dim_cols) | fkeys | {"card_key"})
+            seen = self.fact(set(pre), fact_where).select(*pre).distinct()
+            seen = _filter(star.attach_dims(seen, set(keys) | set(dim_where)), dim_where)
+            seen = seen.select(*keys, "card_key").distinct()
+        else:
+            seen = self.fact(set(keys) | {"card_key"}, where).select(*keys, "card_key").distinct()
         cards = self.star.card_dim().select("card_key", F.col("credit_limit").alias("_limit"))
         j = join_dim(seen, cards, "card_key", how="inner", size_proxy=self.star.card_proxy())
         return j.groupBy(*keys).agg(F.sum("_limit").alias("total_credit_limit"))
@@ -226,6 +237,17 @@ class Model:
                                      F.date_format(l, "MMM yyyy"))))
         return b.select(*date_keys, label.alias("report_period"))
 
+    def rollup(self, keys: list[str], parts, where: Mapping | None) -> DataFrame:
+        """``groupBy(keys).agg(parts)`` over the enriched, filtered fact - eagerly below
+        large dimensions when the parts add up (see ``_eager_dims``)."""
+        if self._eager_dims(keys, parts, where):
+            return self.eager_aggregate(keys, parts, where)
+        need = set(keys) | {"date"}
+        for p in parts:
+            need |= PARTS[p].cols
+        return (self.fact(need, where).groupBy(*keys)
+                .agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)]))
+
     def _eager_dims(self, keys, parts, where) -> list[str]:
         """Dimensions to join AFTER a first aggregation (eager aggregation): only when every
         part adds up, the star is not imported, and - in ``auto`` mode - a dimension the
@@ -320,9 +342,7 @@ class Model:
         fwhere, dwhere = self.split_where(where)
         date_keys = [k for k in keys if k in DATE_ATTRS]
         other = [k for k in keys if k not in DATE_ATTRS]
-        p = PARTS[part]
-        daily = (self.fact(set(other) | p.cols | {"date"}, fwhere)
-                 .groupBy(*other, "date").agg(p.spark().alias("_v")))
+        daily = self.rollup([*other, "date"], [part], fwhere).withColumnRenamed(part, "_v")
         shifted = daily.withColumn("date", F.add_months("date", 12))
         spine = self.spine(dwhere).select("date", *date_keys)
         j = shifted.join(F.broadcast(spine), "date", "inner")   # spine: one row per day
@@ -338,9 +358,7 @@ class Model:
         ends = ends.withColumn("_m", F.explode(F.sequence(F.trunc(start, "MM"),
                                                           F.trunc("_end", "MM"),
                                                           F.expr("interval 1 month"))))
-        p = PARTS["spend"]
-        daily = (self.fact(set(other) | p.cols | {"date"}, fwhere)
-                 .groupBy(*other, "date").agg(p.spark().alias("_v"))
+        daily = (self.rollup([*other, "date"], ["spend"], fwhere).withColumnRenamed("spend", "_v")
                  .withColumn("_m", F.trunc("date", "MM")))
         j = (daily.join(F.broadcast(ends), "_m", "inner")       # ends: <= 13 rows per date group
              .where((F.col("date") > F.add_months("_end", -12)) & (F.col("date") <= F.col("_end"))))
@@ -355,9 +373,7 @@ class Model:
             tot = agg.groupBy(*rest).agg(F.sum(part).alias(name))
         else:
             kept = {k: v for k, v in (where or {}).items() if k not in cleared}
-            p = PARTS[part]
-            tot = (self.fact(set(rest) | p.cols, kept).groupBy(*rest)
-                   .agg(p.spark().alias(name)))
+            tot = self.rollup(rest, [part], kept).withColumnRenamed(part, name)
         return join_keys(agg, tot, rest)
 
 

@@ -143,3 +143,27 @@ def test_eager_dimensions_with_prior_year(spark):
         spark.conf.unset(EAGER_CONF)
     assert got["always"] == got["never"]
     assert all(got["never"])
+
+
+def test_eager_dimensions_in_side_plans(spark):
+    """Credit limit, trailing 12 months, cleared-filter shares and the prior-year
+    fallback below large dimensions equal the plans that join every fact row."""
+    from spendframe.plans.query import EAGER_CONF, Model
+    cases = [(["credit_score_band"], ["total_credit_limit", "annual_spend_to_limit",
+                                      "active_cards"], None),
+             (["category_group", "year"], ["spend_12m", "spend"], {"location_type": "US state"}),
+             (["category"], ["spend_share", "spend"], {"category_group": "PROMO"}),
+             (["card_brand", "year"], ["spend_py", "active_cards"],
+              {"income_band": ["$50k-$75k", "$110k+"]}),
+             (["location_type"], ["spend_12m", "total_credit_limit"], {"year": 1999})]
+    got = {}
+    try:
+        for mode in ("never", "always"):
+            spark.conf.set(EAGER_CONF, mode)
+            got[mode] = [sorted(tuple(r) for r in
+                                Model(spark, SF_SMALL).evaluate(k, m, where=w).collect())
+                         for k, m, w in cases]
+    finally:
+        spark.conf.unset(EAGER_CONF)
+    assert got["always"] == got["never"]
+    assert all(got["never"])
