@@ -63,6 +63,15 @@ def _year_range(where: Mapping | None, back: int = 0):
     return f"{min(ys) - back}-01-01 00:00:00", f"{max(ys) + 1}-01-01 00:00:00"
 
 
+def _zero_counts(agg: DataFrame, keys: list[str], parts) -> DataFrame:
+    """A global aggregate (no keys) is one row even over no input, and a count in it is 0;
+    re-summed partial counts over no rows are null, so they are set back to 0."""
+    if keys:
+        return agg
+    fixed = {p: F.coalesce(F.col(p), F.lit(0)) for p in parts if PARTS[p].kind == "count"}
+    return agg.withColumns(fixed) if fixed else agg
+
+
 def join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on group keys, null-safe; with no keys ``right`` is one row."""
     if not keys:
@@ -283,7 +292,8 @@ class Model:
         pre = (self.fact(need, fact_where).groupBy(*pre_keys)
                .agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)]))
         j = _filter(star.attach_dims(pre, set(keys) | set(dim_where)), dim_where)
-        return j.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in sorted(parts)])
+        return _zero_counts(j.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in sorted(parts)]),
+                            keys, parts)
 
     def current_and_prior(self, keys: list[str], parts: set[str], py_parts: list[str],
                           where: Mapping | None) -> DataFrame:
@@ -329,11 +339,13 @@ class Model:
         spine = self.spine(dwhere).select(F.col("date").alias("_d"), *date_keys)
         j = daily.join(F.broadcast(spine), "_d", "inner")   # spine: one row per day
         cur, shifted = ~F.col("_shift"), F.col("_shift")
-        return (j.groupBy(*keys)
-                .agg(*[F.sum(F.when(cur, F.col(p))).alias(p) for p in sorted(parts)],
-                     *[F.sum(F.when(shifted, F.col(p))).alias(f"{p}__py") for p in py_parts],
-                     F.max(cur.cast("int")).alias("_cur"))
-                .where(F.col("_cur") == 1).drop("_cur"))
+        g = j.groupBy(*keys).agg(
+            *[F.sum(F.when(cur, F.col(p))).alias(p) for p in sorted(parts)],
+            *[F.sum(F.when(shifted, F.col(p))).alias(f"{p}__py") for p in py_parts],
+            F.max(cur.cast("int")).alias("_cur"))
+        if keys:
+            g = g.where(F.col("_cur") == 1)
+        return _zero_counts(g.drop("_cur"), keys, parts)
 
     def prior_year(self, part: str, keys: list[str], where: Mapping | None) -> DataFrame:
         """The part over the visible dates shifted back one year.  The fact

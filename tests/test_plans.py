@@ -167,3 +167,22 @@ def test_eager_dimensions_in_side_plans(spark):
         spark.conf.unset(EAGER_CONF)
     assert got["always"] == got["never"]
     assert all(got["never"])
+
+
+def test_global_query_over_no_rows_is_one_row_with_zero_counts(spark):
+    """A filter that matches nothing: one row, counts 0, sums and prior year null - in the
+    plain plan, the one-scan prior year and the eager plan alike."""
+    import spendframe.plans.query as Q
+    cases = [(["transactions", "spend"], {"category_group": "NOPE"}),
+             (["transactions", "spend", "spend_py"], {"category_group": "NOPE"}),
+             (["transactions", "spend_py"], {"channel": "NOPE"}),
+             (["transactions", "total_credit_limit", "spend_12m"], {"location_type": "NOPE"})]
+    want = [[(0, None)], [(0, None, None)], [(0, None)], [(0, None, None)]]
+    try:
+        for mode in ("never", "always"):
+            spark.conf.set(Q.EAGER_CONF, mode)
+            got = [[tuple(r) for r in Q.Model(spark, SF_SMALL).evaluate([], m, where=w).collect()]
+                   for m, w in cases]
+            assert got == want, mode
+    finally:
+        spark.conf.unset(Q.EAGER_CONF)
