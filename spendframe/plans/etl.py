@@ -205,11 +205,10 @@ def unmapped_codes(spark, src):
 def category_group_map(spark, src):
     """Code -> group via a broadcast map; aborts when any code is unmapped."""
     guard_empty(unmapped_codes(spark, src), "codes with no group")
-    f = Model(spark, src).fact({"category", "ok", "amount"})
-    j = join_dim(f, category_map(spark), "category", how="inner", bounded=True)
-    return j.groupBy("group_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.col("ok"), F.col("amount"))).cast("double").alias("spend"))
+    per_code = Model(spark, src).rollup(["category"], ["n", "spend"], None)   # one row per code
+    j = join_dim(per_code, category_map(spark), "category", how="inner", bounded=True)
+    return j.groupBy("group_name").agg(F.sum("n").alias("n"),
+                                       F.sum("spend").cast("double").alias("spend"))
 
 
 # ---------------------------------------------------------------- P9-P13

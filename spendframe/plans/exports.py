@@ -254,9 +254,8 @@ def step_change(spark, src):
     f"WHERE channel = '{CHIP_CHANNEL}' AND has_chip = 'No chip'"))
 def chip_consistency(spark, src):
     """Chip-channel rows on cards recorded without a chip (must be 0 in clean data)."""
-    f = Model(spark, src).fact({"channel", "has_chip"})
-    return f.where((F.col("channel") == CHIP_CHANNEL) & (F.col("has_chip") == "No chip")).agg(
-        F.count(F.lit(1)).alias("chip_rows_on_cards_without_a_chip"))
+    g = Model(spark, src).rollup([], ["n"], {"channel": CHIP_CHANNEL, "has_chip": "No chip"})
+    return g.select(F.col("n").alias("chip_rows_on_cards_without_a_chip"))
 
 
 # ---------------------------------------------------------------- A8, A9, A12, A13, A3
@@ -301,9 +300,8 @@ def null_profile(spark, src):
     "GROUP BY category ORDER BY n DESC, category LIMIT 5"))
 def top_codes_not_recorded(spark, src):
     """Top-5 categories among not-recorded-location rows (ties broken by name)."""
-    f = Model(spark, src).fact({"location_type", "category"})
-    return (f.where(F.col("location_type") == "Not recorded").groupBy("category")
-            .agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "category").limit(5))
+    g = Model(spark, src).rollup(["category"], ["n"], {"location_type": "Not recorded"})
+    return g.orderBy(F.col("n").desc(), "category").limit(5)
 
 
 @register("value_counts", with_ctes(
