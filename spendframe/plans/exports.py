@@ -48,32 +48,40 @@ FIG_SQL = ("count(*) AS n, count(*) FILTER (WHERE ok) AS approved, "
            " AS per10k_naive")
 
 
-def _section(spark, src, key_expr, key_name, need=()):
-    f = Model(spark, src).fact(FIG_COLS | set(need))
-    return f.groupBy(key_expr.alias(key_name)).agg(*figure_aggs()).select(key_name, *figure_cols())
+# the section figures as measure parts (all additive): part -> figure name
+FIG_PARTS = {"n": "n", "n_ok": "approved", "spend": "_spend", "n_lab": "labelled",
+             "n_fr": "fraud"}
+
+
+def _section(spark, src, key, key_name):
+    """One export section: the figures by one key, through the model's rollup (eager
+    below a dimension too large to broadcast)."""
+    g = Model(spark, src).rollup([key], list(FIG_PARTS), None)
+    return g.select(F.col(key).alias(key_name),
+                    *[F.col(p).alias(a) for p, a in FIG_PARTS.items()]).select(
+        key_name, *figure_cols())
 
 
 @register("x_by_year", with_ctes(f"SELECT year, {FIG_SQL} FROM att GROUP BY year"))
 def x_by_year(spark, src):
-    return _section(spark, src, F.col("year"), "year", {"year"})
+    return _section(spark, src, "year", "year")
 
 
 @register("x_by_channel", with_ctes(f"SELECT channel, {FIG_SQL} FROM att GROUP BY channel"))
 def x_by_channel(spark, src):
-    return _section(spark, src, F.col("channel"), "channel", {"channel"})
+    return _section(spark, src, "channel", "channel")
 
 
 @register("x_by_category", with_ctes(
     f"SELECT category_group AS category, {FIG_SQL} FROM att GROUP BY category_group"))
 def x_by_category(spark, src):
-    return _section(spark, src, F.col("category_group"), "category", {"category_group"}) \
-        .orderBy(F.col("spend").desc())
+    return _section(spark, src, "category_group", "category").orderBy(F.col("spend").desc())
 
 
 @register("x_by_loctype", with_ctes(
     f"SELECT location_type AS location, {FIG_SQL} FROM att GROUP BY location_type"))
 def x_by_loctype(spark, src):
-    return _section(spark, src, F.col("location_type"), "location", {"location_type"})
+    return _section(spark, src, "location_type", "location")
 
 
 BY_OUTCOME_SQL = with_ctes("SELECT outcome, outcome_class AS cls, count(*) AS n FROM att "
