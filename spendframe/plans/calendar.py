@@ -19,7 +19,6 @@ from spendframe.functions.scalar import (change, month_in_quarter, ordinal_suffi
                                          short_money, week_of_month)
 from spendframe.operators.calendar import rank_band, zero_fill
 from spendframe.operators.joins import with_scalars
-from spendframe.plans.measures import PARTS
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.registry import register
@@ -38,10 +37,11 @@ class Calendar:
         self.where = where
 
     def daily(self) -> DataFrame:
-        """Daily rollup: only days with rows (value null-free sums of the fact)."""
-        v, c = PARTS[self.cfg.value], PARTS[self.cfg.count]
-        f = self.m.fact(v.cols | c.cols | {"date"}, self.where)
-        return f.groupBy("date").agg(v.spark().alias("v"), c.spark().alias("c"))
+        """Daily rollup: only days with rows (value null-free sums of the fact); through the
+        model's rollup, so a dimension filter too large to broadcast joins daily rows."""
+        v, c = self.cfg.value, self.cfg.count
+        d = self.m.rollup(["date"], sorted({v, c}), self.where)
+        return d.select("date", F.col(v).alias("v"), F.col(c).alias("c"))
 
     def spine(self) -> DataFrame:
         return self.m.spine()
