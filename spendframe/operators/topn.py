@@ -1,4 +1,4 @@
-"""Top-N that keeps ties (TOPN semantics) in one pass, never a whole table in one task.
+"""Top-N that keeps ties at the boundary, in one pass, never a whole table in one task.
 
 ``rank() <= n`` over the whole result is planned by Catalyst (InsertWindowGroupLimit)
 as a *partial* WindowGroupLimit in every task - each keeps only its rows ranked <= n,

@@ -172,7 +172,7 @@ def year_is_whole(spark, src):
     "CAST(c AS BIGINT) AS count FROM cells_day "
     "WHERE strftime(date, '%B') IN ('March') AND year IN (1998)", *CAL_CTES[:2]))
 def calendar_day_slice(spark, src):
-    """J9 (TREATAS): pin the calendar columns to a literal value list (month, year)."""
+    """J9 (virtual relationship): pin the calendar columns to a literal value list (month, year)."""
     cal = _cal(spark, src)
     d = cal.cells_day()
     return (d.where(F.date_format("date", "MMMM").isin("March") & F.col("year").isin(1998))
@@ -192,7 +192,7 @@ def calendar_day_slice(spark, src):
     CAL_CTES[0],
     "ends AS (SELECT year, month_no, max(date) AS e FROM date_dim GROUP BY year, month_no)"))
 def cal_month_py(spark, src):
-    """Same days of the same month a year earlier, capped at EDATE(last visible day, -12)."""
+    """Same days of the same month a year earlier, capped at the last visible day minus 12 months."""
     cal = _cal(spark, src)
     daily = cal.daily().select("date", "v", F.year("date").cast("bigint").alias("y"),
                                F.month("date").cast("bigint").alias("m"))

@@ -80,7 +80,7 @@ def flat_measures() -> dict:
         "clients": F.countDistinct("client_id"),
         "labelled": F.count_if(lab),
         "fraud": F.count_if(fr),
-        # AVERAGEX over purchases = exact decimal sum / count, divided in DOUBLE
+        # average over purchases = exact decimal sum / count, divided in DOUBLE
         "avg": (F.sum(F.when(ok & (F.col("amount") > 0), F.col("amount"))).cast("double")
                 / F.count_if(ok & (F.col("amount") > 0))),
     }

@@ -1,8 +1,8 @@
 """The measure registry: 49 business measures over the enriched fact.
 
 Each measure is built from *parts*: aggregate expressions evaluated in one
-``groupBy().agg()`` pass (conditional sums and counts replace KEEPFILTERS and
-CALCULATE predicates).  Ratios are formed after aggregation.  Measures that need
+``groupBy().agg()`` pass (conditional sums and counts replace per-measure filter
+predicates).  Ratios are formed after aggregation.  Measures that need
 another filter context (prior year, trailing 12 months, shares with a dimension
 cleared, credit limit through the card dimension, ranks, the date table) are
 marked ``special`` and planned by :mod:`spendframe.plans.query`.
@@ -209,7 +209,7 @@ MEASURES: dict[str, Measure] = {m.key: m for m in [
             P["last_date"], "date"),
 ]}
 
-# Columns of each dimension table (for REMOVEFILTERS / share denominators).
+# Columns of each dimension table (cleared for share denominators).
 DIM_COLUMNS = {
     "channel": {"channel", "channel_type"},
     "outcome": {"outcome", "outcome_class", "outcome_key", "is_approved", "errors"},

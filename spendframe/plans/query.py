@@ -1,6 +1,6 @@
 """``query()``: evaluate measures for a group-by and a filter, the Spark way.
 
-Plan shape (SUMMARIZECOLUMNS restated):
+Plan shape (measures grouped in a filter context):
 
 1. enriched fact with only the dimensions the query touches;
 2. ``where`` filters (pushed into the parquet scans where they hit raw columns);
@@ -207,7 +207,7 @@ class Model:
 
     # ------------------------------------------------------------------ special plans
     def credit_limit(self, keys: list[str], where: Mapping | None) -> DataFrame:
-        """M17 (CROSSFILTER BOTH): cards seen in the filtered fact, each once per group.
+        """M17 (filter flowing from the fact to the card dimension): cards seen in the filtered fact, each once per group.
         Below large dimensions the distinct (fact keys, foreign keys, card) set is taken
         first and the dimensions joined onto it (a distinct of a distinct is the same set)."""
         star = self.star
