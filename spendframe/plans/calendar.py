@@ -52,22 +52,23 @@ class Calendar:
                          self.daily(), ["v", "c"])
 
     def cells(self) -> DataFrame:
-        """All four grains, stacked (view, key, pool, value, count)."""
-        d = self.cells_day()
-        day = d.select(F.lit("Day").alias("view"), F.date_format("date", "yyyy-MM-dd").alias("key"),
-                       F.date_format("date", "yyyy-MM").alias("pool"), "v", "c")
-        mon = (d.groupBy(F.date_format("date", "yyyy-MM").alias("key"),
-                         F.col("year").cast("string").alias("pool"))
-               .agg(F.sum("v").alias("v"), F.sum("c").alias("c"))
-               .select(F.lit("Month").alias("view"), "key", "pool", "v", "c"))
-        qtr = (d.groupBy(F.concat(F.col("year").cast("string"), F.lit("-"), F.col("quarter"))
-                         .alias("key"))
-               .agg(F.sum("v").alias("v"), F.sum("c").alias("c"))
-               .select(F.lit("Quarter").alias("view"), "key", F.lit("all").alias("pool"), "v", "c"))
-        yr = (d.groupBy(F.col("year").cast("string").alias("key"))
-              .agg(F.sum("v").alias("v"), F.sum("c").alias("c"))
-              .select(F.lit("Year").alias("view"), "key", F.lit("all").alias("pool"), "v", "c"))
-        allc = day.unionByName(mon).unionByName(qtr).unionByName(yr)
+        """All four grains, stacked (view, key, pool, value, count), from ONE pass over
+        the zero-filled day cells: grouping sets (day, month, quarter, year) expand day rows
+        only, so the fact rollup under them is computed once."""
+        d = self.cells_day().select("date", F.date_format("date", "yyyy-MM").alias("ym"),
+                                    "year", "quarter", "v", "c")
+        cols = ["date", "ym", "year", "quarter"]
+        g = d.groupingSets([["date", "ym", "year"], ["ym", "year"], ["year", "quarter"],
+                            ["year"]], *cols).agg(
+            F.sum("v").alias("v"), F.sum("c").alias("c"), F.grouping_id().alias("_gid"))
+        # grouping_id bits, first column highest: date 8, ym 4, year 2, quarter 1
+        gid, y = F.col("_gid"), F.col("year").cast("string")
+        view = (F.when(gid == 1, "Day").when(gid == 9, "Month").when(gid == 12, "Quarter")
+                .otherwise("Year"))
+        key = (F.when(gid == 1, F.date_format("date", "yyyy-MM-dd")).when(gid == 9, F.col("ym"))
+               .when(gid == 12, F.concat(y, F.lit("-"), F.col("quarter"))).otherwise(y))
+        pool = F.when(gid == 1, F.col("ym")).when(gid == 9, y).otherwise(F.lit("all"))
+        allc = g.select(view.alias("view"), key.alias("key"), pool.alias("pool"), "v", "c")
         return rank_band(allc, "v", ["view", "pool"])
 
 
