@@ -24,6 +24,9 @@ from spendframe.plans.query import Model
 from spendframe.plans.registry import register
 
 
+_DAILY: dict = {}     # (session, source, value, count, filter, imported) -> daily rollup
+
+
 @dataclass
 class CalendarConfig:
     value: str = "spend"          # additive daily part
@@ -39,9 +42,20 @@ class Calendar:
     def daily(self) -> DataFrame:
         """Daily rollup: only days with rows (value null-free sums of the fact); through the
         model's rollup, so a dimension filter too large to broadcast joins daily rows."""
-        v, c = self.cfg.value, self.cfg.count
-        d = self.m.rollup(["date"], sorted({v, c}), self.where)
-        return d.select("date", F.col(v).alias("v"), F.col(c).alias("c"))
+        key = (id(self.m.spark._jsparkSession), self.m.src, self.cfg.value, self.cfg.count,
+               repr(sorted((self.where or {}).items())), self.m.star._mat is not None)
+        d = _DAILY.get(key)
+        if d is None:
+            # one row per day (bounded by the date range): every calendar view and fact
+            # reads this one rollup instead of re-aggregating the fact; persisted memory
+            # and disk, lost blocks recomputed from lineage
+            from pyspark import StorageLevel
+            v, c = self.cfg.value, self.cfg.count
+            d = (self.m.rollup(["date"], sorted({v, c}), self.where)
+                 .select("date", F.col(v).alias("v"), F.col(c).alias("c"))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+            _DAILY[key] = d
+        return d
 
     def spine(self) -> DataFrame:
         return self.m.spine()
