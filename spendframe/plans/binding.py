@@ -310,9 +310,17 @@ class Star:
         return self.base({"date"}).agg(F.min("date").alias("first"), F.max("date").alias("last"))
 
     def date_dim(self) -> DataFrame:
+        """The day spine.  Its bounds need a pass over the fact, so from the raw tables it
+        is built once per session and source and persisted (a row per day - bounded by
+        the date range, not by the data; lost blocks are recomputed from lineage)."""
         if self._mat is not None:
             return self._mat[1]
-        return self._date_dim()
+        key = (id(self.spark._jsparkSession), self.src)
+        dd = _SPINES.get(key)
+        if dd is None:
+            from pyspark import StorageLevel
+            dd = _SPINES[key] = self._date_dim().persist(StorageLevel.MEMORY_AND_DISK)
+        return dd
 
     def _date_dim(self) -> DataFrame:
         """Contiguous day spine first..last with calendar attributes.  Its size is
@@ -324,6 +332,7 @@ class Star:
 
 
 _MATERIALIZED: dict = {}
+_SPINES: dict = {}          # (session, source) -> persisted day spine of the raw tables
 
 
 def materialize(spark: SparkSession, src: str,
