@@ -48,6 +48,7 @@ BASE_COLS = {"date", "year", "client_key", "card_key", "mcc", "channel", "channe
              "month_no", "month_year", "month_year_sort", "month_start", "month", "quarter",
              "quarter_key", "order_key", "line_number", "timestamp"}
 PART_COLS = {"category", "category_group"}
+GEO_COLS = {"merchant_state", "location", "location_type", "state_code", "country"}
 CLIENT_COLS = {"merchant_state", "location", "location_type", "state_code", "country",
                "credit_score", "credit_score_band", "credit_score_band_sort", "income_band",
                "income_band_sort", "age_band", "age_band_sort"}
@@ -191,6 +192,16 @@ class Star:
                 "card": {"card_key"}}
     DIM_COLS = {"part": PART_COLS, "client": CLIENT_COLS, "card": CARD_COLS}
 
+    def foreign_keys(self, dims, need) -> set[str]:
+        """Fact columns the joins of ``dims`` read for the columns in ``need``: the client
+        key alone for client attributes, plus channel and line number for a location."""
+        keys = set()
+        for d in dims:
+            keys |= self.DIM_KEYS[d]
+        if "client" in dims and not set(need) & GEO_COLS:
+            keys -= {"channel", "line_number"}
+        return keys
+
     def dims_for(self, need) -> list[str]:
         """The dimensions (part, client, card) whose columns ``need`` touches."""
         return [d for d, cols in self.DIM_COLS.items() if set(need) & cols]
@@ -229,16 +240,20 @@ class Star:
             f = join_dim(f, self.category_dim().select("mcc", "category", "category_group"), "mcc",
                          size_proxy=self.t.part.select("p_partkey", "p_brand", "p_type"))
         if need & CLIENT_COLS:
-            f = self._with_client(f)
+            f = self._with_client(f, geo=bool(need & GEO_COLS))
         if need & CARD_COLS:
             f = join_dim(f, self.card_dim().select(
                 "card_key", "credit_limit", "credit_limit_band", "credit_limit_band_sort",
                 "card_brand", "card_type", "has_chip"), "card_key", size_proxy=self.card_proxy())
         return f
 
-    def _with_client(self, f: DataFrame) -> DataFrame:
+    def _with_client(self, f: DataFrame, geo: bool = True) -> DataFrame:
+        """Client attributes; with ``geo`` also the transaction location, which reads the
+        channel and line number of ``f`` besides the client's home state."""
         cl = self.client_geo()
         f = join_dim(f, cl, "client_key", size_proxy=self.client_proxy())
+        if not geo:
+            return f.drop("_home_state")
         st = (F.when(F.col("channel") == ONLINE_CHANNEL, F.lit(None).cast("string"))
               .when(F.col("line_number") == NOT_RECORDED_LINE, F.lit(None).cast("string"))
               .otherwise(F.col("_home_state")))

@@ -37,6 +37,7 @@ from spendframe.plans.measures import (DATE_ATTRS, MEASURES, PARTS, RANK_OVER, S
 
 ADDITIVE = ("count", "money")      # part kinds that add up across days and groups
 EAGER_CONF = "spendframe.eagerDimAggregation"   # auto | always | never
+EAGER_DISTINCT = {"cards": "card_key", "clients": "client_key"}   # distinct part -> key column
 
 
 def _filter(df: DataFrame, where: Mapping | None) -> DataFrame:
@@ -214,7 +215,7 @@ class Model:
         dims = self._eager_dims(keys, (), where)
         if dims:
             dim_cols = set().union(*[star.DIM_COLS[d] for d in dims])
-            fkeys = set().union(*[star.DIM_KEYS[d] for d in dims])
+            fkeys = star.foreign_keys(dims, set(keys) | set(where or {}))
             dim_where = {k: v for k, v in (where or {}).items() if k in dim_cols}
             fact_where = {k: v for k, v in (where or {}).items() if k not in dim_cols}
             pre = sorted((set(keys) - dim_cols) | fkeys | {"card_key"})
@@ -259,12 +260,12 @@ class Model:
 
     def _eager_dims(self, keys, parts, where) -> list[str]:
         """Dimensions to join AFTER a first aggregation (eager aggregation): only when every
-        part adds up, the star is not imported, and - in ``auto`` mode - a dimension the
+        part adds up (or is a distinct count of a key column), the star is not imported, and - in ``auto`` mode - a dimension the
         query touches fails the broadcast size check (a shuffle join of every fact row)."""
         mode = self.spark.conf.get(EAGER_CONF, "auto")
         if mode == "never" or self.star._mat is not None:
             return []
-        if not all(PARTS[p].kind in ADDITIVE for p in parts):
+        if not all(PARTS[p].kind in ADDITIVE or p in EAGER_DISTINCT for p in parts):
             return []
         dims = self.star.dims_for(set(keys) | set(where or {}))
         if mode != "always" and not any(self.star.dim_is_large(d) for d in dims):
@@ -282,18 +283,23 @@ class Model:
         star = self.star
         dims = star.dims_for(set(keys) | set(where or {}))
         dim_cols = set().union(*[star.DIM_COLS[d] for d in dims])
-        fkeys = set().union(*[star.DIM_KEYS[d] for d in dims])
+        fkeys = star.foreign_keys(dims, set(keys) | set(where or {}))
         fact_where = {k: v for k, v in (where or {}).items() if k not in dim_cols}
         dim_where = {k: v for k, v in (where or {}).items() if k in dim_cols}
-        pre_keys = sorted((set(keys) - dim_cols) | fkeys)
+        distinct = {p: EAGER_DISTINCT[p] for p in parts if p in EAGER_DISTINCT}
+        additive = sorted(p for p in parts if p not in distinct)
+        # a distinct count of a key column stays exact when the column is a pre-key
+        pre_keys = sorted((set(keys) - dim_cols) | fkeys | set(distinct.values()))
         need = set(pre_keys)
-        for p in parts:
+        for p in additive:
             need |= PARTS[p].cols
-        pre = (self.fact(need, fact_where).groupBy(*pre_keys)
-               .agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)]))
+        f = self.fact(need, fact_where)
+        pre = (f.groupBy(*pre_keys).agg(*[PARTS[p].spark().alias(p) for p in additive])
+               if additive else f.select(*pre_keys).distinct())
         j = _filter(star.attach_dims(pre, set(keys) | set(dim_where)), dim_where)
-        return _zero_counts(j.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in sorted(parts)]),
-                            keys, parts)
+        g = j.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in additive],
+                                 *[F.countDistinct(c).alias(p) for p, c in distinct.items()])
+        return _zero_counts(g, keys, additive)
 
     def current_and_prior(self, keys: list[str], parts: set[str], py_parts: list[str],
                           where: Mapping | None) -> DataFrame:
@@ -314,7 +320,7 @@ class Model:
         star = self.star
         dims = self._eager_dims(keys, set(every), where)
         dim_cols = set().union(*[star.DIM_COLS[d] for d in dims])
-        fkeys = set().union(*[star.DIM_KEYS[d] for d in dims])
+        fkeys = star.foreign_keys(dims, set(keys) | set(where or {}))
         dim_where = {k: v for k, v in fwhere.items() if k in dim_cols}
         fwhere = {k: v for k, v in fwhere.items() if k not in dim_cols}
         pre_other = sorted((set(other) - dim_cols) | fkeys)

@@ -186,3 +186,27 @@ def test_global_query_over_no_rows_is_one_row_with_zero_counts(spark):
             assert got == want, mode
     finally:
         spark.conf.unset(Q.EAGER_CONF)
+
+
+def test_eager_keeps_key_distinct_counts_exact(spark):
+    """Active cards / clients under eager aggregation: the key column joins the
+    pre-aggregation key and is counted distinctly after the dimension join.  Client bands
+    need only the client key (a location also needs channel and line)."""
+    from spendframe.plans.query import EAGER_CONF, Model
+    cases = [(["credit_score_band"], ["active_clients", "active_cards", "spend"], None),
+             ([], ["active_clients", "transactions"], {"income_band": "$110k+"}),
+             (["card_type", "year"], ["active_cards", "decline_rate"], {"location_type": "US state"})]
+    got = {}
+    try:
+        for mode in ("never", "always"):
+            spark.conf.set(EAGER_CONF, mode)
+            got[mode] = [sorted(tuple(r) for r in
+                                Model(spark, SF_SMALL).evaluate(k, m, where=w).collect())
+                         for k, m, w in cases]
+        plan = (Model(spark, SF_SMALL).evaluate(["credit_score_band"], ["active_clients"])
+                ._jdf.queryExecution().optimizedPlan().toString())
+    finally:
+        spark.conf.unset(EAGER_CONF)
+    assert got["always"] == got["never"]
+    assert all(got["never"])
+    assert "Aggregate [client_key" in plan and "line_number" not in plan
