@@ -122,12 +122,13 @@ def x_by_hour(spark, src):
     f"count(DISTINCT client_key) AS clients, {FIG_SQL} FROM att "
     "GROUP BY credit_score_band, credit_score_band_sort"))
 def x_by_credit_band(spark, src):
-    """X1 by_credit_band / J11: the client band joined on the (renamed) client key."""
-    f = Model(spark, src).fact(FIG_COLS | {"credit_score_band", "credit_score_band_sort",
-                                           "client_key"})
-    return (f.groupBy(F.col("credit_score_band").alias("band"),
-                      F.col("credit_score_band_sort").alias("sort"))
-            .agg(F.countDistinct("client_key").alias("clients"), *figure_aggs())
+    """X1 by_credit_band / J11: the client band joined on the (renamed) client key; through
+    the model's rollup (eager below a client dimension too large to broadcast)."""
+    g = Model(spark, src).rollup(["credit_score_band", "credit_score_band_sort"],
+                                 [*FIG_PARTS, "clients"], None)
+    return (g.select(F.col("credit_score_band").alias("band"),
+                     F.col("credit_score_band_sort").alias("sort"), "clients",
+                     *[F.col(p).alias(a) for p, a in FIG_PARTS.items()])
             .select("band", "sort", "clients", *figure_cols()).orderBy("sort"))
 
 
