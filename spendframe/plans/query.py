@@ -5,10 +5,14 @@ Plan shape (measures grouped in a filter context):
 1. enriched fact with only the dimensions the query touches;
 2. ``where`` filters (pushed into the parquet scans where they hit raw columns);
 3. ONE ``groupBy(keys).agg(parts)``: partial aggregation on the map side, so a hot
-   key costs one row per task before the shuffle;
+   key costs one row per task before the shuffle.  Below a dimension too large to
+   broadcast the aggregation is eager: by the fact's own keys and the dimension's
+   foreign keys first, the dimension joined onto that, then summed (``rollup``);
 4. measures that need another filter context are separate small plans joined back
    on the group keys:
-   * prior year: daily rollup -> shift date forward 12 months -> join the day spine;
+   * prior year: when all parts add up, in the same scan (rows emitted at their date and
+     12 months later, rolled up by day, joined to the day spine); otherwise a daily
+     rollup -> shift date forward 12 months -> join the day spine;
    * trailing 12 months: daily rollup joined to per-group end dates by month bucket,
      then the exact range predicate (bucketed range join, no nested loop over days);
    * shares: the same parts re-aggregated at the keys left after clearing a dimension
@@ -130,9 +134,6 @@ class Model:
             parts |= set(m.parts)
             if m.special and m.special.startswith("share:"):
                 parts.add(SHARE_CLEARS[m.special][0])
-        need = set(keys) | {"date"}
-        for p in parts:
-            need |= PARTS[p].cols
         py_parts = sorted({s.split(":", 1)[1] for m in ms if m.special
                            for s in [m.special] if s.startswith(("py:", "yoy:"))})
         if py_parts and all(PARTS[p].kind in ADDITIVE for p in parts | set(py_parts)):
