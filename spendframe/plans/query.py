@@ -77,12 +77,17 @@ def _zero_counts(agg: DataFrame, keys: list[str], parts) -> DataFrame:
     return agg.withColumns(fixed) if fixed else agg
 
 
-def join_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on group keys, null-safe; with no keys ``right`` is one row."""
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str],
+              bounded: bool = False) -> DataFrame:
+    """Left join on group keys, null-safe; with no keys ``right`` is one row.  ``bounded``:
+    ``right`` is sized by the date range (spine measures), so it is broadcast and the
+    aggregated left side is not re-shuffled for the null-safe keys."""
     if not keys:
         return with_scalars(left, right)
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
+    if bounded:
+        r = F.broadcast(r)
     cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
     out = left.join(r, on=cond, how="left")
     return out.drop(*[f"__r_{k}" for k in keys])
@@ -150,7 +155,8 @@ class Model:
         if specials & {"credit_limit", "annual_to_limit"}:
             agg = join_keys(agg, self.credit_limit(keys, where), keys)
         if specials & {"years", "annual_to_limit"}:
-            agg = join_keys(agg, self.years_in_period(date_keys, dwhere), date_keys)
+            agg = join_keys(agg, self.years_in_period(date_keys, dwhere), date_keys,
+                            bounded=True)
         for s in sorted(specials):
             if s.startswith("py:") or s.startswith("yoy:"):
                 part = s.split(":", 1)[1]
@@ -162,7 +168,8 @@ class Model:
             elif s == "trailing12":
                 agg = join_keys(agg, self.trailing_12m(keys, where), keys)
             elif s == "period":
-                agg = join_keys(agg, self.report_period(date_keys, dwhere), date_keys)
+                agg = join_keys(agg, self.report_period(date_keys, dwhere), date_keys,
+                                bounded=True)
 
         out_cols = [F.col(k) for k in keys]
         for (alias, key), m in zip(wanted, ms):
