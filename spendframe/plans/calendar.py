@@ -427,7 +427,8 @@ def peak_year(spark, src):
         F.max("v").alias("_best"),
         F.min_by("year", F.struct((-F.col("v")).alias("a"), F.col("year").alias("b")))
          .alias("best_year"),
-        F.avg(F.col("v").cast("double")).alias("avg_per_whole_year"),
+        # exact decimal sum, then one double division: the same bits whatever the order
+        (F.sum("v").cast("double") / F.count(F.lit(1))).alias("avg_per_whole_year"),
         F.max("year_last").alias("year_last"), F.max("year_first").alias("year_first"),
         at(F.col("year") == F.col("year_last")).alias("_last"),
         at(F.col("year") == F.col("year_last") - 1).alias("_before"),
