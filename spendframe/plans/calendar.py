@@ -397,7 +397,7 @@ def quarter_seasonality(spark, src):
 # ---------------------------------------------------------------- W14 peak year
 @register("peak_year", with_ctes(
     "SELECT CAST(max(v) AS DOUBLE) AS best, min(year) FILTER (WHERE v = (SELECT max(v) FROM pool)) "
-    "AS best_year, CAST(avg(CAST(v AS DOUBLE)) AS DOUBLE) AS avg_per_whole_year, "
+    "AS best_year, CAST(sum(v) AS DOUBLE) / count(*) AS avg_per_whole_year, "
     "max(year) AS year_last, min(year) AS year_first, "
     "(CAST(max(v) FILTER (WHERE year = (SELECT max(year) FROM pool)) AS DOUBLE) - "
     " CAST(max(v) FILTER (WHERE year = (SELECT max(year) FROM pool) - 1) AS DOUBLE)) / "
