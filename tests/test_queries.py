@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from spendframe.plans import registry
 from spendframe.plans.binding import Star
 from spendframe.plans.query import Model
 from spendframe.sources.tables import TABLES
@@ -24,7 +25,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_sql_twin():
-    q, s = E.queries(), E.oracle_sql()
+    q, s = registry.QUERIES, registry.ORACLE
+    E.queries()
     assert len(q) > 200
     assert set(q) - set(s) == NO_ORACLE
     assert set(s) <= set(q)
