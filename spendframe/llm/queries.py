@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendframe.llm import mixing, quality_ledger
+from spendframe.llm import bpe_stream, mixing, quality_ledger
 from spendframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def word_vocabulary() -> str:
+    """Path of the public word-end vocabulary; the tokenizer files are a package of their own."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_stream_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe_stream.digests(docs, word_vocabulary())
