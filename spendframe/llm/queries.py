@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spendframe.llm import bpe_stream, mixing, quality_ledger
+from spendframe.llm import bpe_stream, fuzzy_lines, license_scan, mixing, ngram_join, pii_bootstrap, quality_ledger, toxicity
 from spendframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,36 @@ def word_vocabulary() -> str:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe_stream.digests(docs, word_vocabulary())
+
+
+@query("op9_ngram_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return ngram_join.classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.learn(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).drop("th")
+
+
+@query("op3_bootstrap_pii")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_bootstrap.find(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", *[pii_bootstrap.count_of("base", k).alias(f"n_{k}") for k in pii_bootstrap.KINDS[:4]],
+                        F.sha2(pii_bootstrap.as_text("base"), 256).alias("base_sha256"),
+                        pii_bootstrap.as_text("spans").alias("spans"))
+
+
+@query("op6_fuzzy_lines")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = fuzzy_lines.clean(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "emptied",
+                          F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
