@@ -229,3 +229,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     for used in (sets, lists, first, second):
         release(used)
     return out
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                    threshold: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each class, the one with the smallest id.  Rows with the
+    empty set or a null id stay; rows that repeat the kept id and text stay with it."""
+    kept = classes(docs, id_col, text_col, words, threshold).where(
+        "doc_id IS NULL OR n_shingles = 0 OR component_id = doc_id").select(
+        F.col("doc_id").alias("_id"), F.coalesce("th", F.lit(0)).alias("_th")).distinct()
+    own = F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (
+        F.coalesce(F.xxhash64(text_col), F.lit(0)) == F.col("_th"))
+    return docs.join(kept, own, "left_semi")

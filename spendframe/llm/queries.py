@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendframe.llm import bpe_stream, fuzzy_lines, license_scan, mixing, ngram_join, pii_bootstrap, quality_ledger, toxicity
+from spendframe.llm import bpe_stream, fuzzy_lines, license_scan, mixing, ngram_join, nn_descent, pii_bootstrap, quality_ledger, suffix_dedup, toxicity
 from spendframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,7 +89,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.learn(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return toxicity.score(docs, model).drop("th")
+    return toxicity.scores(docs, model)
 
 
 @query("op3_bootstrap_pii")
@@ -110,3 +110,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read_table(spark, sf_dir, "documents", "doc_id", "text")).drop("copies")
+
+
+@query("op4_nn_descent")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nn_descent.nearest(table, 5, F.col("vec_id") % 50 == 0)
