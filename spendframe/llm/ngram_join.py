@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendframe.llm import kernels
@@ -106,7 +106,8 @@ def _frequencies(described: DataFrame) -> np.ndarray:
 
 
 def _entries(rows: DataFrame, counts: np.ndarray, words: int, threshold: int) -> DataFrame:
-    """Index entries (token, k1, k2, n, place) of every document's prefix."""
+    """Index entries (token, k1, n, place) of every document's prefix.  Sets go by half of
+    their key here: two that share it are candidates of each other at worst."""
     table = rows.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
@@ -116,7 +117,6 @@ def _entries(rows: DataFrame, counts: np.ndarray, words: int, threshold: int) ->
                 h, bounds = kernels.shingle_sets(buffer, offsets, words)
                 n = np.diff(bounds)
                 k1 = kernels.segment_sums(kernels._mixed(h ^ np.uint64(0x1234567)), bounds)
-                k2 = kernels.segment_sums(kernels._mixed(h + np.uint64(0x7654321)), bounds)
                 rank = frequency[h & np.uint64(COUNTERS - 1)]
                 prefix = _prefix(n, threshold)
                 at = np.repeat(np.arange(len(n)), prefix)
@@ -128,10 +128,10 @@ def _entries(rows: DataFrame, counts: np.ndarray, words: int, threshold: int) ->
                         tokens[i:i + p] = h[a:b][np.argsort(rank[a:b], kind="stable")[:p]]
                         i += p
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(tokens), _signed(k1[at]), _signed(k2[at]), pa.array(n[at].astype(np.int32)),
-                     pa.array(place.astype(np.int32))], names=["token", "k1", "k2", "n", "place"])
+                    [_signed(tokens), _signed(k1[at]), pa.array((n[at].astype(np.int64) << 32) | place)],
+                    names=["token", "k1", "at"])
 
-    return rows.select("text").mapInArrow(run, "token bigint, k1 bigint, k2 bigint, n int, place int")
+    return rows.select("text").mapInArrow(run, "token bigint, k1 bigint, at bigint")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -170,13 +170,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
         "k1", "k2", F.col("first.doc_id").alias("node"), F.col("first.th").alias("node_th")), "ngram-nodes")
 
     # lists of two sets or more; the block is the set size on a scale of the threshold
-    entries = _entries(rows, _frequencies(described), words, threshold).distinct()
-    shared = entries.groupBy("token").agg(F.min(F.struct("k1", "k2")).alias("lo"),
-                                          F.max(F.struct("k1", "k2")).alias("hi")).where("lo != hi").select("token")
+    of_token = Window.partitionBy("token")
+    entries = (_entries(rows, _frequencies(described), words, threshold)
+               .withColumn("lo", F.min("k1").over(of_token)).withColumn("hi", F.max("k1").over(of_token))
+               .where("lo != hi").select("token", "k1", F.shiftright("at", 32).cast("int").alias("n"),
+                                         F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place")).distinct())
     block = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / threshold))).cast("int")
-    lists = materialize(
-        entries.join(shared, "token", "left_semi").join(nodes.select("k1", "k2", "node"), ["k1", "k2"])
-        .select("token", "node", "n", "place", block.alias("block")), "ngram-lists")
+    lists = materialize(entries.join(nodes.select("k1", "node"), "k1").select(
+        "token", "node", "n", "place", block.alias("block")), "ngram-lists")
 
     # the candidates' own sets, once for both rounds
     wanted = lists.select("node").distinct().join(nodes.select("node", "node_th"), "node")
