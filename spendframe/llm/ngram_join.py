@@ -16,7 +16,8 @@ frequent; if two sets are that similar, they share a shingle among the first n -
 
 Equal sets are merged before anything is indexed, so a hot group of exact copies is one set.
 The order of shingles comes from a count table of fixed size (any fixed order is correct; it
-only makes lists short), the one thing that is broadcast.  Pairs, components and sets stay
+only makes lists short), which is
+broadcast, as is a bitmap of fixed size that tells candidates from texts to pass over.  Pairs, components and sets stay
 distributed.
 
 Defined results: null, empty or wordless text has the empty set, which is linked with
@@ -41,6 +42,8 @@ WORDS = 5
 THRESHOLD = 80
 #: Counters of the frequency table (fixed size, 4 bytes each).
 COUNTERS = 1 << 18
+#: Cells of the filter on wanted texts (fixed size, one bit each).
+BITS = 1 << 23
 
 _BY_ROW = "doc_id bigint, th bigint, n bigint, k1 bigint, k2 bigint, part int, counts binary"
 
@@ -134,19 +137,49 @@ def _entries(rows: DataFrame, counts: np.ndarray, words: int, threshold: int) ->
     return rows.select("text").mapInArrow(run, "token bigint, k1 bigint, at bigint")
 
 
-def _sets(rows: DataFrame, words: int) -> DataFrame:
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Which of BITS cells the keys (column ``th``) fall into: a filter of fixed size that lets
+    through every key, and few others while there are fewer keys than cells."""
+    def fill(key, table):
+        bits = np.zeros(BITS // 64, np.uint8)
+        bits[table.column("cell").to_numpy()] = 1
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
+                         "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    cell = F.col("th").bitwiseAND(F.lit(BITS - 1))
+    parts = keys.select((cell % 64).cast("int").alias("part"), F.floor(cell / 64).alias("cell")).distinct().groupBy(
+        "part").applyInArrow(fill, "part int, bits binary").collect()
+    out = np.zeros((64, BITS // 64), np.uint8)
+    for p in parts:
+        out[p.part] = np.unpackbits(np.frombuffer(p.bits, np.uint8))
+    return np.packbits(out.T.ravel())
+
+
+def _sets(rows: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
+    """(node, tokens) of the wanted (node, node_th): upper halves of the shingle hashes.  Texts
+    that no wanted hash can belong to are passed over before anything is computed or sent."""
+    bits = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(F.col("node_th").alias("th"))))
+
     def run(batches):
+        known = np.unpackbits(bits.value)
         for batch in batches:
+            th = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array(known[th & (BITS - 1)] == 1))
             for part, buffer, offsets in kernels.slices(batch, "text"):
                 h, bounds = kernels.shingle_sets(buffer, offsets, words)
-                tokens = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), _signed(h))
-                yield pa.RecordBatch.from_arrays([part.column(1), tokens], names=["node", "tokens"])
+                tokens = pa.array((h >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(1), part.column(2), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), tokens)],
+                    names=["node", "node_th", "tokens"])
 
-    return rows.select("text", F.col("doc_id").alias("node")).mapInArrow(run, "node bigint, tokens array<bigint>")
+    found = rows.where("doc_id IS NOT NULL").select("text", F.col("doc_id").alias("node"), F.coalesce(
+        "th", F.lit(0)).alias("node_th")).mapInArrow(run, "node bigint, node_th bigint, tokens array<int>")
+    return found.join(wanted, ["node", "node_th"], "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact overlap of every pair (a, b): (a, b, n_a, n_b, both)."""
+    """Overlap of every pair (a, b): (a, b, n_a, n_b, both).  Sizes are exact; the overlap is
+    counted by 32 bits of hash, wrong by one for about one pair in 2^32 / (differing shingles)^2."""
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     return pairs.join(right, "b").join(left, "a").select(
@@ -181,9 +214,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 
     # the candidates' own sets, once for both rounds
     wanted = lists.select("node").distinct().join(nodes.select("node", "node_th"), "node")
-    some = rows.join(wanted, (F.col("doc_id") == F.col("node")) & (F.col("th") == F.col("node_th")),
-                     "left_semi").dropDuplicates(["doc_id", "th"])
-    sets = materialize(_sets(some, words), "ngram-sets")
+    sets = materialize(_sets(rows, words, wanted), "ngram-sets")
 
     # round one: every set of a block against its leader, and leaders of neighbouring blocks
     leaders = lists.groupBy("token", "block").agg(F.min("node").alias("leader"))
