@@ -14,7 +14,7 @@ by a join with the graph, new vectors are compared, and the best POOL stay, unti
 enters.  At last the scores of the pool are computed in double precision from the original
 vectors.
 
-Searching uses 32-bit vectors; only reported scores are exact.  Every row is indexed.  Recall is
+Searching uses vectors in half precision; reported scores come from the original ones.  Every row is indexed.  Recall is
 measured against brute force in the tests and the README.  Blocks bound what a task holds:
 a hub with very many backward edges is dealt into several blocks, not cut.
 
@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 
 from spendframe.llm.common import materialize, release
 
-#: Neighbours per node, first partitions, rows of a block, most rounds, share of changed edges that ends them.
+#: Neighbours per node, first partitions, rows of a block, most rounds, proposals per row of a
+#: block in a round, share of changed edges that ends them.
 K = 16
 PARTITIONS = 6
 BLOCK = 256
 ROUNDS = 4
+PROPOSALS = 6
 SETTLED = 0.02
 #: Search: nodes kept per query, expanded per step, most steps.
 POOL = 48
@@ -47,26 +49,35 @@ STEPS = 8
 
 
 def usable(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(node, vec_id, v, u): rows that take part, numbered; v as given (double), u of unit length (float)."""
+    """(node, vec_id, v, u): rows that take part, numbered; v as given (double), u of unit
+    length, packed (half precision)."""
     v = F.col(vector_col).cast("array<double>")
     df = table.select(F.col(id_col).alias("vec_id"), v.alias("v")).where(
         F.col("v").isNotNull() & (F.size("v") > 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    df = df.withColumn("norm", norm).where((F.col("norm") > 0) & (F.col("norm") < float("inf")))
-    df = df.select(F.monotonically_increasing_id().alias("node"), "vec_id", "v",
-                   F.transform("v", lambda x: (x / F.col("norm")).cast("float")).alias("u"))
-    df = materialize(df, "nn-vectors")
+    df = df.where((norm > 0) & (norm < float("inf")))
     sizes = df.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return df.where(F.size("v") == sizes[0].d) if sizes else df
+    df = df.where(F.size("v") == (sizes[0].d if sizes else 0)).select(
+        F.monotonically_increasing_id().alias("node"), "vec_id", "v")
+    kind = df.schema["vec_id"].dataType.simpleString()
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+                x = (x / np.sqrt((x * x).sum(axis=1, keepdims=True))).astype(np.float16)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r.tobytes() for r in x], pa.binary())],
+                                                 names=["node", "vec_id", "v", "u"])
+
+    return materialize(df.mapInArrow(pack, f"node bigint, vec_id {kind}, v array<double>, u binary"), "nn-vectors")
 
 
 def _unit(column) -> np.ndarray:
-    """Float rows of a list column (all of one length)."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+    """Rows of packed vectors."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.float16).reshape(len(rows), -1).astype(np.float32) if rows else np.zeros(
+        (0, 1), np.float32)
 
 
 def _best(sims: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,8 +93,8 @@ def _best(sims: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.n
 _EDGE = "node bigint, nbr bigint, sim float"
 
 
-def _compare_blocks(blocks: DataFrame, k: int) -> DataFrame:
-    """Proposed edges from rows (key, node, u, floor) gathered by ``key``."""
+def _compare_blocks(blocks: DataFrame, most: int) -> DataFrame:
+    """Proposed edges, ``most`` per row, from rows (key, node, u, floor) gathered by ``key``."""
     def run(table):
         nodes, first = np.unique(table.column("node").to_numpy(), return_index=True)
         u = _unit(table.column("u"))[first]
@@ -92,7 +103,7 @@ def _compare_blocks(blocks: DataFrame, k: int) -> DataFrame:
         for i in range(0, len(nodes), 4 * BLOCK):     # keys share rows by a hash: a block can be larger
             sims = u[i:i + 4 * BLOCK] @ u.T
             sims[np.arange(len(sims)), np.arange(i, i + len(sims))] = -9
-            rows, cols = _best(sims, k, floor[i:i + 4 * BLOCK])
+            rows, cols = _best(sims, most, floor[i:i + 4 * BLOCK])
             found.append((nodes[i + rows], nodes[cols], sims[rows, cols]))
         parts = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table({"node": pa.array(parts[0], pa.int64()), "nbr": pa.array(parts[1], pa.int64()),
@@ -117,7 +128,8 @@ def _edges(graph: DataFrame) -> DataFrame:
 
 def _start(vectors: DataFrame, n: int, k: int, seed: int) -> DataFrame:
     """First edges from random partitions."""
-    dims = len(vectors.select("u").first().u)
+    some = vectors.select("u").first()
+    dims = len(some.u) // 2 if some else 1
     bits = max(0, int(np.ceil(np.log2(max(1, n / BLOCK)))))
     planes = np.random.default_rng(seed).normal(size=(PARTITIONS, bits, dims)).astype(np.float32)
     shared = vectors.sparkSession.sparkContext.broadcast(planes)
@@ -131,7 +143,7 @@ def _start(vectors: DataFrame, n: int, k: int, seed: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key * PARTITIONS + p), batch.column(0), batch.column(1)], names=["key", "node", "u"])
 
-    rows = vectors.select("node", "u").mapInArrow(keyed, "key bigint, node bigint, u array<float>")
+    rows = vectors.select("node", "u").mapInArrow(keyed, "key bigint, node bigint, u binary")
     counts = rows.groupBy("key").count().withColumnRenamed("count", "c")
     blocks = rows.join(counts, "key").select(
         F.xxhash64("key", F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / (2 * BLOCK)))).alias("key"), "node", "u",
@@ -152,7 +164,7 @@ def build(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, seed: int = 5) -
         blocks = both.join(degree, "node").join(ends, "nbr").select(
             F.xxhash64("node", F.pmod(F.xxhash64("nbr", F.lit(r)), F.ceil(F.col("c") / BLOCK))).alias("key"),
             F.col("nbr").alias("node"), "u", F.coalesce("floor", F.lit(-2.0)).cast("float").alias("floor"))
-        better = _keep(_edges(graph).union(_compare_blocks(blocks, k)), k)
+        better = _keep(_edges(graph).union(_compare_blocks(blocks, PROPOSALS)), k)
         better = materialize(better, "nn-graph")
         old = _edges(graph).select("node", "nbr")
         total = better.agg(F.sum(F.size("best"))).first()[0] or 0
@@ -171,7 +183,13 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, poo
     links = materialize(links.union(links.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct(),
                         "nn-links")
     asked = queries.select(F.col("node").alias("query"), F.col("u").alias("q"))
-    sim = F.aggregate(F.zip_with("q", "u", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
+
+    def compare(batches):
+        for batch in batches:
+            sims = (_unit(batch.column(2)) * _unit(batch.column(3))).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(-sims.astype(np.float64))],
+                                             names=["query", "node", "far"])
+
     # pool rows: (query, node, far, seen)
     state = asked.select("query", F.array(F.struct(
         F.lit(-2.0).alias("far"), F.col("query").alias("node"), F.lit(False).alias("seen"))).alias("pool"))
@@ -183,7 +201,8 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, poo
         known = state.select("query", F.explode("pool.node").alias("node"))
         reached = reached.join(known, ["query", "node"], "left_anti")
         scored = reached.join(vectors.select("node", "u"), "node").join(asked, "query").select(
-            "query", F.struct((-sim).alias("far"), "node", F.lit(False).alias("seen")).alias("p"))
+            "query", "node", "q", "u").mapInArrow(compare, "query bigint, node bigint, far double").select(
+            "query", F.struct("far", "node", F.lit(False).alias("seen")).alias("p"))
         came = scored.groupBy("query").agg(F.slice(F.sort_array(F.collect_list("p")), 1, pool).alias("came"))
         taken = F.transform("pool", lambda p: F.struct(
             p["far"].alias("far"), p["node"].alias("node"),
