@@ -14,8 +14,11 @@ def col_(c) -> Column:
 
 
 def money(text) -> Column:
-    """'$-77.00' -> -77.00 as DECIMAL(12,2); null stays null."""
-    return F.regexp_replace(col_(text), r"\$", "").cast(MONEY)
+    """'$-77.00' -> -77.00 as DECIMAL(12,2); null stays null, and a text that is no amount
+    fails the query instead of leaving the sums."""
+    t = F.regexp_replace(col_(text), r"\$", "")
+    bad = F.raise_error(F.concat(F.lit("not an amount: "), col_(text)))
+    return F.coalesce(t.try_cast(MONEY), F.when(t.isNotNull(), bad.cast(MONEY)))
 
 
 def money_text(amount) -> Column:
@@ -55,9 +58,6 @@ def weekday_monday1(d) -> Column:
     return F.weekday(col_(d)) + 1
 
 
-def quarter_no(d) -> Column:
-    return F.quarter(col_(d))
-
 
 def week_of_month(d) -> Column:
     """Row of a Monday-first month grid, 1..6."""
@@ -88,13 +88,6 @@ def short_money(v, money_: bool = True) -> Column:
     return out.otherwise(F.format_number(v, 0))
 
 
-def signed_pct(v, dp: int = 1) -> Column:
-    """'up 12.3%' / 'down 4.0%'."""
-    v = col_(v)
-    return F.when(v.isNull(), F.lit(None)).otherwise(
-        F.concat(F.when(v >= 0, F.lit("up ")).otherwise(F.lit("down ")),
-                 F.format_string(f"%.{dp}f%%", F.abs(v) * 100)))
-
 
 def ordinal_suffix(n) -> Column:
     n = col_(n)

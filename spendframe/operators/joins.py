@@ -102,20 +102,6 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
                             for c in one_row.columns])
 
 
-def attach_totals(df: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach coarser-grain totals to each row.  With keys this is an equi-join on
-    the (null-safe) keys; with none, ``totals`` is a global aggregate of exactly one
-    row, attached as scalar subqueries."""
-    if not keys:
-        return with_scalars(df, totals)
-    cond = [df[k].eqNullSafe(totals[k]) for k in keys]
-    t = totals
-    joined = df.join(broadcast_if_small(t), on=cond, how="left")
-    for k in keys:
-        joined = joined.drop(t[k])
-    return joined
-
-
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int = 16,
                 how: str = "left") -> DataFrame:
     """Fact many-to-one a dimension too large to broadcast, when one key may hold a

@@ -3,9 +3,8 @@
 * ``field_diff``: full outer join of two keyed result sets, every field unpivoted
   (``stack``) and compared with a per-field tolerance; a value missing on one side
   (null/NaN) is a mismatch, never a silent pass.
-* ``multiset_diff``: are two results the same multiset of numbers (2 dp)?  Values
-  are counted per rounded value on both sides and the counts joined - a hash
-  aggregate, no global sort of the values.
+* ``multiset_diff``: do two results hold the same numbers (2 dp, within a tolerance)?
+  Values are counted per side and running differences compared, bucket by bucket.
 * ``widen``: long (query, column, value) -> wide rows, positional per column.
 * ``column_profile``: distinct, blanks and bytes per column in one pass, unpivoted.
 """
@@ -16,14 +15,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-           T.DecimalType)
+from spendframe.functions.constants import TOL_MULTISET
 
+#: Values per bucket of ``multiset_diff``, in hundredths.
+BUCKET_CENTS = 1_000_000
 
-def _stack(df: DataFrame, keys: list[str], fields: list[str], prefix: str) -> DataFrame:
-    expr = "stack({}, {}) as (field, {}v)".format(
-        len(fields), ", ".join(f"'{f}', CAST(`{prefix}{f}` AS DOUBLE)" for f in fields), prefix)
-    return df.selectExpr(*[f"`{k}`" for k in keys], "_presence", expr)
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+           T.DecimalType)
 
 
 def field_diff(expected: DataFrame, actual: DataFrame, keys: list[str], fields: list[str],
@@ -40,9 +38,10 @@ def field_diff(expected: DataFrame, actual: DataFrame, keys: list[str], fields:
                  *[f"e_{f}" for f in fields], *[f"a_{f}" for f in fields],
                  F.when(F.col("_e") & F.col("_a"), "both").when(F.col("_e"), "expected_only")
                   .otherwise("actual_only").alias("_presence"))
-    ev = _stack(j.select(*keys, "_presence", *[f"e_{f}" for f in fields]), keys, fields, "e_")
-    av = _stack(j.select(*keys, "_presence", *[f"a_{f}" for f in fields]), keys, fields, "a_")
-    both = ev.join(av.drop("_presence"), on=[*keys, "field"], how="inner")
+    # both sides unpivoted together: keys are compared once, null keys included
+    expr = "stack({}, {}) as (field, e_v, a_v)".format(len(fields), ", ".join(
+        f"'{f}', CAST(`e_{f}` AS DOUBLE), CAST(`a_{f}` AS DOUBLE)" for f in fields))
+    both = j.selectExpr(*[f"`{k}`" for k in keys], "_presence", expr)
     tol = F.lit(default_tol)
     for f, t in tolerance.items():
         tol = F.when(F.col("field") == f, F.lit(t)).otherwise(tol)
@@ -65,14 +64,31 @@ def melt_numbers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def multiset_diff(a: DataFrame, b: DataFrame, a_cols: list[str] | None = None,
-                  b_cols: list[str] | None = None) -> DataFrame:
-    """(value_2dp, count_a, count_b) for values whose counts differ (empty = match)."""
-    ca = melt_numbers(a, a_cols).where(F.col("value").isNotNull()).groupBy(
-        F.round("value", 2).alias("v")).agg(F.count(F.lit(1)).alias("n_a"))
-    cb = melt_numbers(b, b_cols).where(F.col("value").isNotNull()).groupBy(
-        F.round("value", 2).alias("v")).agg(F.count(F.lit(1)).alias("n_b"))
-    j = ca.join(cb, "v", "full")
-    return j.where(~F.coalesce(F.col("n_a"), F.lit(0)).eqNullSafe(F.coalesce(F.col("n_b"), F.lit(0))))
+                  b_cols: list[str] | None = None, tolerance: float = TOL_MULTISET) -> DataFrame:
+    """Do two results hold the same numbers?  Both are rounded to 2 dp, sorted and paired;
+    every pair may differ by ``tolerance``.  Rows: (v, ahead) where one side is ahead of the
+    other by more than the tolerance allows (empty = match).
+
+    Pairs agree when, for every v, one side has no more values up to v than the other has up
+    to v + tolerance.  So values are counted per side, one side moved by the tolerance, and
+    the difference summed along v: per BUCKET of values, then inside the bucket, so that only
+    bucket totals are ever summed in one task."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    counts = lambda df, cols: (melt_numbers(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+                               .groupBy(cents.alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    ca, cb = counts(a, a_cols), counts(b, b_cols)
+    step = int(round(tolerance * 100))
+    moved = lambda df: df.select((F.col("v") - step).alias("v"), (-F.col("n")).alias("n"))
+    tests = [(F.lit("a"), ca.select("v", "n").union(moved(cb))), (F.lit("b"), cb.select("v", "n").union(moved(ca)))]
+    both = tests[0][1].withColumn("side", tests[0][0]).union(tests[1][1].withColumn("side", tests[1][0]))
+    events = both.groupBy("side", "v").agg(F.sum("n").alias("n")).withColumn(
+        "bucket", F.floor(F.col("v") / BUCKET_CENTS))
+    totals = events.groupBy("side", "bucket").agg(F.sum("n").alias("total")).withColumn(
+        "before", F.sum("total").over(Window.partitionBy("side").orderBy("bucket")) - F.col("total"))
+    inside = F.sum("n").over(Window.partitionBy("side", "bucket").orderBy("v"))
+    ahead = events.withColumn("inside", inside).join(totals, ["side", "bucket"]).select(
+        "side", (F.col("v") / 100).alias("v"), (F.col("before") + F.col("inside")).alias("ahead"))
+    return ahead.where("ahead > 0").groupBy("v").agg(F.max("ahead").alias("ahead"))
 
 
 def widen(long_df: DataFrame, column: str = "column", value: str = "value",

@@ -6,9 +6,7 @@ ties included - then a single-partition exchange of at most n (+ ties) rows per
 and a final limit + rank.  One scan of the input, a bounded final task.
 
 The rule applies up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by
-default).  Above it the same rows are found without a window: a distributed
-take-ordered of the n best (n x tasks rows meet at the end) gives the n-th value as a
-one-row cutoff, read back as a scalar subquery, and every row at or beyond it is kept.
+default), so MOST_ROWS is the largest n: a longer list is a sort, not a top-N.
 """
 
 from __future__ import annotations
@@ -16,47 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendframe.operators.joins import with_scalars
-
-
-def _group_limit_threshold(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold",
-                                            "1000"))
-    except Exception:  # pragma: no cover - conf unavailable
-        return -1
+MOST_ROWS = 1000
 
 
 def top_n_with_ties(df: DataFrame, n: int, by: str, ascending: bool = False,
                     rank_col: str | None = None) -> DataFrame:
     """Rows whose competition rank on ``by`` is <= n (nulls last).  ``rank_col`` keeps
     the rank as a column."""
+    if not 0 < n <= MOST_ROWS:
+        raise ValueError(f"n must be 1 to {MOST_ROWS}: {n}")
     order = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
-    rank = F.rank().over(Window.orderBy(order))
-    if 0 < n <= _group_limit_threshold(df):
-        out = df.withColumn("__rk", rank).where(F.col("__rk") <= n)
-    else:
-        head = df.where(F.col(by).isNotNull()).orderBy(order).limit(n)
-        cutoff = head.agg((F.max(by) if ascending else F.min(by)).alias("__cutoff"),
-                          F.count(F.lit(1)).alias("__k"))
-        j = with_scalars(df, cutoff)
-        keep = F.col("__k") < n          # fewer than n non-null rows: keep everything
-        keep = keep | ((F.col(by) <= F.col("__cutoff")) if ascending
-                       else (F.col(by) >= F.col("__cutoff")))
-        out = j.where(keep).drop("__cutoff", "__k")
-        if rank_col:
-            # every row ranked above a kept row is kept, so the rank inside the subset
-            # is the global rank; the subset is bounded by n plus ties
-            out = out.withColumn("__rk", rank)
-    if rank_col:
-        return out.withColumnRenamed("__rk", rank_col)
-    return out.drop("__rk") if "__rk" in out.columns else out
-
-
-def rank_filter(df: DataFrame, n: int, by: str, partition_by: list[str], ascending: bool = False,
-                kind: str = "rank") -> DataFrame:
-    """Top/bottom N per partition by competition rank (W5); partitions must be keyed."""
-    order = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
-    w = Window.partitionBy(*partition_by).orderBy(order)
-    fn = {"rank": F.rank, "dense": F.dense_rank, "row": F.row_number}[kind]
-    return df.withColumn("rank", fn().over(w)).where(F.col("rank") <= n)
+    out = df.withColumn("__rk", F.rank().over(Window.orderBy(order))).where(F.col("__rk") <= n)
+    return out.withColumnRenamed("__rk", rank_col) if rank_col else out.drop("__rk")

@@ -325,17 +325,9 @@ class Star:
         return self.base({"date"}).agg(F.min("date").alias("first"), F.max("date").alias("last"))
 
     def date_dim(self) -> DataFrame:
-        """The day spine.  Its bounds need a pass over the fact, so from the raw tables it
-        is built once per session and source and persisted (a row per day - bounded by
-        the date range, not by the data; lost blocks are recomputed from lineage)."""
-        if self._mat is not None:
-            return self._mat[1]
-        key = (id(self.spark._jsparkSession), self.src)
-        dd = _SPINES.get(key)
-        if dd is None:
-            from pyspark import StorageLevel
-            dd = _SPINES[key] = self._date_dim().persist(StorageLevel.MEMORY_AND_DISK)
-        return dd
+        """The day spine.  Its bounds need a pass over the fact's dates; an imported star
+        has it written beside the fact."""
+        return self._mat[1] if self._mat is not None else self._date_dim()
 
     def _date_dim(self) -> DataFrame:
         """Contiguous day spine first..last with calendar attributes.  Its size is
@@ -346,8 +338,7 @@ class Star:
         return date_attributes(spine)
 
 
-_MATERIALIZED: dict = {}
-_SPINES: dict = {}          # (session, source) -> persisted day spine of the raw tables
+_MATERIALIZED: dict = {}    # (session, source) -> the star imported by ``materialize``, until ``release``
 
 
 def materialize(spark: SparkSession, src: str,
@@ -368,10 +359,10 @@ def materialize(spark: SparkSession, src: str,
     if written:
         from spendframe.sources.raw import write_fact_by_year
         from spendframe.session import ensure_checkpoint_dir
-        import hashlib
         import os
-        base = os.path.join(ensure_checkpoint_dir(spark),
-                            "import-" + hashlib.sha1(src.encode()).hexdigest()[:12])
+        import uuid
+        # a path of its own for every build: readers of an earlier one keep their files
+        base = os.path.join(ensure_checkpoint_dir(spark), f"import-{uuid.uuid4().hex}")
         dd = star.date_dim()
         write_fact_by_year(fact, f"{base}/fact", years_overwrite=False)
         dd.write.mode("overwrite").parquet(f"{base}/date")
@@ -408,7 +399,14 @@ def import_partitions(star: Star) -> int:
     return int(max(2 * star.spark.sparkContext.defaultParallelism, by_size))
 
 
+def refresh(spark: SparkSession, src: str, written: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Drop the imported star and import it anew from the source as it is now."""
+    release(spark, src)
+    return materialize(spark, src, written)
+
+
 def release(spark: SparkSession, src: str) -> None:
+    """Forget the imported star; later queries read the raw tables."""
     mat = _MATERIALIZED.pop((id(spark._jsparkSession), src), None)
     if mat:
         for df in mat:

@@ -24,9 +24,6 @@ from spendframe.plans.query import Model
 from spendframe.plans.registry import register
 
 
-_DAILY: dict = {}     # (session, source, value, count, filter, imported) -> daily rollup
-
-
 @dataclass
 class CalendarConfig:
     value: str = "spend"          # additive daily part
@@ -42,20 +39,9 @@ class Calendar:
     def daily(self) -> DataFrame:
         """Daily rollup: only days with rows (value null-free sums of the fact); through the
         model's rollup, so a dimension filter too large to broadcast joins daily rows."""
-        key = (id(self.m.spark._jsparkSession), self.m.src, self.cfg.value, self.cfg.count,
-               repr(sorted((self.where or {}).items())), self.m.star._mat is not None)
-        d = _DAILY.get(key)
-        if d is None:
-            # one row per day (bounded by the date range): every calendar view and fact
-            # reads this one rollup instead of re-aggregating the fact; persisted memory
-            # and disk, lost blocks recomputed from lineage
-            from pyspark import StorageLevel
-            v, c = self.cfg.value, self.cfg.count
-            d = (self.m.rollup(["date"], sorted({v, c}), self.where)
-                 .select("date", F.col(v).alias("v"), F.col(c).alias("c"))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-            _DAILY[key] = d
-        return d
+        v, c = self.cfg.value, self.cfg.count
+        return self.m.rollup(["date"], sorted({v, c}), self.where).select(
+            "date", F.col(v).alias("v"), F.col(c).alias("c"))
 
     def spine(self) -> DataFrame:
         return self.m.spine()
@@ -182,18 +168,27 @@ def year_is_whole(spark, src):
             .withColumn("is_whole", F.col("days") >= 365))
 
 
+def day_slice(cal: Calendar, months: list[str], years: list[int]) -> DataFrame:
+    """J9 (virtual relationship): day cells with the calendar columns pinned to literal
+    value lists (month names, years)."""
+    return (cal.cells_day().where(F.date_format("date", "MMMM").isin(*months) & F.col("year").isin(*years))
+            .select(F.date_format("date", "yyyy-MM-dd").alias("key"),
+                    F.col("v").cast("double").alias("value"),
+                    F.col("c").cast("bigint").alias("count")))
+
+
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August", "September",
+               "October", "November", "December"]
+
+
 @register("calendar_day_slice", with_ctes(
     "SELECT strftime(date, '%Y-%m-%d') AS key, CAST(v AS DOUBLE) AS value, "
-    "CAST(c AS BIGINT) AS count FROM cells_day "
-    "WHERE strftime(date, '%B') IN ('March') AND year IN (1998)", *CAL_CTES[:2]))
+    "CAST(c AS BIGINT) AS count FROM cells_day", *CAL_CTES[:2]))
 def calendar_day_slice(spark, src):
-    """J9 (virtual relationship): pin the calendar columns to a literal value list (month, year)."""
+    """J9 with every month and every year of the spine in the lists."""
     cal = _cal(spark, src)
-    d = cal.cells_day()
-    return (d.where(F.date_format("date", "MMMM").isin("March") & F.col("year").isin(1998))
-            .select(F.date_format("date", "yyyy-MM-dd").alias("key"),
-                    F.col("v").cast("double").alias("value"),
-                    F.col("c").cast("bigint").alias("count")))
+    years = [r.year for r in cal.spine().select("year").distinct().collect()]   # a row per year
+    return day_slice(cal, MONTH_NAMES, years)
 
 
 # ---------------------------------------------------------------- W8 prior-year caps

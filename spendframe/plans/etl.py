@@ -9,8 +9,8 @@ only repeat the input.
 
 from __future__ import annotations
 
-import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -308,14 +308,15 @@ def flat_cleanup(spark, src):
 
 
 @register("surrogate_keys", with_ctes(
-    "SELECT location, CAST(row_number() OVER (ORDER BY location) AS BIGINT) AS geo_key "
-    "FROM (SELECT DISTINCT location FROM att)"))
+    "SELECT location_type, location, "
+    "CAST(row_number() OVER (ORDER BY location_type, location) AS BIGINT) AS geo_key "
+    "FROM (SELECT DISTINCT location_type, location FROM att)"))
 def surrogate_keys(spark, src):
-    """Dense surrogate keys over the sorted distinct labels (dimension-sized)."""
-    f = Model(spark, src).fact({"location"})
-    d = f.select("location").distinct()
-    return d.select("location", F.row_number().over(Window.orderBy("location")).cast("bigint")
-                    .alias("geo_key"))
+    """Dense surrogate keys over the sorted distinct places.  A place is its type and
+    label, so a state and a country of one name keep keys of their own."""
+    d = Model(spark, src).fact({"location_type", "location"}).select("location_type", "location").distinct()
+    return d.select("location_type", "location", F.row_number().over(
+        Window.orderBy("location_type", "location")).cast("bigint").alias("geo_key"))
 
 
 @register("having_range", with_ctes(
@@ -406,18 +407,13 @@ def label_map_explode(spark, src):
                   F.countDistinct("id").alias("ids"))
 
 
-def _star_dir(spark, src) -> str:
-    """The written star lives in the cluster's shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "star-" + hashlib.sha1(src.encode()).hexdigest()[:12], "fact")
-
-
 def _written_fact(spark, src) -> str:
-    """Write (overwrite) the star fact by year into the shared folder; return its path."""
-    path = _star_dir(spark, src)
+    """Write the star fact by year into the shared folder, in a folder of its own for each
+    build, and return its path."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"star-{uuid.uuid4().hex}", "fact")
     fact = Model(spark, src).fact({"year", "date", "card_key", "client_key", "mcc", "channel",
                                    "outcome_key", "fraud_key", "amount"})
-    write_fact_by_year(fact, path)
+    write_fact_by_year(fact, path, years_overwrite=False)
     return path
 
 

@@ -202,8 +202,8 @@ CHANNELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 def _pivot_month_channel(spark, src) -> DataFrame:
     f = Model(spark, src).fact({"month", "channel"})
-    # Spark finds the (dimension-sized) pivot values itself; missing cells -> 0.
-    return f.groupBy("month").pivot("channel").count().na.fill(0)
+    # The channels are fixed values, so no job looks for them; missing cells -> 0.
+    return f.groupBy("month").pivot("channel", CHANNELS).count().na.fill(0)
 
 
 @register("channel_by_month", with_ctes(
@@ -382,19 +382,57 @@ def state_column_audit(spark, src):
 
 
 # ---------------------------------------------------------------- S10 web export (JSON lines)
-SECTIONS = ["x_totals", "x_by_year", "x_by_channel", "x_by_category", "x_by_loctype",
-            "x_by_outcome", "x_spend_by_month", "x_by_hour", "x_by_credit_band",
-            "x_channel_by_month"]
+_RATES = [("n", "int"), ("approved", "int"), ("spend", "num"), ("decline", "num"), ("labelled", "int"),
+          ("fraud", "int"), ("per10k", "num"), ("per10k_naive", "num")]
+#: Columns of each section in order: whole numbers, numbers (written with 6 decimals) or text.
+SECTION_COLUMNS = {
+    "x_totals": _RATES + [("clients", "int"), ("cards_active", "int"), ("cards_on_file", "int"),
+                          ("attempted_value", "num"), ("avg_purchase", "num"), ("refund_share", "num"),
+                          ("first", "text"), ("last", "text"), ("overstatement", "num")],
+    "x_by_year": [("year", "int"), *_RATES],
+    "x_by_channel": [("channel", "text"), *_RATES],
+    "x_by_category": [("category", "text"), *_RATES],
+    "x_by_loctype": [("location", "text"), *_RATES],
+    "x_by_outcome": [("outcome", "text"), ("cls", "text"), ("n", "int")],
+    "x_spend_by_month": [("month", "text"), ("value", "num")],
+    "x_by_hour": [("hour", "int"), ("value", "int")],
+    "x_by_credit_band": [("band", "text"), ("sort", "int"), ("clients", "int"), *_RATES],
+    "x_channel_by_month": [("month", "text"), *[(c, "num") for c in CHANNELS]],
+    "quality_report": [("metric", "text"), ("value", "text")],
+}
+SECTIONS = list(SECTION_COLUMNS)
+
+
+def _json_row(columns, quote: str) -> str:
+    """A SQL expression of one JSON object, the same text for both engines but the quotes."""
+    def value(c, kind):
+        c = f"{quote}{c}{quote}"
+        if kind == "text":
+            return f"""coalesce('"' || CAST({c} AS STRING) || '"', 'null')"""
+        if kind == "num":
+            c = f"CAST({c} AS DECIMAL(38, 6))"
+        return f"coalesce(CAST({c} AS STRING), 'null')"
+    return "'{' || " + " || ',' || ".join(f"""'"{c}":' || {value(c, k)}""" for c, k in columns) + " || '}'"
+
+
+def _section_name(query: str) -> str:
+    return query.removeprefix("x_").removesuffix("_report")
+
+
+def _web_export_sql() -> str:
+    from spendframe.plans.registry import ORACLE
+    return "\nUNION ALL\n".join(
+        f"SELECT '{_section_name(q)}' AS section, {_json_row(SECTION_COLUMNS[q], chr(34))} AS row FROM ({ORACLE[q]})"
+        for q in SECTIONS)
 
 
-@register("web_export_json")
 def web_export_json(spark, src):
-    """Every export section as JSON lines (section, row json).  Write it with
-    ``.write.mode('overwrite').json(path)``; nothing is gathered on the driver."""
+    """Every export section, the quality report included, as JSON lines (section, row).
+    Write it with ``write_web_export``; nothing is gathered on the driver."""
     from spendframe.plans.registry import QUERIES
-    parts = [QUERIES[s](spark, src).select(F.lit(s[2:]).alias("section"),
-                                           F.to_json(F.struct("*")).alias("row"))
-             for s in SECTIONS]
+    parts = [QUERIES[q](spark, src).select(F.lit(_section_name(q)).alias("section"),
+                                           F.expr(_json_row(SECTION_COLUMNS[q], "`")).alias("row"))
+             for q in SECTIONS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -402,4 +440,5 @@ def web_export_json(spark, src):
 
 
 def write_web_export(spark, src, path: str) -> None:
-    web_export_json(spark, src).write.mode("overwrite").json(path)
+    """One JSON object per line, one folder per section."""
+    web_export_json(spark, src).write.mode("overwrite").partitionBy("section").text(path)

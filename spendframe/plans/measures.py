@@ -241,7 +241,3 @@ def output_cast(kind: str, c: Column) -> Column:
     if kind in ("money", "ratio"):
         return c.cast("double")
     return c
-
-
-def change_of(cur: Column, prev: Column) -> Column:
-    return change(cur, prev)

@@ -36,7 +36,7 @@ from spendframe.functions.scalar import change, ratio
 from spendframe.operators.joins import join_dim, with_scalars
 from spendframe.operators.topn import top_n_with_ties
 from spendframe.plans.binding import Star
-from spendframe.plans.measures import (DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
+from spendframe.plans.measures import (APPROX_CONF, DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
                                        output_cast)
 
 ADDITIVE = ("count", "money")      # part kinds that add up across days and groups
@@ -275,6 +275,8 @@ class Model:
             return []
         if not all(PARTS[p].kind in ADDITIVE or p in EAGER_DISTINCT for p in parts):
             return []
+        if self.spark.conf.get(APPROX_CONF, None) and any(p in EAGER_DISTINCT for p in parts):
+            return []      # estimates everywhere: no dimension's size changes the kind of answer
         dims = self.star.dims_for(set(keys) | set(where or {}))
         if mode != "always" and not any(self.star.dim_is_large(d) for d in dims):
             return []

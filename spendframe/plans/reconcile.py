@@ -128,46 +128,59 @@ PAIRS = [("q01_total_spend", "f01_total_spend", ["spend", "approved", "declines"
 
 
 def _pair_sql(q, f, cols) -> str:
+    """Sorted and paired by position, as the comparison is meant: the pairs that differ by
+    more than the tolerance, plus the values that one side has more."""
     lst = ", ".join(f"CAST({c} AS DOUBLE)" for c in cols)
 
-    def counts(name):
-        return (f"SELECT round(v, 2) AS v, count(*) AS n FROM (SELECT unnest([{lst}]) AS v FROM "
-                f"({ORACLE[name]})) WHERE v IS NOT NULL GROUP BY 1")
-    return (f"SELECT '{q[:3]}' AS query, count(*) FILTER (WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)) "
-            f"AS mismatched_values FROM ({counts(q)}) a FULL OUTER JOIN ({counts(f)}) b ON a.v = b.v")
+    def ranked(name):
+        return (f"SELECT round(v, 2) AS v, row_number() OVER (ORDER BY round(v, 2)) AS i FROM "
+                f"(SELECT unnest([{lst}]) AS v FROM ({ORACLE[name]})) WHERE v IS NOT NULL AND NOT isnan(v)")
+    return (f"SELECT '{q[:3]}' AS query, count(*) = 0 AS match FROM ({ranked(q)}) a FULL OUTER JOIN "
+            f"({ranked(f)}) b ON a.i = b.i WHERE a.i IS NULL OR b.i IS NULL "
+            f"OR round(abs(a.v - b.v) * 100) > {int(round(K.TOL_MULTISET * 100))}")
 
 
-@register("multiset_match", "\nUNION ALL\n".join(
-    f"SELECT query, mismatched_values, mismatched_values = 0 AS match FROM ({_pair_sql(q, f, c)})"
-    for q, f, c in PAIRS))
+@register("multiset_match", "\nUNION ALL\n".join(_pair_sql(q, f, c) for q, f, c in PAIRS))
 def multiset_match(spark, src):
-    """Star vs flat, per query: are the numbers returned the same multiset (2 dp)?
+    """Star vs flat, per query: are the numbers returned the same multiset (2 dp, +/-0.02)?
     (the prior-year pair is expected to differ: visible-date shift vs year arithmetic)."""
     out = None
     for q, f, cols in PAIRS:
         d = multiset_diff(QUERIES[q](spark, src), QUERIES[f](spark, src), cols, cols)
-        r = d.agg(F.count(F.lit(1)).alias("mismatched_values")).select(
-            F.lit(q[:3]).alias("query"), "mismatched_values",
-            (F.col("mismatched_values") == 0).alias("match"))
+        r = d.agg(F.count(F.lit(1)).alias("_n")).select(F.lit(q[:3]).alias("query"), (F.col("_n") == 0).alias("match"))
         out = r if out is None else out.unionByName(r)
     return out
 
 
+def diverging(star, flat, keys: list[str], fields: list[str], tolerance: float = K.TOL_MULTISET):
+    """X7 for any pair: rows on which two answers differ by more than the tolerance, rows of
+    one side alone included; null keys match null keys."""
+    s = star.select(*keys, *[F.col(c).alias(f"{c}_star") for c in fields], F.lit(True).alias("_s"))
+    n = flat.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(c).alias(f"{c}_naive") for c in fields],
+                    F.lit(True).alias("_n"))
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    same = F.lit(True)
+    for c in fields:
+        a, b = F.col(f"{c}_star").cast("double"), F.col(f"{c}_naive").cast("double")
+        same = same & (a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= tolerance, F.lit(False)))
+    alone = F.col("_s").isNull() | F.col("_n").isNull()
+    return s.join(n, on, "full").where(alone | ~same).select(
+        *[F.when(F.col("_s"), F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in keys],
+        *[f"{c}_{side}" for side in ("star", "naive") for c in fields])
+
+
 @register("divergence",
-          "SELECT s.year, s.spend AS spend_star, s.py AS py_star, s.yoy AS yoy_star, "
+          "SELECT coalesce(s.year, n.year) AS year, s.spend AS spend_star, s.py AS py_star, s.yoy AS yoy_star, "
           "n.spend AS spend_naive, n.py AS py_naive, n.yoy AS yoy_naive "
-          f"FROM ({ORACLE['q07_spend_yoy']}) s JOIN ({ORACLE['f07_spend_yoy']}) n ON s.year = n.year "
-          "WHERE s.py IS DISTINCT FROM n.py")
+          f"FROM ({ORACLE['q07_spend_yoy']}) s FULL JOIN ({ORACLE['f07_spend_yoy']}) n ON s.year = n.year "
+          "WHERE s.year IS NULL OR n.year IS NULL OR " + " OR ".join(
+              f"((s.{c} IS NULL) <> (n.{c} IS NULL) OR abs(CAST(s.{c} AS DOUBLE) - CAST(n.{c} AS DOUBLE)) > {K.TOL_MULTISET})"
+              for c in ("spend", "py", "yoy")))
 def divergence(spark, src):
-    """The rows where the star and the flat model answer the same question
-    differently (prior-year spend)."""
-    s = QUERIES["q07_spend_yoy"](spark, src).select(
-        "year", F.col("spend").alias("spend_star"), F.col("py").alias("py_star"),
-        F.col("yoy").alias("yoy_star"))
-    n = QUERIES["f07_spend_yoy"](spark, src).select(
-        "year", F.col("spend").alias("spend_naive"), F.col("py").alias("py_naive"),
-        F.col("yoy").alias("yoy_naive"))
-    return s.join(n, "year").where(~F.col("py_star").eqNullSafe(F.col("py_naive")))
+    """The years in which the star and the flat model answer the same question (spend
+    and prior-year spend) differently."""
+    return diverging(QUERIES["q07_spend_yoy"](spark, src), QUERIES["f07_spend_yoy"](spark, src),
+                     ["year"], ["spend", "py", "yoy"])
 
 
 @register("result_widen",

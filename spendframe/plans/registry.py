@@ -29,6 +29,9 @@ def load_all() -> None:
     import importlib
     for mod in MODULES:
         importlib.import_module(f"spendframe.plans.{mod}")
+    if "web_export_json" not in QUERIES:      # made of other queries: registered after all of them
+        exports = importlib.import_module("spendframe.plans.exports")
+        add("web_export_json", exports.web_export_json, exports._web_export_sql())
 
 
 MODULES = ["benchmark", "report", "calendar", "exports", "etl", "reconcile"]

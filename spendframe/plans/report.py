@@ -220,15 +220,15 @@ register("spend_yoy", with_ctes(
     _ev(["year", "month_no"], ["spend", "spend_py", "spend_yoy"]))
 
 register("spend_lfl_yoy", with_ctes(
-    "SELECT c.channel, CAST(c.s AS DOUBLE) AS spend_lfl, CAST(p.s AS DOUBLE) AS spend_lfl_py, "
+    "SELECT c.year, c.channel, CAST(c.s AS DOUBLE) AS spend_lfl, CAST(p.s AS DOUBLE) AS spend_lfl_py, "
     "(CAST(c.s AS DOUBLE) - CAST(p.s AS DOUBLE)) / NULLIF(CAST(p.s AS DOUBLE), 0) AS spend_lfl_yoy "
-    "FROM cur c LEFT JOIN py p ON c.channel = p.channel",
-    "cur AS (SELECT channel, sum(amount) FILTER (WHERE ok AND in_lfl = 'Yes') AS s FROM att "
-    "WHERE year = 2000 GROUP BY channel)",
-    "py AS (SELECT a.channel, sum(a.amount) AS s FROM att a JOIN date_dim d "
+    "FROM cur c LEFT JOIN py p ON c.channel = p.channel AND c.year = p.year",
+    "cur AS (SELECT year, channel, sum(amount) FILTER (WHERE ok AND in_lfl = 'Yes') AS s FROM att "
+    "GROUP BY year, channel)",
+    "py AS (SELECT d.year, a.channel, sum(a.amount) AS s FROM att a JOIN date_dim d "
     "ON CAST(a.date + INTERVAL 12 MONTH AS DATE) = d.date WHERE a.ok AND a.in_lfl = 'Yes' "
-    "AND d.year = 2000 GROUP BY a.channel)"))(
-    _ev(["channel"], ["spend_lfl", "spend_lfl_py", "spend_lfl_yoy"], where={"year": 2000}))
+    "GROUP BY d.year, a.channel)"))(
+    _ev(["year", "channel"], ["spend_lfl", "spend_lfl_py", "spend_lfl_yoy"]))
 
 register("txn_lfl_yoy", with_ctes(
     "SELECT c.year, c.n AS transactions_lfl, p.n AS transactions_lfl_py, "

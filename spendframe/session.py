@@ -22,7 +22,6 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.ansi.enabled": "false",
 }
 
 
@@ -56,12 +55,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 # Target size of one shuffle partition of the fact join (the largest shuffle of a query).
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 

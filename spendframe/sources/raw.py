@@ -31,16 +31,33 @@ LABEL_SCHEMA = T.StructType([T.StructField("target", T.MapType(T.StringType(), T
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
                    columns: list[str] | None = None) -> DataFrame:
+    """The header must name the schema's columns in order: ``enforceSchema=false`` makes a
+    file with exchanged columns fail instead of loading them under the wrong names."""
     df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-          .option("encoding", "UTF-8").csv(path))
+          .option("enforceSchema", False).option("encoding", "UTF-8").csv(path))
     return df.select(*columns) if columns else df
 
 
+def _entries(line, value_type: str):
+    """The entries of one line of a JSON object: a whole object on the line, or, in an
+    indented file, one ``"key": value`` entry with its comma."""
+    kind = f"MAP<STRING,{value_type.upper()}>"
+    entry = F.concat(F.lit("{"), F.rtrim(F.regexp_replace(line, r",\s*$", "")), F.lit("}"))
+    one = F.regexp_like(line, F.lit(r'^\s*"(?:[^"\\]|\\.)*"\s*:\s*[^{\s]'))
+    return F.when(one, F.from_json(entry, kind)).otherwise(F.from_json(line, kind))
+
+
+def _not_empty(df: DataFrame, path: str) -> DataFrame:
+    if df.isEmpty():
+        raise ValueError(f"no entry could be read from {path}")
+    return df
+
+
 def read_json_map(spark: SparkSession, path: str, value_type: str = "string") -> DataFrame:
-    """A JSON object {code: text} per line (or one object) -> (key, value) rows."""
-    raw = spark.read.text(path, wholetext=False)
-    m = F.from_json("value", f"MAP<STRING,{value_type.upper()}>")
-    return raw.select(F.explode(m).alias("key", "value"))
+    """A {code: text} JSON object - on one line, one object per line, or indented with one
+    entry per line (which splits over tasks) -> (key, value) rows.  No entry is an error."""
+    raw = spark.read.text(path)
+    return _not_empty(raw.select(F.explode(_entries(F.col("value"), value_type)).alias("key", "value")), path)
 
 
 def explode_label_map(text_col) -> "F.Column":
@@ -48,8 +65,12 @@ def explode_label_map(text_col) -> "F.Column":
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
+    """{"target": {id: "Yes"|"No"}} - on one line, one object per line, or indented ->
+    (id, label) rows.  No entry is an error."""
     raw = spark.read.text(path)
-    return raw.select(explode_label_map(F.col("value")).alias("id", "label"))
+    whole = F.from_json("value", LABEL_SCHEMA).getField("target")
+    found = F.coalesce(whole, _entries(F.col("value"), "string"))
+    return _not_empty(raw.select(F.explode(found).alias("id", "label")), path)
 
 
 def write_fact_by_year(fact: DataFrame, path: str, years_overwrite: bool = True) -> None:

@@ -6,8 +6,6 @@ filters into the parquet scan (``PushedFilters`` / ``ReadSchema`` in explain).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -17,23 +15,16 @@ DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
 def table_path(src: str, name: str) -> str:
-    p = os.path.join(src, f"{name}.parquet")
-    return p if os.path.exists(p) else os.path.join(src, name)
-
-
-_READERS: dict = {}
+    """Path of a table; ``src`` may be in any store that Spark reads."""
+    return f"{src.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, src: str, name: str) -> DataFrame:
-    """Lazy parquet reader; the (immutable) relation is reused per session and path so
-    footers are not re-listed for every query."""
+    """Lazy parquet reader; files are listed anew for every query, so a replaced source is
+    seen at once."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    key = (id(spark._jsparkSession), table_path(src, name))
-    df = _READERS.get(key)
-    if df is None:
-        df = _READERS[key] = spark.read.parquet(key[1])
-    return df
+    return spark.read.parquet(table_path(src, name))
 
 
 class Tables:

@@ -14,7 +14,7 @@ from spendframe.sources.tables import TABLES
 
 from conftest import SF_SMALL
 
-NO_ORACLE = {"web_export_json"}
+NO_ORACLE = set()
 
 
 def test_entry_smoke(spark):
