@@ -29,6 +29,8 @@ result.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -40,8 +42,8 @@ from spendframe.llm.common import components, materialize, release
 WORDS = 5
 #: Similarity threshold in hundredths.
 THRESHOLD = 80
-#: Counters of the frequency table (fixed size, 4 bytes each).
-COUNTERS = 1 << 18
+#: Counters of the frequency table (fixed size, 2 bytes each at the end).
+COUNTERS = 1 << 23
 #: Cells of the filter on wanted texts (fixed size, one bit each).
 BITS = 1 << 23
 
@@ -65,13 +67,14 @@ def _describe(rows: DataFrame, words: int) -> DataFrame:
     """One row per document (set size and a 128-bit key of its set), and per task the counts
     of its shingles in COUNTERS counters, in parts."""
     def run(batches):
-        counts = np.zeros(COUNTERS, np.uint32)
+        counts = np.zeros(COUNTERS, np.uint8)        # of one task, up to 255
         names = ["doc_id", "th", "n", "k1", "k2", "part", "counts"]
         kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
         for batch in batches:
             for part, buffer, offsets in kernels.slices(batch, "text"):
                 h, bounds = kernels.shingle_sets(buffer, offsets, words)
-                counts += np.bincount(h & np.uint64(COUNTERS - 1), minlength=COUNTERS).astype(np.uint32)
+                cells, times = np.unique(h & np.uint64(COUNTERS - 1), return_counts=True)
+                counts[cells] = np.minimum(counts[cells] + times, 255)
                 n = np.diff(bounds)
                 k1 = kernels.segment_sums(kernels._mixed(h ^ np.uint64(0x1234567)), bounds)
                 k2 = kernels.segment_sums(kernels._mixed(h + np.uint64(0x7654321)), bounds)
@@ -84,7 +87,7 @@ def _describe(rows: DataFrame, words: int) -> DataFrame:
             nulls = pa.nulls(64, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [nulls] * 5 + [pa.array(np.arange(64), pa.int32()),
-                               pa.array([counts[i * step:(i + 1) * step].tobytes() for i in range(64)], kinds[6])],
+                               pa.array([zlib.compress(counts[i * step:(i + 1) * step].tobytes(), 1) for i in range(64)], kinds[6])],
                 names=names)
 
     return rows.select("doc_id", "text", "th").mapInArrow(run, _BY_ROW)
@@ -93,18 +96,19 @@ def _describe(rows: DataFrame, words: int) -> DataFrame:
 def _frequencies(described: DataFrame) -> np.ndarray:
     """The summed count table: added up per part on the executors, COUNTERS numbers here."""
     def add(key, table):
-        total = np.zeros(COUNTERS // 64, np.uint64)
+        total = np.zeros(COUNTERS // 64, np.uint32)
         for b in table.column("counts").to_pylist():
-            total += np.frombuffer(b, np.uint32)
+            total += np.frombuffer(zlib.decompress(b), np.uint8)
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
-                         "counts": pa.array([np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()], pa.binary())})
+                         "counts": pa.array([zlib.compress(np.minimum(total, 0xFFFF).astype(np.uint16).tobytes(), 1)],
+                                            pa.binary())})
 
     parts = (described.where("part IS NOT NULL").select("part", "counts")
              .groupBy("part").applyInArrow(add, "part int, counts binary").collect())
-    out = np.zeros(COUNTERS, np.uint32)
+    out = np.zeros(COUNTERS, np.uint16)
     for p in parts:
         step = COUNTERS // 64
-        out[p.part * step:(p.part + 1) * step] = np.frombuffer(p.counts, np.uint32)
+        out[p.part * step:(p.part + 1) * step] = np.frombuffer(zlib.decompress(p.counts), np.uint16)
     return out
 
 
@@ -216,13 +220,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     wanted = lists.select("node").distinct().join(nodes.select("node", "node_th"), "node")
     sets = materialize(_sets(rows, words, wanted), "ngram-sets")
 
-    # round one: every set of a block against its leader, and leaders of neighbouring blocks
-    leaders = lists.groupBy("token", "block").agg(F.min("node").alias("leader"))
-    led = lists.join(leaders, ["token", "block"])
-    above = leaders.select("token", (F.col("block") - 1).alias("block"), F.col("leader").alias("next"))
-    pairs = led.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).union(
-        leaders.join(above, ["token", "block"]).where("leader != next").select(
-            F.least("leader", "next").alias("a"), F.greatest("leader", "next").alias("b"))).distinct()
+    # round one: every set of a block against its leader, and leaders of neighbouring blocks;
+    # the place of the first common shingle bounds the overlap that a pair can still have
+    lead = F.min(F.struct("node", "n", "place"))
+    leaders = lists.groupBy("token", "block").agg(lead.alias("lead"))
+    led = lists.join(leaders, ["token", "block"]).withColumn("leader", F.col("lead.node"))
+    reach = lambda n, place, m: f"{100 + threshold}L * ({n} - {place}) >= {threshold}L * ({n} + {m})"
+    within = led.where("node != leader").where(reach("n", "place", "lead.n")).where(
+        reach("lead.n", "lead.place", "n")).select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    above = leaders.select("token", (F.col("block") - 1).alias("block"), F.col("lead").alias("next"))
+    between = leaders.join(above, ["token", "block"]).where("lead.node != next.node").where(
+        reach("lead.n", "lead.place", "next.n")).where(reach("next.n", "next.place", "lead.n")).select(
+        F.least("lead.node", "next.node").alias("a"), F.greatest("lead.node", "next.node").alias("b"))
+    pairs = within.union(between).distinct()
     first = materialize(_verified(pairs, sets), "ngram-first")
     links = first.where(_linked(threshold)).select("a", "b")
     joined = components(links, "ngram")
@@ -230,7 +240,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     # round two: pairs of one list in different classes that the leaders leave open
     distance = first.select(F.col("a").alias("leader"), F.col("b").alias("node"),
                             (1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("d"))
-    open_rows = led.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_rows = led.drop("lead").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = open_rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(
         "lo != hi").select("token")
     open_rows = open_rows.join(several, "token", "left_semi").join(distance, ["leader", "node"], "left").withColumn(
@@ -241,7 +251,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     possible = F.expr(f"""x_node < y_node AND x_root != y_root
         AND {100 + threshold}L * (x_n - x_place) >= {threshold}L * (x_n + y_n)
         AND {100 + threshold}L * (y_n - y_place) >= {threshold}L * (x_n + y_n)
-        AND (x_block != y_block OR abs(x_d - y_d) <= {most})""")
+        AND (x_block != y_block OR coalesce(abs(x_d - y_d) <= {most}, true))""")
     undecided = x.join(y, "token").where(possible).select(
         F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
     second = _verified(undecided.join(first.select("a", "b"), ["a", "b"], "left_anti"), sets).where(
