@@ -34,12 +34,14 @@ from pyspark.sql import functions as F
 
 from spendframe.llm.common import materialize, release
 
-#: Neighbours per node, first partitions, rows of a block, most rounds, proposals per row of a
-#: block in a round, share of changed edges that ends them.
+#: Neighbours per node; first partitions, rows of their blocks, proposals per row; rows of a block
+#: in a round, most rounds, proposals per row of a block, share of changed edges that ends them.
 K = 16
-PARTITIONS = 6
+PARTITIONS = 12
+CELL = 2048
+START = 8
 BLOCK = 256
-ROUNDS = 4
+ROUNDS = 3
 PROPOSALS = 6
 SETTLED = 0.02
 #: Search: nodes kept per query, expanded per step, most steps.
@@ -130,7 +132,7 @@ def _start(vectors: DataFrame, n: int, k: int, seed: int) -> DataFrame:
     """First edges from random partitions."""
     some = vectors.select("u").first()
     dims = len(some.u) // 2 if some else 1
-    bits = max(0, int(np.ceil(np.log2(max(1, n / BLOCK)))))
+    bits = max(0, int(np.ceil(np.log2(max(1, n / CELL)))))
     planes = np.random.default_rng(seed).normal(size=(PARTITIONS, bits, dims)).astype(np.float32)
     shared = vectors.sparkSession.sparkContext.broadcast(planes)
 
@@ -146,9 +148,9 @@ def _start(vectors: DataFrame, n: int, k: int, seed: int) -> DataFrame:
     rows = vectors.select("node", "u").mapInArrow(keyed, "key bigint, node bigint, u binary")
     counts = rows.groupBy("key").count().withColumnRenamed("count", "c")
     blocks = rows.join(counts, "key").select(
-        F.xxhash64("key", F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / (2 * BLOCK)))).alias("key"), "node", "u",
+        F.xxhash64("key", F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / CELL))).alias("key"), "node", "u",
         F.lit(-2.0).cast("float").alias("floor"))
-    return _compare_blocks(blocks, k)
+    return _compare_blocks(blocks, START)
 
 
 def build(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, seed: int = 5) -> DataFrame:
