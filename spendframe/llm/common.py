@@ -13,6 +13,8 @@ from spendframe.session import ensure_checkpoint_dir
 #: Separators of words: space and the ASCII controls tab to carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
 SPLIT_WORDS = r"[\x20\x09-\x0D]+"
+#: Bits of the bitmap in `let_through`.
+FILTER_BITS = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -60,6 +62,22 @@ def split_words(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn("_trimmed", trimmed).withColumn(out, words).drop("_trimmed")
 
 
+def let_through(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``df`` without most rows whose ``key`` (a 64-bit hash) is not in ``wanted``, before
+    anything is shuffled.  The keys' places in a bitmap of FILTER_BITS bits (a fixed size) are
+    one scalar value; rows that share a place with a wanted key stay, so a join must follow."""
+    words = FILTER_BITS // 64
+    place = F.col(key).bitwiseAND(F.lit(FILTER_BITS - 1))
+    word, bit = F.shiftrightunsigned(place, 6).cast("int"), place.bitwiseAND(F.lit(63)).cast("int")
+    used = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), bit)).alias("bits"))
+    every = df.sparkSession.range(words).select(F.col("id").cast("int").alias("word")).join(used, "word", "left")
+    bitmap = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast(
+        "bigint")).alias("bits")))), lambda x: x["bits"]).alias("bitmap"))
+    bitmap = materialize(bitmap.coalesce(1), "filter")
+    return df.where(F.getbit(F.get(bitmap.scalar(), word), bit) == 1)
+
+
 def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` as (node, root), root the smallest node.
 
