@@ -25,6 +25,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 WHITE_SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+"
 WORD_END = "</w>"
+ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t\n\x0b\x0c\r a-z0-9]+")
 
 #: Words kept per worker, and the length in symbols from which a word is streamed.
 CACHE_WORDS = 250_000
@@ -92,7 +94,9 @@ class Vocabulary:
         self.last = [self.ids[s + WORD_END] for s in symbols]
         self.byte_of = {s: b for b, s in enumerate(symbols)}
         pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
-        self.merges = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.rank = {(self.ids[a], self.ids[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [self.ids[a + b] for a, b in pairs]
+        self.tables: dict = {}
         self.lookahead = sufficient_lookahead(pairs, lambda t: len(t.removesuffix(WORD_END)) or 1)
         self.space = regex.compile(f"[{WHITE_SPACE}]+")
         self.word = regex.compile(WORD_PATTERN)
@@ -100,25 +104,20 @@ class Vocabulary:
         self.bytes_in: dict[int, tuple[bytes, bool]] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
-        """Merges of lowest rank first, left to right, until none applies."""
-        table = self.merges
-        while len(ids) > 1:
-            best, made = 1 << 60, 0
-            for pair in zip(ids, ids[1:]):
-                found = table.get(pair)
-                if found is not None and found[0] < best:
-                    best, made, at = found[0], found[1], pair
-            if best == 1 << 60:
+        """Merges of lowest rank first, leftmost first, until none applies; ``ids`` is used up."""
+        of, made, none = self.rank.get, self.made, len(self.made)
+        ranks = [of(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            r = min(ranks)
+            if r == none:
                 break
-            out, i, n, (a, b) = [], 0, len(ids), at
-            while i < n:
-                if ids[i] == a and i + 1 < n and ids[i + 1] == b:
-                    out.append(made)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(r)
+            ids[i] = made[r]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = of((ids[i], ids[i + 1]), none)
+            if i:
+                ranks[i - 1] = of((ids[i - 1], ids[i]), none)
         return ids
 
     def length(self, token: int) -> int:
@@ -131,7 +130,7 @@ class Vocabulary:
             window.append(symbol)
             if len(window) >= step + 2 * self.lookahead:
                 done, limit = 0, len(window) - self.lookahead
-                for token in self.merge(window):
+                for token in self.merge(window.copy()):
                     if done + self.length(token) > limit:
                         break
                     done += self.length(token)
@@ -150,12 +149,10 @@ class Vocabulary:
     def words(self, text: str) -> list[str]:
         """The words of a text without added tokens: NFC, white space to one space, each
         character to lower case by itself, then the word pattern."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            text = self.space.sub(" ", text).replace("Σ", "σ")
-        else:
-            text = self.space.sub(" ", text)
-        return self.word.findall(text.lower())
+        if text.isascii():                           # the same pattern in ASCII; every other character splits
+            return ASCII_WORD.findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        return self.word.findall(self.space.sub(" ", text).replace("Σ", "σ").lower())
 
     def pieces(self, text: str) -> Iterator[tuple[str | None, list[str]]]:
         """(added token or None, words) in order."""
@@ -253,7 +250,7 @@ def _vocabulary(text: str) -> Vocabulary:
 
 
 class _WordTable(dict):
-    """word -> what the encoder and ``render`` make of it, up to CACHE_WORDS words."""
+    """word -> what ``render`` makes of its ids, up to CACHE_WORDS words; a worker keeps it."""
 
     def __init__(self, vocabulary: Vocabulary, render):
         self.v, self.render = vocabulary, render
@@ -265,19 +262,21 @@ class _WordTable(dict):
         return found
 
 
-def _decimal(v: Vocabulary, ids: list[int]) -> str:
-    return " ".join(map(str, ids))
+def _table(vocabulary: Vocabulary, render) -> _WordTable:
+    if render not in vocabulary.tables:
+        vocabulary.tables[render] = _WordTable(vocabulary, render)
+    return vocabulary.tables[render]
 
 
-def _packed(v: Vocabulary, ids: list[int]) -> bytes:
-    return np.array(ids, np.int32).tobytes()
+def _decimal_and_spelled(v: Vocabulary, ids: list[int]) -> tuple[str, str]:
+    return " ".join(map(str, ids)), Decoder(v).feed(ids)
 
 
-def _spelled(v: Vocabulary, ids: list[int]) -> str:
-    return Decoder(v).feed(ids)
+def _packed(v: Vocabulary, ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
 
 
-def _joined(v: Vocabulary, table: _WordTable, text: str, empty):
+def _joined(v: Vocabulary, table: _WordTable, text: str) -> list:
     """What ``table`` has of every word and added token of a text, in order."""
     out: list = []
     for added, words in v.pieces(text):
@@ -299,10 +298,10 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", out: s
 
     def run(batches):
         v = _vocabulary(shared.value)
-        table = _WordTable(v, _packed)
+        table = _table(v, _packed)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
-            packed = [b"".join(_joined(v, table, t.as_py() or "", b"")) for t in texts]
+            packed = [b"".join(_joined(v, table, t.as_py() or "")) for t in texts]
             offsets = np.zeros(len(packed) + 1, np.int64)
             np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
             values = pa.array(np.frombuffer(b"".join(packed), np.int32))
@@ -339,15 +338,15 @@ def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
 
     def run(batches):
         v = _vocabulary(shared.value)
-        numbers, spelled = _WordTable(v, _decimal), _WordTable(v, _spelled)
+        table = _table(v, _decimal_and_spelled)
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
             for t in batch.column(1):
-                text = t.as_py() or ""
-                ids = " ".join(_joined(v, numbers, text, ""))
+                found = _joined(v, table, t.as_py() or "")
+                ids = " ".join([f[0] for f in found])
                 counts.append(ids.count(" ") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_sha.append(hashlib.sha256(" ".join(_joined(v, spelled, text, "")).encode()).hexdigest())
+                text_sha.append(hashlib.sha256(" ".join([f[1] for f in found]).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
                 names=schema.names)
