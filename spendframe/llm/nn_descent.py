@@ -36,16 +36,16 @@ from spendframe.llm.common import materialize, release
 
 #: Neighbours per node; first partitions, rows of their blocks, proposals per row; rows of a block
 #: in a round, most rounds, proposals per row of a block, share of changed edges that ends them.
-K = 16
-PARTITIONS = 12
+K = 20
+PARTITIONS = 24
 CELL = 2048
 START = 8
 BLOCK = 256
 ROUNDS = 3
-PROPOSALS = 6
+PROPOSALS = 8
 SETTLED = 0.02
 #: Search: nodes kept per query, expanded per step, most steps.
-POOL = 48
+POOL = 96
 EXPAND = 8
 STEPS = 8
 
