@@ -191,6 +191,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.size(F.array_intersect("ta", "tb")).alias("both"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
 def _linked(threshold: int):
     return F.expr(f"100L * both >= {threshold}L * (n_a + n_b - both)")
 
@@ -216,10 +220,6 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     lists = materialize(entries.join(nodes.select("k1", "node"), "k1").select(
         "token", "node", "n", "place", block.alias("block")), "ngram-lists")
 
-    # the candidates' own sets, once for both rounds
-    wanted = lists.select("node").distinct().join(nodes.select("node", "node_th"), "node")
-    sets = materialize(_sets(rows, words, wanted), "ngram-sets")
-
     # round one: every set of a block against its leader, and leaders of neighbouring blocks;
     # the place of the first common shingle bounds the overlap that a pair can still have
     lead = F.min(F.struct("node", "n", "place"))
@@ -232,7 +232,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     between = leaders.join(above, ["token", "block"]).where("lead.node != next.node").where(
         reach("lead.n", "lead.place", "next.n")).where(reach("next.n", "next.place", "lead.n")).select(
         F.least("lead.node", "next.node").alias("a"), F.greatest("lead.node", "next.node").alias("b"))
-    pairs = within.union(between).distinct()
+    pairs = materialize(within.union(between).distinct(), "ngram-pairs")
+    texts_of = nodes.select("node", "node_th")
+    wanted = _ends(pairs).join(texts_of, "node")
+    sets = materialize(_sets(rows, words, wanted), "ngram-sets")
     first = materialize(_verified(pairs, sets), "ngram-first")
     links = first.where(_linked(threshold)).select("a", "b")
     joined = components(links, "ngram")
@@ -254,12 +257,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
         AND (x_block != y_block OR coalesce(abs(x_d - y_d) <= {most}, true))""")
     undecided = x.join(y, "token").where(possible).select(
         F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
-    second = _verified(undecided.join(first.select("a", "b"), ["a", "b"], "left_anti"), sets).where(
-        _linked(threshold)).select("a", "b")
-    second = materialize(second, "ngram-second")
+    undecided = materialize(undecided.join(first.select("a", "b"), ["a", "b"], "left_anti"), "ngram-undecided")
     final = joined
-    if not second.isEmpty():
-        final = components(links.union(second), "ngram")
+    if not undecided.isEmpty():
+        # sets that round one had no use for
+        more = _ends(undecided).join(sets.select("node"), "node", "left_anti").join(texts_of, "node")
+        every = sets.union(materialize(_sets(rows, words, more), "ngram-sets"))
+        second = materialize(_verified(undecided, every).where(_linked(threshold)).select("a", "b"), "ngram-second")
+        if not second.isEmpty():
+            final = components(links.union(second), "ngram")
 
     roots = nodes.join(final, "node", "left").select(
         "k1", "k2", F.coalesce("root", "node").alias("component"))
@@ -268,7 +274,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(
             F.col("doc_id")).alias("component_id"))
     out = materialize(out, "ngram-out")
-    for used in (sets, lists, first, second):
+    for used in (sets, lists, pairs, first, undecided):
         release(used)
     return out
 
