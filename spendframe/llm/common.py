@@ -13,12 +13,21 @@ from spendframe.session import ensure_checkpoint_dir
 #: Separators of words: space and the ASCII controls tab to carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
 SPLIT_WORDS = r"[\x20\x09-\x0D]+"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 #: Bits of the bitmap in `let_through`.
 FILTER_BITS = 1 << 20
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows hold whole texts, so Arrow batches of Python tasks get BATCH_ROWS rows at most."""
+    if int(spark.conf.get(ARROW_ROWS, "10000")) > BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     """One table of ``sf_dir``, reduced to ``columns`` in the scan (all when none given)."""
+    bound_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
 
@@ -32,6 +41,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, the rows survive
     a lost executor, and every later reader sees the same rows."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = shared_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

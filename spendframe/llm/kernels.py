@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is a batch of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 
