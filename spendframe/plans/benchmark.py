@@ -216,8 +216,14 @@ def f07(spark, src):
     """W7 naive prior year: arithmetic on the year column (self-join on year - 1, so a
     missing year gives null rather than the year before it)."""
     by_year = _flat(spark, src, ["year"], ["spend"])
-    prev = by_year.select((F.col("year") + 1).alias("year"), F.col("spend").alias("py"))
-    j = by_year.join(prev, "year", "left")
+    # each year's row serves as itself and as the year before the next one: one scan
+    none = F.lit(None).cast(by_year.schema["spend"].dataType)
+    both = by_year.select(F.explode(F.array(
+        F.struct("year", F.lit(1).alias("own"), "spend", none.alias("py")),
+        F.struct((F.col("year") + 1).alias("year"), F.lit(0).alias("own"), none.alias("spend"),
+                 F.col("spend").alias("py")))).alias("r")).select("r.*")
+    j = both.groupBy("year").agg(F.max("own").alias("own"), F.max("spend").alias("spend"),
+                                 F.max("py").alias("py")).where("own = 1")
     return j.select("year", F.col("spend").cast("double").alias("spend"),
                     F.col("py").cast("double").alias("py"),
                     ((F.col("spend").cast("double") - F.col("py").cast("double")) /

@@ -337,11 +337,12 @@ def having_range(spark, src):
     "count(*) FILTER (WHERE amount = 0) AS zero_amounts FROM att GROUP BY channel"))
 def refunds(spark, src):
     """Sign tests on the amount (refund < 0, purchase > 0, zero)."""
-    m = Model(spark, src)
-    r = m.evaluate(["channel"], ["refunds", "refund_value", "refund_rate"])
-    z = m.fact({"channel", "amount"}).groupBy("channel").agg(
-        F.count_if(F.col("amount") == 0).alias("zero_amounts"))
-    return r.join(z, "channel")
+    refund = F.col("ok") & (F.col("amount") < 0)
+    g = Model(spark, src).fact({"channel", "amount", "ok"}).groupBy("channel").agg(
+        F.count_if(refund).alias("refunds"), F.sum(F.when(refund, F.col("amount"))).alias("_value"),
+        F.count_if("ok").alias("_ok"), F.count_if(F.col("amount") == 0).alias("zero_amounts"))
+    return g.select("channel", "refunds", F.col("_value").cast("double").alias("refund_value"),
+                    ratio("refunds", "_ok").alias("refund_rate"), "zero_amounts")
 
 
 @register("flat_calc_columns", with_ctes(

@@ -398,7 +398,9 @@ class Model:
         rest = [k for k in keys if k not in cleared]
         name = f"{special}__total"
         if not set((where or {}).keys()) & cleared:
-            tot = agg.groupBy(*rest).agg(F.sum(part).alias(name))
+            if rest:                 # the total over the aggregated rows: no second scan
+                return agg.withColumn(name, F.sum(part).over(Window.partitionBy(*rest)))
+            tot = agg.groupBy().agg(F.sum(part).alias(name))
         else:
             kept = {k: v for k, v in (where or {}).items() if k not in cleared}
             tot = self.rollup(rest, [part], kept).withColumnRenamed(part, name)
