@@ -27,6 +27,8 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -34,20 +36,21 @@ from pyspark.sql import functions as F
 
 from spendframe.llm.common import materialize, release
 
-#: Neighbours per node; first partitions, rows of their blocks, proposals per row; rows of a block
-#: in a round, most rounds, proposals per row of a block, share of changed edges that ends them.
+#: Neighbours per node; first partitions up to FEW_BITS bits of a key, and by how much each further
+#: bit multiplies them; rows of their blocks, proposals per row; rows of a block in a round,
+#: proposals per row of a block, share of changed edges that ends the rounds.
 K = 20
 PARTITIONS = 24
+FEW_BITS = 5
+GROWTH = 1.2
 CELL = 2048
 START = 8
 BLOCK = 256
-ROUNDS = 3
 PROPOSALS = 8
 SETTLED = 0.02
-#: Search: nodes kept per query, expanded per step, most steps.
+#: Search: nodes kept per query, expanded per step.
 POOL = 96
 EXPAND = 8
-STEPS = 8
 
 
 def usable(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -128,12 +131,17 @@ def _edges(graph: DataFrame) -> DataFrame:
         "node", F.col("b.nbr").alias("nbr"), (-F.col("b.far")).alias("sim"))
 
 
+def _partitions(bits: int) -> int:
+    """How many first partitions: neighbours meet in one less often the more bits its keys have."""
+    return int(np.ceil(PARTITIONS * GROWTH ** max(0, bits - FEW_BITS)))
+
+
 def _start(vectors: DataFrame, n: int, k: int, seed: int) -> DataFrame:
     """First edges from random partitions."""
     some = vectors.select("u").first()
     dims = len(some.u) // 2 if some else 1
     bits = max(0, int(np.ceil(np.log2(max(1, n / CELL)))))
-    planes = np.random.default_rng(seed).normal(size=(PARTITIONS, bits, dims)).astype(np.float32)
+    planes = np.random.default_rng(seed).normal(size=(_partitions(bits), bits, dims)).astype(np.float32)
     shared = vectors.sparkSession.sparkContext.broadcast(planes)
 
     def keyed(batches):
@@ -143,7 +151,7 @@ def _start(vectors: DataFrame, n: int, k: int, seed: int) -> DataFrame:
                 sign = (u @ plane.T > 0) if bits else np.zeros((len(u), 0), bool)
                 key = sign @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(u), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key * PARTITIONS + p), batch.column(0), batch.column(1)], names=["key", "node", "u"])
+                    [pa.array(key * len(shared.value) + p), batch.column(0), batch.column(1)], names=["key", "node", "u"])
 
     rows = vectors.select("node", "u").mapInArrow(keyed, "key bigint, node bigint, u binary")
     counts = rows.groupBy("key").count().withColumnRenamed("count", "c")
@@ -153,11 +161,12 @@ def _start(vectors: DataFrame, n: int, k: int, seed: int) -> DataFrame:
     return _compare_blocks(blocks, START)
 
 
-def build(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, seed: int = 5) -> DataFrame:
-    """The graph (node, best, floor) of ``usable`` vectors."""
+def build(vectors: DataFrame, k: int = K, rounds: int | None = None, seed: int = 5) -> DataFrame:
+    """The graph (node, best, floor) of ``usable`` vectors.  Neighbours only get nearer, so the
+    rounds end by themselves; ``rounds`` ends them earlier."""
     n = vectors.count()
     graph = materialize(_keep(_start(vectors, n, k, seed), k), "nn-graph")
-    for r in range(rounds):
+    for r in count() if rounds is None else range(rounds):
         edges = _edges(graph).select("node", "nbr")
         both = edges.union(edges.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
         degree = both.groupBy("node").agg(F.count("*").alias("c"))
@@ -179,8 +188,8 @@ def build(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, seed: int = 5) -
 
 
 def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, pool: int = POOL,
-           expand: int = EXPAND, steps: int = STEPS) -> DataFrame:
-    """(query, node) pools after greedy search; ``queries`` are nodes of the graph (node, u)."""
+           expand: int = EXPAND, steps: int | None = None) -> DataFrame:
+    """(query, node) pools after greedy search, until every node of a pool is expanded or after ``steps``; ``queries`` are nodes of the graph (node, u)."""
     links = _edges(graph).select("node", "nbr")
     links = materialize(links.union(links.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct(),
                         "nn-links")
@@ -196,7 +205,7 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, poo
     state = asked.select("query", F.array(F.struct(
         F.lit(-2.0).alias("far"), F.col("query").alias("node"), F.lit(False).alias("seen"))).alias("pool"))
     state = materialize(state, "nn-pool")
-    for _ in range(steps):
+    for _ in count() if steps is None else range(steps):
         fresh = F.slice(F.filter("pool", lambda p: ~p["seen"]), 1, expand)
         front = state.select("query", F.explode(fresh).alias("p")).select("query", F.col("p.node").alias("node"))
         reached = front.join(links, "node").select("query", F.col("nbr").alias("node")).distinct()
@@ -222,7 +231,7 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, poo
 
 
 def nearest(table: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_col: str = "embedding",
-            degree: int = K, rounds: int = ROUNDS, seed: int = 5) -> DataFrame:
+            degree: int = K, rounds: int | None = None, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row with ``is_query``."""
     vectors = usable(table, id_col, vector_col)
     graph = build(vectors, degree, rounds, seed)

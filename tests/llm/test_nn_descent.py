@@ -51,6 +51,27 @@ def test_several_blocks_and_hubs(spark):
     assert recall(A.nearest(table, 5, F.col("vec_id") % 50 == 0).collect(), want, 5) >= 0.9
 
 
+def test_goes_on_until_settled(spark, monkeypatch):
+    """From a poor start: rounds until no edge changes, steps until no pool has a node to expand."""
+    rng = np.random.default_rng(3)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.normal(size=(600, 8)))]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").coalesce(2)
+    written, write = [], A.materialize
+
+    def noted(df, name):
+        written.append((name, write(df, name)))
+        return written[-1][1]
+
+    monkeypatch.setattr(A, "materialize", noted)
+    for name, value in (("CELL", 16), ("PARTITIONS", 1), ("START", 2), ("SETTLED", 0)):
+        monkeypatch.setattr(A, name, value)
+    got = A.nearest(table, 5, F.col("vec_id") % 50 == 0)
+    assert [n for n, _ in written].count("nn-graph") > 4
+    assert [df for n, df in written if n == "nn-pool"][-1].where(F.exists("pool", lambda p: ~p["seen"])).isEmpty()
+    assert recall(got.collect(), brute(rows, 5, lambda i: i % 50 == 0), 5) >= 0.95
+    assert A._partitions(11) > A._partitions(5)
+
+
 def test_unusable_and_repeated_vectors(spark):
     rows = [(0, [1.0, 0.0], "x"), (1, None, "x"), (2, [0.0, 0.0], "x"), (3, [None, 1.0], "x"), (4, [float("nan"), 1.0], "x"),
             (5, [1.0, 0.1], "x"), (6, [1.0, 0.1], "x"), (7, [-1.0, 0.0], "x"), (5, [1.0, 0.1], "x"), (8, [], "x"),
