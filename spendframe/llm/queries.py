@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendframe.llm import bpe_stream, fuzzy_lines, license_scan, mixing, ngram_join, nn_descent, pii_bootstrap, quality_ledger, suffix_dedup, toxicity
+from spendframe.llm import bpe_stream, fuzzy_lines, license_scan, mixing, ngram_join, nn_descent, pii_bootstrap, quality_ledger, spelling, suffix_dedup, toxicity
 from spendframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,42 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return nn_descent.nearest(table, 5, F.col("vec_id") % 50 == 0)
+
+
+#: crc32 by the usual rule (reflected polynomial 0xEDB88320), a table entry being eight steps.
+OP13_SQL = r"""
+WITH RECURSIVE
+steps AS (SELECT i, i AS c, 0 AS k FROM range(256) t(i) UNION ALL
+          SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM steps WHERE k = 8),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+held AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                 lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+                           ELSE [CAST(195 AS BIGINT), CAST(unicode(x) - 64 AS BIGINT)] END)) AS b FROM held),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+                  lambda c, x: xor(c // 256, tab[xor(c % 256, x) + 1])), 4294967295) AS h FROM bytes, crc),
+slipped AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+                   ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS v
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.v = b.word
+         UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.v = b.word),
+ranked AS (SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near,
+                  row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS r FROM near),
+forms AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.m >= 2 * w.n THEN r.other END AS form,
+                 CASE WHEN r.m >= 2 * w.n THEN r.m END AS form_n
+          FROM words w LEFT JOIN (SELECT * FROM ranked WHERE r = 1) r USING (word)),
+chain AS (SELECT word, word AS at FROM forms UNION
+          SELECT c.word, f.form FROM chain c JOIN forms f ON c.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM forms f JOIN chain c USING (word) JOIN forms l ON c.at = l.word WHERE l.form IS NULL
+"""
+
+
+@query("op13_spelling", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents", "doc_id", "text"))
