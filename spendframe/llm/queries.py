@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendframe.llm import bpe_stream, fuzzy_lines, license_scan, mixing, ngram_join, nn_descent, pii_bootstrap, quality_ledger, spelling, suffix_dedup, toxicity
+from spendframe.llm import bpe_stream, embedding_forest, fuzzy_lines, hard_negatives, license_scan, mixing, ngram_join, nn_descent, pii_bootstrap, quality_ledger, spelling, suffix_dedup, toxicity
 from spendframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,49 @@ FROM forms f JOIN chain c USING (word) JOIN forms l ON c.at = l.word WHERE l.for
 @query("op13_spelling", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP12_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, s.id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(hard_negatives.quantised(table), F.col("id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH RECURSIVE
+e AS (SELECT vec_id, embedding AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, CAST(v AS DOUBLE[]) AS v FROM e),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.9),
+r AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT vec_id, min(other) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT c.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+@query("op11_embedding_forest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
