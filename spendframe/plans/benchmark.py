@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spendframe.functions.scalar import ratio
+from spendframe.operators import distinct
 from spendframe.operators.topn import top_n_with_ties
 from spendframe.plans.flat import flat_measures, flat_table
-from spendframe.plans.measures import MEASURES
+from spendframe.plans.measures import APPROX_CONF, MEASURES, PARTS
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.registry import ORACLE, register
@@ -203,7 +204,13 @@ def f05(spark, src):
     "SELECT count(DISTINCT card_id) AS cards, count(DISTINCT client_id) AS clients, "
     f"{_r(F_PUR_SUM, F_PUR_N)} AS avg FROM flat2"))
 def f06(spark, src):
-    return _flat(spark, src, [], ["cards", "clients", "avg"])
+    f = flat_table(Star(spark, src), need=set())
+    bought = (F.col("is_approved") == "Yes") & (F.col("amount") > 0)
+    how = {"_sum": "sum", "_n": "count"}
+    pairs = distinct.pair_rollup(f, [], {"cards": F.col("card_id"), "clients": F.col("client_id")},
+                          {"_sum": (F.when(bought, F.col("amount")), "sum"), "_n": (F.when(bought, 1), "count")})
+    return distinct.counted(pairs, [], ["cards", "clients"], how).select(
+        "cards", "clients", ratio(F.col("_sum").cast("double"), F.col("_n")).alias("avg"))
 
 
 @register("f07_spend_yoy", flat_sql(
@@ -322,31 +329,25 @@ GRAINS = [("year", "year"), ("channel", "channel"), ("category", "category_group
 @register("figures_4_grains", with_ctes("\nUNION ALL\n".join(
     FIG_SQL_ONE.format(grain=g, key=k) for g, k in GRAINS)))
 def figures_4_grains(spark, src):
-    """A1 + T4: ten figures at four grains in ONE scan (GROUPING SETS), stacked as
-    (grain, key, ...).  Blank figures read 0, as the reconciliation treats them."""
+    """A1 + T4: ten figures at four grains in one scan, stacked as (grain, key, ...), from one
+    rollup that all grains share: pairs of a cell and a card or client (exact), or a sketch of each
+    per cell when ``spendframe.approxDistinct`` is set.  Blank figures read 0, as the
+    reconciliation treats them."""
     m = Model(spark, src)
-    keys = [k for _, k in GRAINS]
-    f = m.fact(set(keys) | {"ok", "lab", "fr", "amount", "card_key", "client_key"})
-    g = f.groupingSets([[k] for k in keys], *keys).agg(
-        F.count(F.lit(1)).alias("transactions"),
-        F.count_if("ok").alias("approved"),
-        F.sum(F.when(F.col("ok"), F.col("amount"))).alias("_spend"),
-        F.count_if(~F.col("ok")).alias("_decl"),
-        F.count_if("lab").alias("labelled"),
-        F.count_if("fr").alias("fraud"),
-        F.countDistinct("card_key").alias("cards"),
-        F.countDistinct("client_key").alias("clients"),
-        F.grouping_id().alias("_gid"),
-    )
-    grain, key = None, None
-    n = len(keys)
-    for i, (gname, k) in enumerate(GRAINS):
-        gid = (1 << n) - 1 - (1 << (n - 1 - i))      # only column i grouped
-        grain = (grain.when if grain is not None else F.when)(F.col("_gid") == gid, F.lit(gname))
-        key = (key.when if key is not None else F.when)(F.col("_gid") == gid,
-                                                        F.col(k).cast("string"))
+    cell = [k for _, k in GRAINS]
+    f = m.fact(set(cell) | {"ok", "lab", "fr", "amount", "card_key", "client_key"})
+    keys = {"cards": F.col("card_key"), "clients": F.col("client_key")}
+    parts = {"transactions": "n", "approved": "n_ok", "_spend": "spend", "_decl": "n_decl", "labelled": "n_lab",
+             "fraud": "n_fr"}
+    values = {name: (PARTS[p].row(), PARTS[p].how) for name, p in parts.items()}
+    how = {name: PARTS[p].how for name, p in parts.items()}
+    error = spark.conf.get(APPROX_CONF, None)
+    if error:
+        g = distinct.estimated_by_grains(distinct.sketch_rollup(f, cell, keys, values, float(error)), GRAINS, list(keys), how)
+    else:
+        g = distinct.by_grains(distinct.pair_rollup(f, cell, keys, values), GRAINS, list(keys), how)
     return g.select(
-        grain.alias("grain"), key.alias("key"), "transactions", "approved",
+        "grain", F.col("grain_key").alias("key"), "transactions", "approved",
         F.round(F.coalesce(F.col("_spend"), F.lit(0)), 2).cast("double").alias("spend"),
         F.round(ratio(F.col("_decl"), F.col("transactions")), 6).alias("decline_rate"),
         "labelled", "fraud",

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from spendframe.functions import constants as K
 from spendframe.functions.scalar import MONEY, band, money, money_text, ratio
+from spendframe.operators import distinct
+from spendframe.operators.dense import kept, with_row_number
 from spendframe.operators.joins import GuardError, anti, guard_empty, join_dim, semi, with_scalars
 from spendframe.plans.binding import ONLINE_CHANNEL, Star, location_columns
 from spendframe.plans.flat import flat_table
@@ -315,8 +317,7 @@ def surrogate_keys(spark, src):
     """Dense surrogate keys over the sorted distinct places.  A place is its type and
     label, so a state and a country of one name keep keys of their own."""
     d = Model(spark, src).fact({"location_type", "location"}).select("location_type", "location").distinct()
-    return d.select("location_type", "location", F.row_number().over(
-        Window.orderBy("location_type", "location")).cast("bigint").alias("geo_key"))
+    return with_row_number(d, ["location_type", "location"], "geo_key")
 
 
 @register("having_range", with_ctes(

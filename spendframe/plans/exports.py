@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendframe.functions.scalar import ratio
+from spendframe.operators import distinct
 from spendframe.operators.joins import with_scalars
 from spendframe.plans.binding import CHIP_CHANNEL, ONLINE_CHANNEL
+from spendframe.plans.measures import APPROX_CONF
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.registry import register
@@ -320,12 +322,10 @@ def top_codes_not_recorded(spark, src):
 def value_counts(spark, src):
     """A3: value counts of the error text and of the channel column."""
     f = Model(spark, src).fact({"errors", "channel"})
-    e = (f.where(F.col("errors").isNotNull()).groupBy(F.col("errors").alias("value"))
-         .agg(F.count(F.lit(1)).alias("n")).select(F.lit("errors").alias("column_name"),
-                                                   "value", "n"))
-    c = (f.groupBy(F.col("channel").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-         .select(F.lit("channel").alias("column_name"), "value", "n"))
-    return e.unionByName(c)
+    both = f.groupBy("errors", "channel").agg(F.count(F.lit(1)).alias("n"))     # one scan, few rows
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in ("errors", "channel")])
+    return (both.select(F.inline(values), "n").where((F.col("column_name") != "errors") | F.col("value").isNotNull())
+            .groupBy("column_name", "value").agg(F.sum("n").alias("n")))
 
 
 @register("by_channel_rollup", with_ctes(
@@ -355,10 +355,14 @@ def daily_spend(spark, src):
     "('errors', (SELECT count(DISTINCT errors) FROM att)), "
     "('date', (SELECT count(DISTINCT date) FROM att))) AS t(column_name, distinct_count)"))
 def column_cardinality(spark, src):
-    """A4: exact distinct count per column, melted to (column, count)."""
+    """A4: distinct count per column, melted to (column, count): exact from pairs of a column
+    and a value, or estimated from one sketch per column (``spendframe.approxDistinct``)."""
     cols = ["client_key", "card_key", "mcc", "channel", "errors", "date"]
     f = Model(spark, src).fact(set(cols))
-    g = f.agg(*[F.countDistinct(c).alias(c) for c in cols])
+    keys = {c: F.col(c) for c in cols}
+    error = spark.conf.get(APPROX_CONF, None)
+    g = (distinct.estimated(distinct.sketch_rollup(f, [], keys, {}, float(error)), [], cols, {}) if error
+         else distinct.counted(distinct.pair_rollup(f, [], keys), [], cols, {}))
     stack = "stack({}, {}) as (column_name, distinct_count)".format(
         len(cols), ", ".join(f"'{c}', {c}" for c in cols))
     return g.selectExpr(stack)

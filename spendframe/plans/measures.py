@@ -20,17 +20,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from spendframe.functions.scalar import change, ratio
+from spendframe.operators.distinct import FIRST
 from spendframe.plans.binding import CHIP_CHANNEL, ONLINE_CHANNEL
 
 
 @dataclass(frozen=True)
 class Part:
+    """``row``: what one fact row contributes - counted (not null), summed, or the key that is
+    counted once."""
     name: str
-    spark: Callable[[], Column]
+    row: Callable[[], Column]
     sql: str
     cols: frozenset = field(default_factory=frozenset)
     kind: str = "count"          # count | money | distinct | date
 
+    @property
+    def how(self) -> str:
+        """How contributions are combined (`operators.distinct`)."""
+        return {"count": "count", "money": "sum", "date": "max"}[self.kind]
+
+    def spark(self) -> Column:
+        return _distinct(self.row()) if self.kind == "distinct" else FIRST[self.how](self.row())
+
 
 def _c(name):
     return F.col(name)
@@ -55,50 +66,50 @@ def AMT_():
 
 
 PARTS: dict[str, Part] = {p.name: p for p in [
-    Part("n", lambda: F.count(F.lit(1)), "count(*)"),
-    Part("n_ok", lambda: F.count_if(_c("ok")), "count(*) FILTER (WHERE ok)", frozenset({"ok"})),
-    Part("n_decl", lambda: F.count_if(~_c("ok")), "count(*) FILTER (WHERE NOT ok)",
+    Part("n", lambda: F.lit(1), "count(*)"),
+    Part("n_ok", lambda: F.when(_c("ok"), 1), "count(*) FILTER (WHERE ok)", frozenset({"ok"})),
+    Part("n_decl", lambda: F.when(~_c("ok"), 1), "count(*) FILTER (WHERE NOT ok)",
          frozenset({"ok"})),
-    Part("spend", lambda: F.sum(F.when(_c("ok"), AMT_())), "sum(amount) FILTER (WHERE ok)",
+    Part("spend", lambda: F.when(_c("ok"), AMT_()), "sum(amount) FILTER (WHERE ok)",
          frozenset({"ok", "amount"}), "money"),
-    Part("attempted", lambda: F.sum(AMT_()), "sum(amount)", frozenset({"amount"}), "money"),
-    Part("purchase_value", lambda: F.sum(F.when(_c("ok") & (AMT_() > 0), AMT_())),
+    Part("attempted", lambda: AMT_(), "sum(amount)", frozenset({"amount"}), "money"),
+    Part("purchase_value", lambda: F.when(_c("ok") & (AMT_() > 0), AMT_()),
          "sum(amount) FILTER (WHERE ok AND amount > 0)", frozenset({"ok", "amount"}), "money"),
-    Part("n_purchase", lambda: F.count_if(_c("ok") & (AMT_() > 0)),
+    Part("n_purchase", lambda: F.when(_c("ok") & (AMT_() > 0), 1),
          "count(*) FILTER (WHERE ok AND amount > 0)", frozenset({"ok", "amount"})),
-    Part("n_refund", lambda: F.count_if(_c("ok") & (AMT_() < 0)),
+    Part("n_refund", lambda: F.when(_c("ok") & (AMT_() < 0), 1),
          "count(*) FILTER (WHERE ok AND amount < 0)", frozenset({"ok", "amount"})),
-    Part("refund_value", lambda: F.sum(F.when(_c("ok") & (AMT_() < 0), AMT_())),
+    Part("refund_value", lambda: F.when(_c("ok") & (AMT_() < 0), AMT_()),
          "sum(amount) FILTER (WHERE ok AND amount < 0)", frozenset({"ok", "amount"}), "money"),
-    Part("cards", lambda: _distinct(F.col("card_key")), "count(DISTINCT card_key)",
+    Part("cards", lambda: F.col("card_key"), "count(DISTINCT card_key)",
          frozenset({"card_key"}), "distinct"),
-    Part("clients", lambda: _distinct(F.col("client_key")), "count(DISTINCT client_key)",
+    Part("clients", lambda: F.col("client_key"), "count(DISTINCT client_key)",
          frozenset({"client_key"}), "distinct"),
-    Part("n_lab", lambda: F.count_if(_c("lab")), "count(*) FILTER (WHERE lab)", frozenset({"lab"})),
-    Part("n_fr", lambda: F.count_if(_c("fr")), "count(*) FILTER (WHERE fr)", frozenset({"fr"})),
-    Part("fraud_value", lambda: F.sum(F.when(_c("fr"), AMT_())), "sum(amount) FILTER (WHERE fr)",
+    Part("n_lab", lambda: F.when(_c("lab"), 1), "count(*) FILTER (WHERE lab)", frozenset({"lab"})),
+    Part("n_fr", lambda: F.when(_c("fr"), 1), "count(*) FILTER (WHERE fr)", frozenset({"fr"})),
+    Part("fraud_value", lambda: F.when(_c("fr"), AMT_()), "sum(amount) FILTER (WHERE fr)",
          frozenset({"fr", "amount"}), "money"),
-    Part("labelled_value", lambda: F.sum(F.when(_c("lab"), AMT_())), "sum(amount) FILTER (WHERE lab)",
+    Part("labelled_value", lambda: F.when(_c("lab"), AMT_()), "sum(amount) FILTER (WHERE lab)",
          frozenset({"lab", "amount"}), "money"),
-    Part("fraud_cards", lambda: _distinct(F.when(_c("fr"), _c("card_key"))),
+    Part("fraud_cards", lambda: F.when(_c("fr"), _c("card_key")),
          "count(DISTINCT card_key) FILTER (WHERE fr)", frozenset({"fr", "card_key"}), "distinct"),
-    Part("n_chip", lambda: F.count_if(_c("channel") == CHIP_CHANNEL),
+    Part("n_chip", lambda: F.when(_c("channel") == CHIP_CHANNEL, 1),
          f"count(*) FILTER (WHERE channel = '{CHIP_CHANNEL}')", frozenset({"channel"})),
-    Part("n_online", lambda: F.count_if(_c("channel") == ONLINE_CHANNEL),
+    Part("n_online", lambda: F.when(_c("channel") == ONLINE_CHANNEL, 1),
          f"count(*) FILTER (WHERE channel = '{ONLINE_CHANNEL}')", frozenset({"channel"})),
-    Part("n_cnp", lambda: F.count_if(_c("channel_type") == "Card not present"),
+    Part("n_cnp", lambda: F.when(_c("channel_type") == "Card not present", 1),
          "count(*) FILTER (WHERE channel_type = 'Card not present')", frozenset({"channel_type"})),
-    Part("n_tech", lambda: F.count_if(_c("outcome_class") == "Declined - technical"),
+    Part("n_tech", lambda: F.when(_c("outcome_class") == "Declined - technical", 1),
          "count(*) FILTER (WHERE outcome_class = 'Declined - technical')",
          frozenset({"outcome_class"})),
-    Part("declined_value", lambda: F.sum(F.when(~_c("ok"), AMT_())),
+    Part("declined_value", lambda: F.when(~_c("ok"), AMT_()),
          "sum(amount) FILTER (WHERE NOT ok)", frozenset({"ok", "amount"}), "money"),
-    Part("spend_lfl", lambda: F.sum(F.when(_c("ok") & (_c("in_lfl") == "Yes"), AMT_())),
+    Part("spend_lfl", lambda: F.when(_c("ok") & (_c("in_lfl") == "Yes"), AMT_()),
          "sum(amount) FILTER (WHERE ok AND in_lfl = 'Yes')",
          frozenset({"ok", "amount", "in_lfl"}), "money"),
-    Part("n_ok_lfl", lambda: F.count_if(_c("ok") & (_c("in_lfl") == "Yes")),
+    Part("n_ok_lfl", lambda: F.when(_c("ok") & (_c("in_lfl") == "Yes"), 1),
          "count(*) FILTER (WHERE ok AND in_lfl = 'Yes')", frozenset({"ok", "in_lfl"})),
-    Part("last_date", lambda: F.max("date"), "max(date)", frozenset({"date"}), "date"),
+    Part("last_date", lambda: F.col("date"), "max(date)", frozenset({"date"}), "date"),
 ]}
 
 

@@ -13,8 +13,8 @@ Plan shape (measures grouped in a filter context):
    * prior year: when all parts add up, in the same scan (rows emitted at their date and
      12 months later, rolled up by day, joined to the day spine); otherwise a daily
      rollup -> shift date forward 12 months -> join the day spine;
-   * trailing 12 months: daily rollup joined to per-group end dates by month bucket,
-     then the exact range predicate (bucketed range join, no nested loop over days);
+   * trailing 12 months: running totals along the days of a daily rollup, a group's answer
+     being their difference at its end and 12 months before (no range join);
    * shares: the same parts re-aggregated at the keys left after clearing a dimension
      (a re-aggregation of the aggregated result, or a second pass when the filter
      itself is cleared);
@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 
 from spendframe.functions.constants import DAYS_PER_YEAR
 from spendframe.functions.scalar import change, ratio
+from spendframe.operators import distinct
+from spendframe.operators.dense import kept, with_dense_rank
 from spendframe.operators.joins import join_dim, with_scalars
 from spendframe.operators.topn import top_n_with_ties
-from spendframe.plans.binding import Star
+from spendframe.plans.binding import Star, date_attributes
 from spendframe.plans.measures import (APPROX_CONF, DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
                                        output_cast)
 
@@ -115,8 +117,15 @@ class Model:
                         (F.col("timestamp") < F.lit(hi).cast("timestamp_ntz")))
         return f
 
-    def spine(self, date_where: Mapping | None = None) -> DataFrame:
-        return _filter(self.star.date_dim(), date_where)
+    def spine(self, date_where: Mapping | None = None, daily: DataFrame | None = None) -> DataFrame:
+        """The visible days.  From raw tables, the first and last day come from ``daily`` (a rollup
+        of the whole fact with ``date``, read through ``kept``) when there is one, so the
+        fact is not read again for them."""
+        if daily is None or self.star._mat is not None:
+            return _filter(self.star.date_dim(), date_where)
+        b = daily.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+        days = b.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date"), "last")
+        return _filter(date_attributes(days), date_where)
 
     @staticmethod
     def split_where(where: Mapping | None):
@@ -141,13 +150,28 @@ class Model:
                 parts.add(SHARE_CLEARS[m.special][0])
         py_parts = sorted({s.split(":", 1)[1] for m in ms if m.special
                            for s in [m.special] if s.startswith(("py:", "yoy:"))})
+        specials, wide = {m.special for m in ms if m.special}, None
         if py_parts and all(PARTS[p].kind in ADDITIVE for p in parts | set(py_parts)):
             agg = self.current_and_prior(keys, parts, py_parts, where)
+        elif "trailing12" in specials and all(PARTS[p].kind in ADDITIVE for p in parts):
+            agg = self.with_trailing_12m(keys, parts, where)
         else:
-            agg = self.rollup(keys, parts, where)
+            shares = [s for s in specials if s.startswith("share:")]
+            ranks = [s for s in specials if s.startswith("rank:")]
+            used = set().union(*[m.parts for m in ms]) | {SHARE_CLEARS[s][0] for s in shares} | ({"spend"} if ranks else set())
+            cleared = {k for s in shares for k in (where or {}) if k in SHARE_CLEARS[s][1]}
+            if cleared and all(PARTS[p].kind in ADDITIVE for p in used):
+                # totals clear a filter: one rollup without it, which the filter then divides
+                wide = self.rollup(sorted(set(keys) | cleared), used, {k: v for k, v in where.items() if k not in cleared})
+                wide = kept(wide, sorted(used))
+                agg = self._divided(wide, keys, used, {k: where[k] for k in cleared})
+            else:
+                agg = self.rollup(keys, parts, where)
+                if used and (shares or ranks):
+                    # totals and ranks read the rollup again: all through the same columns
+                    agg = kept(agg.select(*keys, *sorted(used)), sorted(used))
 
         cols = {p: F.col(p) for p in parts}
-        specials = {m.special for m in ms if m.special}
         extra: dict[str, object] = {}
         fwhere, dwhere = self.split_where(where)
         date_keys = [k for k in keys if k in DATE_ATTRS]
@@ -164,9 +188,12 @@ class Model:
                     agg = join_keys(agg, self.prior_year(part, keys, where), keys)
             elif s.startswith("share:"):
                 part, cleared = SHARE_CLEARS[s]
-                agg = self._attach_share_total(agg, s, part, cleared, keys, where)
+                agg = self._attach_share_total(agg, s, part, cleared, keys, where, wide)
             elif s == "trailing12":
-                agg = join_keys(agg, self.trailing_12m(keys, where), keys)
+                if "spend_12m" not in agg.columns:
+                    agg = join_keys(agg, self.with_trailing_12m(keys, (), where).select(*keys, "spend_12m"), keys)
+            elif s.startswith("rank:") and keys == [RANK_OVER[s]]:
+                agg = with_dense_rank(agg, ["spend"], f"__{s}", descending=True)
             elif s == "period":
                 agg = join_keys(agg, self.report_period(date_keys, dwhere), date_keys,
                                 bounded=True)
@@ -194,7 +221,9 @@ class Model:
                 c = F.col("spend_12m")
             elif m.special.startswith("rank:"):
                 over = RANK_OVER[m.special]
-                if over in keys:
+                if keys == [over]:
+                    c = F.col(f"`__{m.special}`")
+                elif over in keys:
                     w = Window.partitionBy(*[k for k in keys if k != over]).orderBy(
                         F.col("spend").desc_nulls_last())
                     c = F.dense_rank().over(w)
@@ -263,8 +292,19 @@ class Model:
         need = set(keys) | {"date"}
         for p in parts:
             need |= PARTS[p].cols
-        return (self.fact(need, where).groupBy(*keys)
-                .agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)]))
+        f = self.fact(need, where)
+        apart = sorted(p for p in parts if PARTS[p].kind == "distinct")
+        if len(apart) > 1 and not self.spark.conf.get(APPROX_CONF, None):
+            return self.pair_aggregate(f, keys, apart, sorted(set(parts) - set(apart)))
+        return f.groupBy(*keys).agg(*[PARTS[p].spark().alias(p) for p in sorted(parts)])
+
+    @staticmethod
+    def pair_aggregate(f: DataFrame, keys: list[str], apart: list[str], rest: list[str]) -> DataFrame:
+        """Several distinct counts with other parts, over one pair rollup (no Expand)."""
+        pairs = distinct.pair_rollup(f, keys, {p: PARTS[p].row() for p in apart},
+                              {p: (PARTS[p].row(), PARTS[p].how) for p in rest})
+        agg = distinct.counted(pairs, keys, apart, {p: PARTS[p].how for p in rest})
+        return _zero_counts(agg, keys, rest)
 
     def _eager_dims(self, keys, parts, where) -> list[str]:
         """Dimensions to join AFTER a first aggregation (eager aggregation): only when every
@@ -346,13 +386,17 @@ class Model:
             f = f.where((F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz")) &
                         (F.col("timestamp") < F.lit(hi).cast("timestamp_ntz")) &
                         F.col("year").between(min(ys) - 1, max(ys)))
+        whole = not ys and not fwhere and not dim_where
+        by_day = f.groupBy(*pre_other, "date").agg(*[PARTS[p].spark().alias(p) for p in every])
+        if whole:                       # the spine comes from the same rollup: one scan
+            by_day = kept(by_day, every)
+        spine = self.spine(dwhere, by_day if whole else None).select(F.col("date").alias("_d"), *date_keys)
+        # days, not fact rows, are counted twice: as themselves and 12 months later
         pair = F.array(F.struct(F.col("date").alias("_d"), F.lit(False).alias("_shift")),
                        F.struct(F.add_months("date", 12).alias("_d"), F.lit(True).alias("_shift")))
-        daily = (f.select("*", F.inline(pair))
-                 .groupBy(*pre_other, "_d", "_shift").agg(*[PARTS[p].spark().alias(p) for p in every]))
+        daily = by_day.select(*pre_other, *every, F.inline(pair))
         if dims:
             daily = _filter(star.attach_dims(daily, set(other) | set(dim_where)), dim_where)
-        spine = self.spine(dwhere).select(F.col("date").alias("_d"), *date_keys)
         j = daily.join(F.broadcast(spine), "_d", "inner")   # spine: one row per day
         cur, shifted = ~F.col("_shift"), F.col("_shift")
         g = j.groupBy(*keys).agg(
@@ -376,34 +420,65 @@ class Model:
         j = shifted.join(F.broadcast(spine), "date", "inner")   # spine: one row per day
         return j.groupBy(*keys).agg(F.sum("_v").alias(f"{part}__py"))
 
-    def trailing_12m(self, keys: list[str], where: Mapping | None) -> DataFrame:
-        """Spend over (end - 12 months, end], end = last visible date of the group."""
+    def with_trailing_12m(self, keys: list[str], parts, where: Mapping | None) -> DataFrame:
+        """The parts per group and M44: spend over (end - 12 months, end], end = last visible
+        date of the group.  One daily rollup serves all: the parts, the spine, and the running
+        totals along the days, of which a group's answer is the difference at two places, its end
+        and 12 months before.  Additive parts only."""
         fwhere, dwhere = self.split_where(where)
         date_keys = [k for k in keys if k in DATE_ATTRS]
         other = [k for k in keys if k not in DATE_ATTRS]
-        ends = self.spine(dwhere).groupBy(*date_keys).agg(F.max("date").alias("_end"))
-        start = F.date_add(F.add_months("_end", -12), 1)
-        ends = ends.withColumn("_m", F.explode(F.sequence(F.trunc(start, "MM"),
-                                                          F.trunc("_end", "MM"),
-                                                          F.expr("interval 1 month"))))
-        daily = (self.rollup([*other, "date"], ["spend"], fwhere).withColumnRenamed("spend", "_v")
-                 .withColumn("_m", F.trunc("date", "MM")))
-        j = (daily.join(F.broadcast(ends), "_m", "inner")       # ends: <= 13 rows per date group
-             .where((F.col("date") > F.add_months("_end", -12)) & (F.col("date") <= F.col("_end"))))
-        return j.groupBy(*keys).agg(F.sum("_v").alias("spend_12m"))
-
-    def _attach_share_total(self, agg, special, part, cleared, keys, where):
+        every = sorted(set(parts) | {"spend"})
+        # (days without a date are on no spine; said here, the condition is the same for all readers)
+        daily = self.rollup([*other, "date"], every, fwhere).where(F.col("date").isNotNull())
+        daily = kept(daily, [*other, "date", *every])
+        days = self.spine(dwhere, None if fwhere else daily).select("date", *date_keys)
+        ends = F.max("date").over(Window.partitionBy(*date_keys)) if date_keys else None
+        spine = days.withColumn("_end", ends) if date_keys else with_scalars(days, days.agg(F.max("date").alias("_end")))
+        agg = daily.join(F.broadcast(spine), "date").groupBy(*keys).agg(
+            *[F.sum(p).alias(p) for p in every], F.max("_end").alias("_end"))
+        # marks of each group among the days: its end, and the place 12 months before; they carry
+        # the group's parts, so nothing is joined back
+        marks = agg.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[F.col(p).alias(f"__p_{p}") for p in every],
+                           *other, F.inline(F.array(
+                               F.struct(F.col("_end").alias("date"), F.lit(1).alias("_sign")),
+                               F.struct(F.add_months("_end", -12).alias("date"), F.lit(-1).alias("_sign")))))
+        line = daily.select(*other, "date", F.col("spend").alias("_v")).unionByName(marks, allowMissingColumns=True)
+        # a partition has a row a day and two per group of days at most, however large the fact is
+        upto = Window.partitionBy(*other).orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = line.withColumns({"_run": F.coalesce(F.sum("_v").over(upto), F.lit(0)), "_seen": F.count("_v").over(upto)})
+        g = placed.where(F.col("_sign").isNotNull()).groupBy(*[F.col(f"__k_{k}").alias(k) for k in keys]).agg(
+            *[F.max(f"__p_{p}").alias(p) for p in every], F.sum(F.col("_sign") * F.col("_run")).alias("_sum"),
+            F.sum(F.col("_sign") * F.col("_seen")).alias("_rows"))
+        return g.select(*keys, *every, F.when(F.col("_rows") > 0, F.col("_sum")).alias("spend_12m"))
+
+    @staticmethod
+    def _divided(wide: DataFrame, keys: list[str], parts, where: Mapping) -> DataFrame:
+        """The parts per group of the rows of a rollup that meet ``where``, by conditional sums: as
+        a filter the condition would sink below the rollup and no other reader could share it."""
+        held = F.lit(True)
+        for col, val in where.items():
+            held = held & (F.col(col).isin(*list(val)) if isinstance(val, (list, tuple, set, frozenset)) else F.col(col) == val)
+        agg = wide.groupBy(*keys).agg(*[F.sum(F.when(held, F.col(p))).alias(p) for p in sorted(parts)],
+                                      F.max(held).alias("_held"))
+        agg = agg.where("_held") if keys else agg
+        return _zero_counts(agg.drop("_held"), keys, parts)
+
+    def _attach_share_total(self, agg, special, part, cleared, keys, where, wide=None):
         """Denominator of a context share: the part with the cleared dimensions' group keys
-        and filters removed."""
+        and filters removed.  ``wide``: a rollup without any filter that a share clears."""
         rest = [k for k in keys if k not in cleared]
         name = f"{special}__total"
-        if not set((where or {}).keys()) & cleared:
+        if wide is not None:
+            left = {k: v for k, v in where.items() if k not in cleared and k in wide.columns}
+            tot = self._divided(wide, rest, [part], left).withColumnRenamed(part, name)
+        elif not set((where or {}).keys()) & cleared:
             if rest:                 # the total over the aggregated rows: no second scan
                 return agg.withColumn(name, F.sum(part).over(Window.partitionBy(*rest)))
             tot = agg.groupBy().agg(F.sum(part).alias(name))
         else:
-            kept = {k: v for k, v in (where or {}).items() if k not in cleared}
-            tot = self.rollup(rest, [part], kept).withColumnRenamed(part, name)
+            kept_where = {k: v for k, v in (where or {}).items() if k not in cleared}
+            tot = self.rollup(rest, [part], kept_where).withColumnRenamed(part, name)
         return join_keys(agg, tot, rest)
 
 
