@@ -4,10 +4,6 @@ A window ordered over a whole table runs in one task.  Here the table is cut int
 values taken from it (those of the rows of least hash, so every run cuts alike), each range
 is numbered by itself, and a range starts at the number of rows (or of different values) in the
 ranges before it.  The cuts and the counts of the ranges are scalar values of bounded size.
-
-`kept` puts a filter that is always true on the named columns of a rollup.  Branches of one plan
-that read a rollup through it need the same columns of it, so they share its exchange and the
-input is read once; without it Catalyst prunes each branch on its own and none is shared.
 """
 
 from __future__ import annotations
@@ -18,14 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendframe.operators.joins import with_scalars
+from spendframe.operators.shared import kept
 
 BOUNDS = 255
-LEAST = -(1 << 63)
-
-
-def kept(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df``, with ``columns`` needed by whatever reads it."""
-    return df.where(F.xxhash64(*columns) >= F.lit(LEAST))
 
 
 def _numbered(df: DataFrame, columns: Sequence[str], name: str, descending: bool, ranks: bool) -> DataFrame:

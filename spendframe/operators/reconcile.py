@@ -3,8 +3,8 @@
 * ``field_diff``: full outer join of two keyed result sets, every field unpivoted
   (``stack``) and compared with a per-field tolerance; a value missing on one side
   (null/NaN) is a mismatch, never a silent pass.
-* ``multiset_diff``: do two results hold the same numbers (2 dp, within a tolerance)?
-  Values are counted per side and running differences compared, bucket by bucket.
+* ``multiset_diffs``: do two results hold the same numbers (2 dp, within a tolerance)?
+  Buckets of values are compared by fingerprints, unequal ones by running differences.
 * ``widen``: long (query, column, value) -> wide rows, positional per column.
 * ``column_profile``: distinct, blanks and bytes per column in one pass, unpivoted.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendframe.functions.constants import TOL_MULTISET
+from spendframe.operators.shared import kept
 
 #: Values per bucket of ``multiset_diff``, in hundredths.
 BUCKET_CENTS = 1_000_000
@@ -63,32 +64,61 @@ def melt_numbers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.selectExpr(expr)
 
 
-def multiset_diff(a: DataFrame, b: DataFrame, a_cols: list[str] | None = None,
-                  b_cols: list[str] | None = None, tolerance: float = TOL_MULTISET) -> DataFrame:
-    """Do two results hold the same numbers?  Both are rounded to 2 dp, sorted and paired;
-    every pair may differ by ``tolerance``.  Rows: (v, ahead) where one side is ahead of the
-    other by more than the tolerance allows (empty = match).
-
-    Pairs agree when, for every v, one side has no more values up to v than the other has up
-    to v + tolerance.  So values are counted per side, one side moved by the tolerance, and
-    the difference summed along v: per BUCKET of values, then inside the bucket, so that only
-    bucket totals are ever summed in one task."""
+def multiset_diffs(pairs: dict[str, tuple], tolerance: float = TOL_MULTISET) -> DataFrame:
+    """Do two results hold the same numbers?  For each name -> (a, b, columns of a, columns of b),
+    both are rounded to 2 dp, sorted and paired; every pair may differ by ``tolerance``.  Rows:
+    (name, v, ahead) where one side is ahead of the other by more than the tolerance allows; a
+    name without rows matches.
+
+    Pairs agree when, for every v, one side has no more values up to v than the other has up to
+    v + tolerance.  First, each side of each BUCKET of values is reduced to a count and a
+    fingerprint that does not depend on order (two exclusive ors of hashes of a value and its
+    count).  A bucket that is equal on both sides, and before which both have as many values, holds
+    for itself and changes nothing elsewhere; only the others (and those after an unequal one,
+    into which the tolerance reaches) are compared value by value."""
     cents = F.round(F.col("value") * 100).cast("bigint")
-    counts = lambda df, cols: (melt_numbers(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-                               .groupBy(cents.alias("v")).agg(F.count(F.lit(1)).alias("n")))
-    ca, cb = counts(a, a_cols), counts(b, b_cols)
+    every = None
+    for name, (a, b, a_cols, b_cols) in pairs.items():
+        for side, df, cols in (("a", a, a_cols), ("b", b, b_cols)):
+            part = melt_numbers(df, cols).select(F.lit(name).alias("name"), F.lit(side).alias("side"), "value")
+            every = part if every is None else every.unionByName(part)
+    counts = every.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("name", "side", cents.alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))
+    counts = kept(counts, ["name", "side", "v", "n"]).withColumn("bucket", F.floor(F.col("v") / BUCKET_CENTS))
+
+    def of(side, value):
+        return F.when(F.col("side") == side, value)
+
+    prints = [F.xxhash64("v", "n"), F.xxhash64("n", F.lit(1), "v")]
+    buckets = counts.groupBy("name", "bucket").agg(
+        *[F.coalesce(F.sum(of(s, F.col("n"))), F.lit(0)).alias(f"n_{s}") for s in "ab"],
+        *[F.bit_xor(of(s, p)).alias(f"p{i}_{s}") for s in "ab" for i, p in enumerate(prints)])
+    along = Window.partitionBy("name").orderBy("bucket")
+    unequal = ~((F.col("n_a") == F.col("n_b")) & F.col("p0_a").eqNullSafe(F.col("p0_b")) & F.col("p1_a").eqNullSafe(F.col("p1_b")))
+    ahead_before = F.sum(F.col("n_a") - F.col("n_b")).over(along) - (F.col("n_a") - F.col("n_b"))
+    opened = buckets.select("name", "bucket", (unequal | (ahead_before != 0) | F.coalesce(
+        F.lag(unequal).over(along), F.lit(False))).alias("open")).where("open").drop("open")
+
+    left = counts.join(opened, ["name", "bucket"], "left_semi").select("name", "side", "v", "n")
     step = int(round(tolerance * 100))
-    moved = lambda df: df.select((F.col("v") - step).alias("v"), (-F.col("n")).alias("n"))
-    tests = [(F.lit("a"), ca.select("v", "n").union(moved(cb))), (F.lit("b"), cb.select("v", "n").union(moved(ca)))]
-    both = tests[0][1].withColumn("side", tests[0][0]).union(tests[1][1].withColumn("side", tests[1][0]))
-    events = both.groupBy("side", "v").agg(F.sum("n").alias("n")).withColumn(
+    # two tests: each side against the other moved down by the tolerance
+    both = left.select("name", "v", F.inline(F.array(
+        F.struct(F.col("side").alias("test"), F.lit(0).alias("moved"), F.col("n")),
+        F.struct(F.when(F.col("side") == "a", "b").otherwise("a").alias("test"), F.lit(step).alias("moved"), (-F.col("n")).alias("n")))))
+    events = both.groupBy("name", "test", (F.col("v") - F.col("moved")).alias("v")).agg(F.sum("n").alias("n")).withColumn(
         "bucket", F.floor(F.col("v") / BUCKET_CENTS))
-    totals = events.groupBy("side", "bucket").agg(F.sum("n").alias("total")).withColumn(
-        "before", F.sum("total").over(Window.partitionBy("side").orderBy("bucket")) - F.col("total"))
-    inside = F.sum("n").over(Window.partitionBy("side", "bucket").orderBy("v"))
-    ahead = events.withColumn("inside", inside).join(totals, ["side", "bucket"]).select(
-        "side", (F.col("v") / 100).alias("v"), (F.col("before") + F.col("inside")).alias("ahead"))
-    return ahead.where("ahead > 0").groupBy("v").agg(F.max("ahead").alias("ahead"))
+    totals = events.groupBy("name", "test", "bucket").agg(F.sum("n").alias("total")).withColumn(
+        "before", F.sum("total").over(Window.partitionBy("name", "test").orderBy("bucket")) - F.col("total"))
+    inside = F.sum("n").over(Window.partitionBy("name", "test", "bucket").orderBy("v"))
+    ahead = events.withColumn("inside", inside).join(totals, ["name", "test", "bucket"]).select(
+        "name", (F.col("v") / 100).alias("v"), (F.col("before") + F.col("inside")).alias("ahead"))
+    return ahead.where("ahead > 0").groupBy("name", "v").agg(F.max("ahead").alias("ahead"))
+
+
+def multiset_diff(a: DataFrame, b: DataFrame, a_cols: list[str] | None = None,
+                  b_cols: list[str] | None = None, tolerance: float = TOL_MULTISET) -> DataFrame:
+    """`multiset_diffs` of one pair: rows (v, ahead)."""
+    return multiset_diffs({"": (a, b, a_cols, b_cols)}, tolerance).drop("name")
 
 
 def widen(long_df: DataFrame, column: str = "column", value: str = "value",

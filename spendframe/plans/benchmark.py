@@ -3,10 +3,12 @@ the 49 measures one by one (m_*), and the 4-grain figures summary (A1)."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendframe.functions.scalar import ratio
 from spendframe.operators import distinct
+from spendframe.operators.shared import shared
 from spendframe.operators.topn import top_n_with_ties
 from spendframe.plans.flat import flat_measures, flat_table
 from spendframe.plans.measures import APPROX_CONF, MEASURES, PARTS
@@ -19,7 +21,22 @@ D = "CAST({} AS DOUBLE)"
 
 
 def _m(spark, src):
-    return Model(spark, src)
+    """``src``: a directory, or a model that several queries share."""
+    return src if isinstance(src, Model) else Model(spark, src)
+
+
+#: Fact columns that q01-q10 read, and columns of the flat table that f01-f10 read.
+STAR_COLUMNS = ["year", "month_year", "channel", "category", "card_key", "client_key", "ok", "lab", "fr", "amount"]
+FLAT_COLUMNS = ["client_id", "card_id", "channel", "merchant_category", "year", "month_year", "is_approved",
+                "fraud_label", "amount"]
+
+
+def shared_star(spark, src) -> Model:
+    return Model.over_shared(spark, src, STAR_COLUMNS)
+
+
+def shared_flat(spark, src) -> DataFrame:
+    return shared(flat_table(Star(spark, src), {"merchant_category"}).select(*FLAT_COLUMNS))
 
 
 def _r(n, d, scale=None):
@@ -141,8 +158,13 @@ def flat_sql(select: str, *extra: str) -> str:
     return with_ctes(select, *FLAT_CTES, *extra)
 
 
+def _flat_rows(spark, src, need) -> DataFrame:
+    """``src``: a directory, or flat rows that several queries share."""
+    return src if isinstance(src, DataFrame) else flat_table(Star(spark, src), need=need)
+
+
 def _flat(spark, src, keys, names, need=()):
-    f = flat_table(Star(spark, src), need=set(keys) | set(need))
+    f = _flat_rows(spark, src, set(keys) | set(need))
     ms = flat_measures()
     return f.groupBy(*keys).agg(*[ms[n].alias(n) for n in names])
 
@@ -204,7 +226,7 @@ def f05(spark, src):
     "SELECT count(DISTINCT card_id) AS cards, count(DISTINCT client_id) AS clients, "
     f"{_r(F_PUR_SUM, F_PUR_N)} AS avg FROM flat2"))
 def f06(spark, src):
-    f = flat_table(Star(spark, src), need=set())
+    f = _flat_rows(spark, src, set())
     bought = (F.col("is_approved") == "Yes") & (F.col("amount") > 0)
     how = {"_sum": "sum", "_n": "count"}
     pairs = distinct.pair_rollup(f, [], {"cards": F.col("card_id"), "clients": F.col("client_id")},
@@ -333,7 +355,7 @@ def figures_4_grains(spark, src):
     rollup that all grains share: pairs of a cell and a card or client (exact), or a sketch of each
     per cell when ``spendframe.approxDistinct`` is set.  Blank figures read 0, as the
     reconciliation treats them."""
-    m = Model(spark, src)
+    m = _m(spark, src)
     cell = [k for _, k in GRAINS]
     f = m.fact(set(cell) | {"ok", "lab", "fr", "amount", "card_key", "client_key"})
     keys = {"cards": F.col("card_key"), "clients": F.col("client_key")}

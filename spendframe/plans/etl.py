@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from spendframe.functions import constants as K
 from spendframe.functions.scalar import MONEY, band, money, money_text, ratio
 from spendframe.operators import distinct
-from spendframe.operators.dense import kept, with_row_number
+from spendframe.operators.dense import with_row_number
 from spendframe.operators.joins import GuardError, anti, guard_empty, join_dim, semi, with_scalars
+from spendframe.operators.keysets import bottom_k, compared, key_set
+from spendframe.operators.shared import kept
 from spendframe.plans.binding import ONLINE_CHANNEL, Star, location_columns
 from spendframe.plans.flat import flat_table
 from spendframe.plans.oracle import with_ctes
@@ -476,16 +478,23 @@ def _seen_clients(spark, src) -> DataFrame:
     return _star(spark, src).base({"client_key"}).distinct()
 
 
-SAMPLE_SQL = ("panel AS (SELECT client_key FROM (SELECT DISTINCT client_key FROM att) "
+SAMPLE_SQL = ("panel AS (SELECT client_key FROM (SELECT c_custkey AS client_key FROM customer INTERSECT "
+              "SELECT client_key FROM att) "
               f"ORDER BY md5('{SAMPLE_SEED}:' || CAST(client_key AS VARCHAR)) LIMIT {SAMPLE_SIZE})")
 
 
-def panel(spark, src, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED) -> DataFrame:
-    """A seeded sample of n eligible clients without replacement: order by a hash
-    of (seed, id) and take n (a distributed take-ordered; n is the feature)."""
-    elig = _seen_clients(spark, src)
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("client_key").cast("string")))
-    return elig.orderBy(h).limit(n)
+def _master(spark, src) -> DataFrame:
+    return Tables(spark, src).customer.select(F.col("c_custkey").alias("client_key"))
+
+
+def panel(spark, src, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED, seen: DataFrame | None = None) -> DataFrame:
+    """A seeded sample of n eligible clients without replacement.  Eligible are master
+    clients with transactions; the n of least seeded hash are drawn (each task keeps its n
+    least, nothing is sorted as a whole)."""
+    seen = _seen_clients(spark, src) if seen is None else seen.select("client_key").distinct()
+    # (null-safe, so that no condition sinks into what ``seen`` shares with other readers)
+    m = _master(spark, src).withColumnRenamed("client_key", "_m")
+    return bottom_k(seen.join(m, F.col("client_key").eqNullSafe(F.col("_m")), "left_semi"), "client_key", n, seed)
 
 
 @register("client_panel_sample", with_ctes("SELECT client_key FROM panel", SAMPLE_SQL))
@@ -550,34 +559,43 @@ def eligible_clients(spark, src):
     "(SELECT client_key FROM panel)) AS BIGINT) AS sample_cards_active", SAMPLE_SQL))
 def population_counts(spark, src):
     """A10: population vs sample.  Master clients, clients seen in the fact, the never
-    transacting on both masters, the panel drawn from the seen clients, and the fact rows
-    and active cards the panel keeps.  Each figure is a global aggregate (one row); they
-    are put side by side as scalar subqueries."""
-    t = Tables(spark, src)
+    transacting on both masters, the panel drawn from the master clients that were seen, and the
+    fact rows and active cards the panel keeps.  The fact is read once and reduced to (client,
+    card) pairs with their rows; key sets of the pairs and of the masters are compared as bitmaps."""
+    supp = Tables(spark, src).supplier.select(F.col("s_suppkey").alias("card_key"))
+    return population(_master(spark, src), supp, client_cards(spark, src), panel=lambda pairs: panel(
+        spark, src, seen=pairs)).select(
+        "population_clients", "population_clients_with_transactions", "population_clients_never_transacting",
+        "population_cards_never_transacting", "sample_clients", "population_transactions",
+        "sample_transactions", "sample_cards_active")
+
+
+def client_cards(spark, src) -> DataFrame:
+    """(client_key, card_key, n) of the fact, for several readers in one plan."""
     f = Model(spark, src).fact({"client_key", "card_key"})
-    cust = t.customer.select(F.col("c_custkey").alias("client_key"))
-    supp = t.supplier.select(F.col("s_suppkey").alias("card_key"))
-    p = panel(spark, src)
-    kept = semi(f, p, "client_key", bounded=True)     # the panel is bounded by its size
-    out = cust.agg(F.count(F.lit(1)).alias("population_clients"))
+    return kept(f.groupBy("client_key", "card_key").agg(F.count(F.lit(1)).alias("n")), ["client_key", "card_key", "n"])
+
+
+def population(clients: DataFrame, cards: DataFrame, pairs: DataFrame, panel) -> DataFrame:
+    """One row of population and sample counts from the masters and the fact's ``pairs``."""
+    client_sets = compared(key_set(clients, "client_key"), key_set(pairs, "client_key"))
+    card_sets = compared(key_set(cards, "card_key"), key_set(pairs, "card_key"))
+    drawn = panel(pairs)
+    p = drawn.withColumnRenamed("client_key", "_p")
+    sampled = pairs.join(F.broadcast(p), F.col("client_key").eqNullSafe(F.col("_p")), "left_semi")  # bounded by the panel
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    out = client_sets.select(
+        F.col("n_a").alias("population_clients"), F.col("n_both").alias("population_clients_with_transactions"),
+        (F.col("n_a") - F.col("n_both")).alias("population_clients_never_transacting"))
     for one in [
-        f.agg(F.countDistinct("client_key").alias("population_clients_with_transactions"),
-              F.count(F.lit(1)).alias("population_transactions")),
-        anti(cust, f.select("client_key"), "client_key").agg(
-            F.count(F.lit(1)).alias("population_clients_never_transacting")),
-        anti(supp, f.select("card_key"), "card_key").agg(
-            F.count(F.lit(1)).alias("population_cards_never_transacting")),
-        p.agg(F.count(F.lit(1)).alias("sample_clients")),
-        kept.agg(F.count(F.lit(1)).alias("sample_transactions"),
-                 F.countDistinct("card_key").alias("sample_cards_active")),
+        card_sets.select(F.col("n_a").alias("population_cards"), F.col("n_both").alias("population_cards_active"),
+                         (F.col("n_a") - F.col("n_both")).alias("population_cards_never_transacting")),
+        drawn.agg(F.count(F.lit(1)).alias("sample_clients")),
+        pairs.agg(total("n").alias("population_transactions")),
+        sampled.agg(total("n").alias("sample_transactions"), F.countDistinct("card_key").alias("sample_cards_active")),
     ]:
         out = with_scalars(out, one)
-    return out.select(
-        *[F.col(c).cast("bigint").alias(c) for c in [
-            "population_clients", "population_clients_with_transactions",
-            "population_clients_never_transacting", "population_cards_never_transacting",
-            "sample_clients", "population_transactions", "sample_transactions",
-            "sample_cards_active"]])
+    return out
 
 
 @register("reconcile_presence",

@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from spendframe.functions.constants import DAYS_PER_YEAR
 from spendframe.functions.scalar import change, ratio
 from spendframe.operators import distinct
-from spendframe.operators.dense import kept, with_dense_rank
+from spendframe.operators.dense import with_dense_rank
 from spendframe.operators.joins import join_dim, with_scalars
+from spendframe.operators.shared import kept, shared
 from spendframe.operators.topn import top_n_with_ties
 from spendframe.plans.binding import Star, date_attributes
 from spendframe.plans.measures import (APPROX_CONF, DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
@@ -102,6 +103,17 @@ class Model:
         self.spark, self.src = spark, src
         self.star = Star(spark, src)
 
+    @classmethod
+    def over_shared(cls, spark: SparkSession, src: str, need: Iterable[str]) -> "Model":
+        """A model whose queries, in one plan, read the columns ``need`` of the fact once."""
+        m = cls(spark, src)
+        if m.star._mat is None:
+            fact = shared(m.star.fact(set(need) | {"date"}).select(*sorted(set(need) | {"date"})))
+            b = fact.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+            days = b.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("date"), "last")
+            m.star._mat = (fact, date_attributes(days))
+        return m
+
     # ------------------------------------------------------------------ inputs
     def fact(self, need: Iterable[str], where: Mapping | None = None) -> DataFrame:
         need = set(need) | set((where or {}).keys())

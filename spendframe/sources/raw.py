@@ -3,9 +3,8 @@
 * ``read_csv_typed``: explicit-schema CSV reader (header promotion, FAILFAST) - the
   CSV scan of the transaction, client and card files; splits replace pandas chunks.
 * ``read_json_map``: a ``{key: value}`` JSON object file -> (key, value) rows.
-* ``read_label_map``: ``{"target": {id: "Yes"|"No"}}`` -> (id, label) rows.  A single
-  huge JSON object cannot be split on read, so producers should write it one entry
-  per line (JSON lines); both forms parse with the same schema.
+* ``read_label_map``: ``{"target": {id: "Yes"|"No"}}`` -> (id, label) rows.  Both split one
+  object over many tasks (``json_object.py``).
 * ``write_fact_by_year`` / ``read_fact``: the fact partitioned by year, sorted within
   partitions, dynamic partition overwrite so one year reloads alone; reading back
   prunes partitions.
@@ -17,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendframe.sources.json_object import read_entries
+
 TRANSACTIONS_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("date", T.StringType()),
     T.StructField("client_id", T.LongType()), T.StructField("card_id", T.LongType()),
@@ -38,26 +39,19 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
     return df.select(*columns) if columns else df
 
 
-def _entries(line, value_type: str):
-    """The entries of one line of a JSON object: a whole object on the line, or, in an
-    indented file, one ``"key": value`` entry with its comma."""
-    kind = f"MAP<STRING,{value_type.upper()}>"
-    entry = F.concat(F.lit("{"), F.rtrim(F.regexp_replace(line, r",\s*$", "")), F.lit("}"))
-    one = F.regexp_like(line, F.lit(r'^\s*"(?:[^"\\]|\\.)*"\s*:\s*[^{\s]'))
-    return F.when(one, F.from_json(entry, kind)).otherwise(F.from_json(line, kind))
-
-
 def _not_empty(df: DataFrame, path: str) -> DataFrame:
-    if df.isEmpty():
-        raise ValueError(f"no entry could be read from {path}")
-    return df
+    try:
+        if not df.isEmpty():
+            return df
+    except Exception as e:
+        raise ValueError(f"no entries could be read from {path}: {str(e)[:300]}") from e
+    raise ValueError(f"no entry could be read from {path}")
 
 
 def read_json_map(spark: SparkSession, path: str, value_type: str = "string") -> DataFrame:
-    """A {code: text} JSON object - on one line, one object per line, or indented with one
-    entry per line (which splits over tasks) -> (key, value) rows.  No entry is an error."""
-    raw = spark.read.text(path)
-    return _not_empty(raw.select(F.explode(_entries(F.col("value"), value_type)).alias("key", "value")), path)
+    """A {code: text} JSON object, on one line or many, read by many tasks -> (key, value) rows.
+    No entry is an error, and so is a broken one."""
+    return _not_empty(read_entries(spark, path, (), value_type), path)
 
 
 def explode_label_map(text_col) -> "F.Column":
@@ -65,12 +59,9 @@ def explode_label_map(text_col) -> "F.Column":
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
-    """{"target": {id: "Yes"|"No"}} - on one line, one object per line, or indented ->
-    (id, label) rows.  No entry is an error."""
-    raw = spark.read.text(path)
-    whole = F.from_json("value", LABEL_SCHEMA).getField("target")
-    found = F.coalesce(whole, _entries(F.col("value"), "string"))
-    return _not_empty(raw.select(F.explode(found).alias("id", "label")), path)
+    """{"target": {id: "Yes"|"No"}}, on one line or many, read by many tasks -> (id, label) rows.
+    No entry is an error, and so is a broken one."""
+    return _not_empty(read_entries(spark, path, ("target",)).select(F.col("key").alias("id"), F.col("value").alias("label")), path)
 
 
 def write_fact_by_year(fact: DataFrame, path: str, years_overwrite: bool = True) -> None:
