@@ -60,6 +60,7 @@ def test_all_edits_under_any_dictionary(spark, monkeypatch, common, crowd):
     ends; the dictionary and the blocks may not change the result."""
     monkeypatch.setattr(S, "COMMON", common)
     monkeypatch.setattr(S, "CROWD", crowd)
+    monkeypatch.setattr(S, "MOST_PRUNED", 40 if common == 1 else 1 << 18)
     rng = random.Random(common)
     words = {"aaaaa", "aaaaaa", "aaaaaaa", "ababab", "babab", "äääääb", "ääääb"}
     while len(words) < 250:
