@@ -24,7 +24,7 @@ Defined results: null, empty or wordless text has the empty set, which is linked
 nothing; a text of fewer than five words has its whole sequence as its one shingle; ties go
 to the smaller id; repeated rows share one set and one class; a row with a null id takes no
 part in links and has a null class; other columns are ignored; an empty table gives an empty
-result.
+result.  Ids are whole numbers.
 """
 
 from __future__ import annotations
@@ -37,13 +37,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendframe.llm import kernels
-from spendframe.llm.common import components, materialize, release
+from spendframe.llm.common import components, materialize, release, unused
 
 WORDS = 5
 #: Similarity threshold in hundredths.
 THRESHOLD = 80
 #: Counters of the frequency table (fixed size, 2 bytes each at the end).
 COUNTERS = 1 << 23
+#: Shingles by which an overlap counted from halves of hashes may be off in any case.
+SLACK = 3
 #: Cells of the filter on wanted texts (fixed size, one bit each).
 BITS = 1 << 23
 
@@ -159,9 +161,10 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     return np.packbits(out.T.ravel())
 
 
-def _sets(rows: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
-    """(node, tokens) of the wanted (node, node_th): upper halves of the shingle hashes.  Texts
-    that no wanted hash can belong to are passed over before anything is computed or sent."""
+def _sets(rows: DataFrame, words: int, wanted: DataFrame, whole: bool = False) -> DataFrame:
+    """(node, tokens) of the wanted (node, node_th): upper halves of the shingle hashes, or
+    ``whole`` ones.  Texts that no wanted hash can belong to are passed over before anything is
+    computed or sent."""
     bits = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(F.col("node_th").alias("th"))))
 
     def run(batches):
@@ -171,19 +174,20 @@ def _sets(rows: DataFrame, words: int, wanted: DataFrame) -> DataFrame:
             batch = batch.filter(pa.array(known[th & (BITS - 1)] == 1))
             for part, buffer, offsets in kernels.slices(batch, "text"):
                 h, bounds = kernels.shingle_sets(buffer, offsets, words)
-                tokens = pa.array((h >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                tokens = _signed(h) if whole else pa.array((h >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(1), part.column(2), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), tokens)],
                     names=["node", "node_th", "tokens"])
 
     found = rows.where("doc_id IS NOT NULL").select("text", F.col("doc_id").alias("node"), F.coalesce(
-        "th", F.lit(0)).alias("node_th")).mapInArrow(run, "node bigint, node_th bigint, tokens array<int>")
+        "th", F.lit(0)).alias("node_th")).mapInArrow(
+        run, f"node bigint, node_th bigint, tokens array<{'bigint' if whole else 'int'}>")
     return found.join(wanted, ["node", "node_th"], "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Overlap of every pair (a, b): (a, b, n_a, n_b, both).  Sizes are exact; the overlap is
-    counted by 32 bits of hash, wrong by one for about one pair in 2^32 / (differing shingles)^2."""
+    as exact as the tokens of ``sets`` are."""
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     return pairs.join(right, "b").join(left, "a").select(
@@ -191,6 +195,25 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.size(F.array_intersect("ta", "tb")).alias("both"))
 
 
+def _settled(counted: DataFrame, rows: DataFrame, words: int, texts_of: DataFrame, threshold: int, name: str) -> DataFrame:
+    """``counted`` (from halves of the hashes), in which pairs whose overlap stands so near the
+    threshold that equal halves of different shingles could decide are counted by whole hashes.
+    Of n shingles in both sets about n^2 / 2^33 share a half by chance; SLACK and eight standard
+    deviations are added to that."""
+    n = (F.col("n_a") + F.col("n_b")).cast("double")
+    chance = n * n / float(1 << 33)
+    off = F.abs((100 + threshold) * F.col("both") - threshold * n)      # 0 at the threshold
+    near = counted.where(off <= (100 + threshold) * (SLACK + chance + 8 * F.sqrt(chance))).select("a", "b")
+    if near.isEmpty():
+        return counted
+    near = materialize(near, "ngram-near")
+    sets = materialize(_sets(rows, words, _ends(near).join(texts_of, "node"), whole=True), "ngram-sets")
+    out = materialize(counted.join(near, ["a", "b"], "left_anti").union(_verified(near, sets)), name)
+    for used in (near, sets, counted):
+        release(used)
+    return out
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
@@ -237,6 +260,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     wanted = _ends(pairs).join(texts_of, "node")
     sets = materialize(_sets(rows, words, wanted), "ngram-sets")
     first = materialize(_verified(pairs, sets), "ngram-first")
+    first = _settled(first, rows, words, texts_of, threshold, "ngram-first")
     links = first.where(_linked(threshold)).select("a", "b")
     joined = components(links, "ngram")
 
@@ -263,9 +287,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
         # sets that round one had no use for
         more = _ends(undecided).join(sets.select("node"), "node", "left_anti").join(texts_of, "node")
         every = sets.union(materialize(_sets(rows, words, more), "ngram-sets"))
-        second = materialize(_verified(undecided, every).where(_linked(threshold)).select("a", "b"), "ngram-second")
-        if not second.isEmpty():
-            final = components(links.union(second), "ngram")
+        second = materialize(_verified(undecided, every), "ngram-second")
+        second = _settled(second, rows, words, texts_of, threshold, "ngram-second")
+        more_links = second.where(_linked(threshold)).select("a", "b")
+        if not more_links.isEmpty():
+            final = components(links.union(more_links), "ngram")
 
     roots = nodes.join(final, "node", "left").select(
         "k1", "k2", F.coalesce("root", "node").alias("component"))
@@ -283,9 +309,10 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest id.  Rows with the
     empty set or a null id stay; rows that repeat the kept id and text stay with it."""
+    own_id, own_th = unused(docs, "kept_id"), unused(docs, "kept_th")
     kept = classes(docs, id_col, text_col, words, threshold).where(
         "doc_id IS NULL OR n_shingles = 0 OR component_id = doc_id").select(
-        F.col("doc_id").alias("_id"), F.coalesce("th", F.lit(0)).alias("_th")).distinct()
-    own = F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (
-        F.coalesce(F.xxhash64(text_col), F.lit(0)) == F.col("_th"))
+        F.col("doc_id").alias(own_id), F.coalesce("th", F.lit(0)).alias(own_th)).distinct()
+    own = F.col(id_col).cast("bigint").eqNullSafe(F.col(own_id)) & (
+        F.coalesce(F.xxhash64(text_col), F.lit(0)) == F.col(own_th))
     return docs.join(kept, own, "left_semi")

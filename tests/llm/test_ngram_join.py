@@ -99,3 +99,21 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a bigint, b bigint"), "test").collect()
     assert {r.node: r.root for r in got} == {x: find(x) for x in parent} and len(got) == len(parent)
     assert components(spark.createDataFrame([], "a bigint, b bigint"), "test").count() == 0
+
+
+def test_long_texts_exactly_at_the_threshold(spark):
+    """Two texts of 180,000 shingles that share 160,000 are exactly 80 of 100: one class; one shared
+    shingle less is two.  Halves of the hashes alone would err here."""
+    words = [f"w{i}" for i in range(200_010)]
+    rows = [(1, " ".join(words[:180_004])), (2, " ".join(words[20_000:200_004])),
+            (3, " ".join(f"v{i}" for i in range(180_004))), (4, " ".join(f"v{i}" for i in range(20_001, 200_005)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.classes(docs).collect()}
+    assert got == {1: (180_000, 1), 2: (180_000, 1), 3: (180_000, 3), 4: (180_000, 4)}
+
+
+def test_clashing_column_names(spark):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(1, text, "a", 1, 2), (2, text, "b", 3, 4), (3, "x y", "c", 5, 6)],
+                                 "doc_id bigint, text string, _id string, kept_id int, th int")
+    assert sorted(N.representatives(docs).collect()) == [(1, text, "a", 1, 2), (3, "x y", "c", 5, 6)]
