@@ -18,9 +18,12 @@ Searching uses vectors in half precision; reported scores come from the original
 measured against brute force in the tests and the README.  Blocks bound what a task holds:
 a hub with very many backward edges is dealt into several blocks, not cut.
 
+Equal vectors are one node with their smallest ids, so however many there are, the smallest
+answer, and they crowd no pool.
+
 Defined results: rows whose vector is null, zero, or has a null or non-finite component, or
-whose length is not that of most rows, take no part; equal vectors are separate candidates;
-ties go to the smaller id; rows that repeat an id are separate candidates too, except that no
+whose length is not that of most rows, take no part; very large and very small vectors do;
+equal vectors are separate candidates; ties go to the smaller id (a null id last); rows that repeat an id are separate candidates too, except that no
 row with the query's id answers it; fewer candidates than k give fewer rows; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -54,28 +57,40 @@ EXPAND = 8
 
 
 def usable(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(node, vec_id, v, u): rows that take part, numbered; v as given (double), u of unit
-    length, packed (half precision)."""
+    """(vec_id, v): rows that take part."""
     v = F.col(vector_col).cast("array<double>")
     df = table.select(F.col(id_col).alias("vec_id"), v.alias("v")).where(
-        F.col("v").isNotNull() & (F.size("v") > 0)
-        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    df = df.where((norm > 0) & (norm < float("inf")))
+        F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        & F.exists("v", lambda x: x != 0))
     sizes = df.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    df = df.where(F.size("v") == (sizes[0].d if sizes else 0)).select(
-        F.monotonically_increasing_id().alias("node"), "vec_id", "v")
-    kind = df.schema["vec_id"].dataType.simpleString()
+    return df.where(F.size("v") == (sizes[0].d if sizes else 0)).select(
+        "vec_id", F.transform("v", lambda x: x + F.lit(0.0)).alias("v"))
+
+
+def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """(node, v, ids, s, u): the different vectors of ``rows``, numbered, with their k + 1 smallest
+    ids and how many rows have each (k at most): more can answer no query.  s is v scaled by
+    a power of two, so that no length over- or underflows; u has unit length, packed (half
+    precision)."""
+    counted = rows.groupBy("v", "vec_id").agg(F.count("*").alias("c"))
+    least = Window.partitionBy("v").orderBy(F.asc_nulls_last("vec_id"))
+    few = counted.withColumn("r", F.row_number().over(least)).where(F.col("r") <= k + 1)
+    nodes = few.groupBy("v").agg(F.collect_list(F.struct("vec_id", F.least("c", F.lit(k)).alias("c"))).alias("ids")).select(
+        F.monotonically_increasing_id().alias("node"), "v", "ids")
+    kinds = nodes.schema["ids"].dataType.simpleString()
 
     def pack(batches):
         for batch in batches:
             if batch.num_rows:
-                x = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
-                x = (x / np.sqrt((x * x).sum(axis=1, keepdims=True))).astype(np.float16)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r.tobytes() for r in x], pa.binary())],
-                                                 names=["node", "vec_id", "v", "u"])
+                x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+                x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+                u = (x / np.sqrt((x * x).sum(axis=1, keepdims=True))).astype(np.float16)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(list(x), pa.list_(pa.float64())), pa.array([r.tobytes() for r in u], pa.binary())],
+                    names=["node", "v", "ids", "s", "u"])
 
-    return materialize(df.mapInArrow(pack, f"node bigint, vec_id {kind}, v array<double>, u binary"), "nn-vectors")
+    return materialize(nodes.mapInArrow(
+        pack, f"node bigint, v array<double>, ids {kinds}, s array<double>, u binary"), "nn-vectors")
 
 
 def _unit(column) -> np.ndarray:
@@ -233,15 +248,24 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, poo
 def nearest(table: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_col: str = "embedding",
             degree: int = K, rounds: int | None = None, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row with ``is_query``."""
-    vectors = usable(table, id_col, vector_col)
+    rows = usable(table, id_col, vector_col)
+    vectors = distinct_vectors(rows, k)
     graph = build(vectors, degree, rounds, seed)
-    queries = vectors.where(is_query)
+    asked = materialize(rows.where(is_query).withColumn("row", F.monotonically_increasing_id()).join(
+        vectors.select("v", "node"), "v").select("row", F.col("vec_id").alias("query_id"), "node"), "nn-asked")
+    queries = vectors.join(asked.select("node").distinct(), "node", "left_semi")
     pools = search(vectors, graph, queries, k)
-    asked = queries.select(F.col("node").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    other = vectors.select("node", "vec_id", "v")
-    dot = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    # rows with the query's own vector are candidates too
+    pools = pools.union(queries.select("node", F.col("node").alias("node2")))
+    dot = F.aggregate(F.zip_with("q", "s", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     length = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
-    scored = pools.join(other, "node").join(asked, "query").where(~F.col("vec_id").eqNullSafe(F.col("query_id"))).select(
-        "query", "query_id", "vec_id", "node", (dot / (length("q") * length("v"))).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "node"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scored = pools.join(vectors.select("node", "s", "ids"), "node").join(
+        vectors.select(F.col("node").alias("query"), F.col("s").alias("q")), "query").select(
+        "query", "node", "ids", (dot / (length("q") * length("s"))).alias("score"))
+    own = asked.withColumnRenamed("node", "query").join(scored, "query").select(
+        "row", "query_id", "node", "score", F.explode("ids").alias("id")).where(
+        ~F.col("id.vec_id").eqNullSafe(F.col("query_id")))
+    every = own.select("row", "query_id", "node", "score", F.col("id.vec_id").alias("vec_id"),
+                       F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("id.c"))).alias("copy"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "node", "copy"))
+    return every.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

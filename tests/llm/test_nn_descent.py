@@ -85,3 +85,24 @@ def test_unusable_and_repeated_vectors(spark):
     assert [r.vec_id for r in few] == [5, 5]
     assert A.nearest(table.where("false"), 5, F.col("vec_id") == 0).count() == 0
     assert A.nearest(table.where("vec_id = 7"), 5, F.col("vec_id") == 7).count() == 0
+
+
+def test_ties_among_many_equal_vectors(spark):
+    """Of 300 equal vectors, stored by falling id, the smallest ids answer; so they do beside a
+    repeated id and behind a nearer vector."""
+    rows = [(i, [0.6, 0.8]) for i in range(300, 0, -1)] + [(1000 + i, [float(i), 1.0]) for i in range(40)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = A.nearest(table, 5, F.col("vec_id") % 50 == 0).collect()
+    by_query = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in {r.query_id for r in got}}
+    assert all(by_query[q] == [1, 2, 3, 4, 5] for q in (50, 100, 300)) and len(by_query) == 7
+    repeated = spark.createDataFrame([(50, [1.0, 0.0])] * 9 + [(i, [1.0, 0.0]) for i in (60, 51, 52, 53)] + [(7, [0.9, 0.1])] * 2,
+                                     "vec_id bigint, embedding array<double>")
+    got = A.nearest(repeated, 5, F.col("vec_id") == 50).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == sorted([(1, 51), (2, 52), (3, 53), (4, 60), (5, 7)] * 9)
+
+
+def test_very_large_and_small_vectors(spark):
+    rows = [(0, [1e-200, 1e-200]), (1, [1e200, 1e200]), (2, [-1e200, 1e-200]), (3, [3e-310, 1e-310])]
+    got = A.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), 5, F.col("vec_id") == 0).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [1, 3, 2]
+    assert abs(got[0].score - 1) < 1e-12
