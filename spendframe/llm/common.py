@@ -3,6 +3,7 @@ cut lineage, partition counts, and connected components."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,20 +50,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def release(df: DataFrame | None) -> None:
-    """Delete the shared table behind a ``materialize`` result that nothing reads any more."""
-    path = getattr(df, "_shared_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def release(*tables: DataFrame | None) -> None:
+    """Delete the shared tables behind ``materialize`` results that nothing reads any more.  The
+    shuffle files of the plans that made them go with the plans: Spark deletes them once
+    the driver has collected its garbage, which a job of many short stages rarely does by itself."""
+    held = [df for df in tables if getattr(df, "_shared_path", None) is not None]
+    for df in held:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(df._shared_path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if held:
+        gc.collect()
+        held[0].sparkSession._jvm.System.gc()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as keep it from any column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def split_words(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``: the words (runs of other characters than SEPARATORS) of ``text`` as an
     array, empty for a null or wordless text."""
@@ -121,4 +134,6 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     out = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return out.union(current.select("b", "b").distinct())
+    out = out.union(current.select("b", "b").distinct())
+    out._shared_path = current._shared_path
+    return out

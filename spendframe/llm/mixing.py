@@ -187,12 +187,13 @@ def mixed(docs: DataFrame, seed: int = 7) -> DataFrame:
     """``docs`` as the mix takes them: each row as many times as its copies, none for 0.
 
     Rows with equal id, source and size share out their copies in the order of their texts."""
-    rows = split_words(docs, "text", "_w").withColumn("_size", F.size("_w").cast("bigint")).drop("_w")
-    key = F.struct(F.col("doc_id").alias("id"), F.col("source").alias("source"), F.col("_size").alias("size"))
-    rows = rows.withColumn("_key", key)
-    taken = mix(docs, seed).groupBy(F.struct(F.col("doc_id").alias("id"), "source", "size").alias("_key")).agg(
-        F.sum("copies").alias("_sum"), F.count("*").alias("_rows"))
-    place = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text")))
-    rows = rows.withColumn("_place", place).join(taken, "_key")
-    share = (F.floor(F.col("_sum") / F.col("_rows")) + (F.col("_place") <= F.col("_sum") % F.col("_rows")).cast("int")).cast("int")
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), share))).select(docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", "text")
+    rows = split_words(rows, "text", "words").select("row", "text", F.struct(
+        F.col("doc_id").alias("id"), "source", F.size("words").cast("bigint").alias("size")).alias("key"))
+    taken = mix(docs, seed).groupBy(F.struct(F.col("doc_id").alias("id"), "source", "size").alias("key")).agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("text")))
+    rows = rows.withColumn("place", place).join(taken, "key")
+    share = (F.floor(F.col("copies") / F.col("rows")) + (F.col("place") <= F.col("copies") % F.col("rows")).cast("int")).cast("int")
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), share))).select(
+        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -74,3 +74,13 @@ def test_awkward_rows(awkward, no_rows):
     for i, t in AWKWARD:
         assert sizes[i] == len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     assert M.mix(no_rows).count() == 0
+
+
+def test_clashing_columns_come_back_unchanged(spark, no_rows):
+    from spendframe.llm import fuzzy_lines, mixing
+    rows = [(i, f"word {i} of a line\nanother {i} line", f"s{i % 2}", i, -i, f"k{i}", "c", 9) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _size int, size int, key string, row string, gone int")
+    held = {r[0]: tuple(r) for r in rows}
+    assert all(tuple(r) == held[r.doc_id] for r in mixing.mixed(docs).collect())
+    assert all((*r[:1], *r[2:]) == (*held[r.doc_id][:1], *held[r.doc_id][2:]) for r in fuzzy_lines.deduplicated(docs).collect())
+    assert mixing.mixed(no_rows).collect() == [] and fuzzy_lines.deduplicated(no_rows).collect() == []
