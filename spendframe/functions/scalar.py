@@ -96,3 +96,37 @@ def ordinal_suffix(n) -> Column:
             .when(F.pmod(n, F.lit(10)) == 2, F.lit("nd"))
             .when(F.pmod(n, F.lit(10)) == 3, F.lit("rd"))
             .otherwise(F.lit("th")))
+
+
+MINUS = "\u2212"
+
+
+def _sign(v: Column) -> Column:
+    return F.when(v < 0, F.lit(MINUS)).otherwise(F.lit("+"))
+
+
+def signed_percent(v, cap: float | None = None, blank: str = "new") -> Column:
+    """+3.6% / \u22123.6%, ``blank`` when null; from ``cap`` times on only >+999% or <-999%."""
+    v = col_(v).cast("decimal(30,10)")
+    body = F.concat(_sign(v), F.round(F.abs(v) * 100, 1).cast("decimal(30,1)").cast("string"), F.lit("%"))
+    if cap is not None:
+        body = F.when(F.abs(v) >= F.lit(cap), F.when(v > 0, ">+999%").otherwise("<-999%")).otherwise(body)
+    return F.when(v.isNull(), F.lit(blank)).otherwise(body)
+
+
+def point_change(a, b) -> Column:
+    """The move from ratio ``b`` to ``a`` in percentage points: +0.4pp."""
+    d = col_(a).cast("decimal(30,10)") - col_(b).cast("decimal(30,10)")
+    return F.concat(_sign(d), F.round(F.abs(d) * 100, 1).cast("decimal(30,1)").cast("string"), F.lit("pp"))
+
+
+def signed_money(v, thousands: bool = False) -> Column:
+    """+$1,234 / \u2212$1,234; with ``thousands`` +$1k."""
+    v = col_(v).cast("decimal(30,4)")
+    whole = F.round(F.abs(v) / 1000 if thousands else F.abs(v), 0).cast("decimal(30,0)")
+    return F.concat(_sign(v), F.lit("$"), F.format_number(whole, 0), F.lit("k" if thousands else ""))
+
+
+def whole_text(v) -> Column:
+    """A number as text without the ``.0`` that a whole one read as a double carries."""
+    return F.regexp_replace(col_(v).cast("string"), r"\.0$", "")

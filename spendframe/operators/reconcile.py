@@ -6,7 +6,8 @@
 * ``multiset_diffs``: do two results hold the same numbers (2 dp, within a tolerance)?
   Buckets of values are compared by fingerprints, unequal ones by running differences.
 * ``widen``: long (query, column, value) -> wide rows, positional per column.
-* ``column_profile``: distinct, blanks and bytes per column in one pass, unpivoted.
+* ``column_profile``: distinct values, blanks, bytes and heavy hitters per column from one
+  ledger of values.
 """
 
 from __future__ import annotations
@@ -130,26 +131,30 @@ def widen(long_df: DataFrame, column: str = "column", value: str = "value",
     return numbered.groupBy("i").pivot(column, columns).agg(F.first(value))
 
 
-def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """X8 re-aimed: per column distinct values, blank (null or '') count, text bytes,
-    average bytes per row and share of all bytes - one aggregate pass, unpivoted."""
-    aggs = []
-    for c in columns:
-        s = F.col(c).cast("string")
-        aggs += [F.countDistinct(c).alias(f"{c}__d"),
-                 F.count_if(s.isNull() | (s == "")).alias(f"{c}__b"),
-                 F.sum(F.length(s)).alias(f"{c}__bytes")]
-    g = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
-    total = sum((F.coalesce(F.col(f"{c}__bytes"), F.lit(0)) for c in columns), F.lit(0))
-    g = g.select("*", total.cast("bigint").alias("__total"))    # same row: no second pass
-    expr = "stack({}, {}) as (column_name, distinct_count, blanks, bytes)".format(
-        len(columns), ", ".join(f"'{c}', `{c}__d`, `{c}__b`, CAST(`{c}__bytes` AS BIGINT)"
-                                for c in columns))
-    long = g.selectExpr("__rows", "__total", expr)
-    return (long
-            .select("column_name", "distinct_count", "blanks", "bytes",
-                    (F.col("bytes") / F.col("__rows")).alias("avg_bytes"),
-                    (F.col("bytes") / F.col("__total")).alias("share")))
+def value_ledger(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value, n): how often each column has each value, as text, in one pass.  A task
+    counts its own values first, so a frequent one is a row per task."""
+    lanes = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(F.inline(lanes)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def column_profile(df: DataFrame, columns: list[str] | None = None, top: int | None = None) -> DataFrame:
+    """X8 re-aimed: what each column costs - distinct values, blanks (null or ''), text bytes, bytes
+    per row, share of all bytes, its most frequent value and how often that occurs - ranked
+    by bytes, the ``top`` dearest if given."""
+    cols = columns or df.columns
+    blank = F.col("value").isNull() | (F.col("value") == "")
+    held = value_ledger(df, cols).groupBy("column_name").agg(
+        F.count("value").alias("distinct_count"), F.coalesce(F.sum(F.when(blank, F.col("n"))), F.lit(0)).alias("blanks"),
+        F.coalesce(F.sum(F.length("value") * F.col("n")), F.lit(0)).alias("bytes"), F.sum("n").alias("_rows"),
+        F.min(F.when(~blank, F.struct((-F.col("n")).alias("n"), "value"))).alias("_top"))
+    every = Window.partitionBy(F.lit(1))                # a row per column
+    dearest = Window.partitionBy(F.lit(1)).orderBy(F.desc("bytes"), "column_name")
+    ranked = held.select(
+        "column_name", "distinct_count", "blanks", "bytes", (F.col("bytes") / F.col("_rows")).alias("avg_bytes"),
+        (F.col("bytes") / F.sum("bytes").over(every)).alias("share"), F.col("_top.value").alias("top_value"),
+        (-F.col("_top.n")).alias("top_count"), F.row_number().over(dearest).alias("rank"))
+    return ranked.where(F.col("rank") <= top) if top else ranked
 
 
 def bench_compare(star: DataFrame, naive: DataFrame, noise_floor_ms: float) -> DataFrame:

@@ -3,6 +3,7 @@
 Fact grain: one lineitem row = one card transaction attempt.
 
     date            CAST(o_orderdate AS DATE)
+    hour            (l_orderkey + 3 * l_linenumber) % 24   (the order timestamps are midnights)
     client_key      o_custkey                      (Client  = customer)
     card_key        l_suppkey                      (Card    = supplier, s_acctbal = credit limit)
     mcc             l_partkey                      (Merchant category = part: p_brand, group p_type)
@@ -46,7 +47,7 @@ BASE_COLS = {"date", "year", "client_key", "card_key", "mcc", "channel", "channe
              "errors", "is_approved", "ok", "outcome_key", "outcome", "outcome_class",
              "fraud_key", "fraud_status", "is_labelled", "is_fraud", "lab", "fr", "amount",
              "month_no", "month_year", "month_year_sort", "month_start", "month", "quarter",
-             "quarter_key", "order_key", "line_number", "timestamp"}
+             "quarter_key", "order_key", "line_number", "timestamp", "hour"}
 PART_COLS = {"category", "category_group"}
 GEO_COLS = {"merchant_state", "location", "location_type", "state_code", "country"}
 CLIENT_COLS = {"merchant_state", "location", "location_type", "state_code", "country",
@@ -127,6 +128,7 @@ class Star:
             "line_number": F.col("l_linenumber"),
             "date": date,
             "timestamp": F.col("o_orderdate"),
+            "hour": F.pmod(F.col("l_orderkey") + 3 * F.col("l_linenumber"), F.lit(24)).cast("bigint"),
             "client_key": F.col("o_custkey"),
             "card_key": F.col("l_suppkey"),
             "mcc": F.col("l_partkey"),
@@ -290,6 +292,7 @@ class Star:
         ib, ibs = band(income, K.INCOME_EDGES, K.INCOME_LABELS)
         ab, abs_ = band(age, K.AGE_EDGES, K.AGE_LABELS)
         return c.select(F.col("c_custkey").alias("client_key"), home.alias("_home_state"),
+                        age.alias("age"), income.alias("yearly_income"),
                         score.alias("credit_score"), sb.alias("credit_score_band"),
                         sbs.alias("credit_score_band_sort"), ib.alias("income_band"),
                         ibs.alias("income_band_sort"), ab.alias("age_band"),

@@ -23,7 +23,7 @@ def flat_table(star: Star, need=None) -> DataFrame:
     out = f.select(
         F.concat_ws("-", F.col("order_key").cast("string"), F.col("line_number").cast("string"))
          .alias("transaction_id"),
-        "timestamp", "date",
+        "timestamp", "date", "hour",
         F.col("client_key").cast("string").alias("client_id"),
         F.col("card_key").cast("string").alias("card_id"),
         "amount", "channel", "line_number", "client_key", "card_key", "mcc",
@@ -43,6 +43,8 @@ def flat_table(star: Star, need=None) -> DataFrame:
         out = join_dim(out, cd, "card_key", size_proxy=star.card_proxy())
     if need & FLAT_CLIENT:
         cl = star.client_geo().select("client_key", "_home_state",
+                                      F.col("age").alias("client_age"),
+                                      F.col("yearly_income").alias("client_yearly_income"),
                                       F.col("credit_score").alias("client_credit_score"))
         out = join_dim(out, cl, "client_key", size_proxy=star.client_proxy())
         st = (F.when(F.col("channel") == "1-URGENT", F.lit(""))

@@ -43,6 +43,7 @@ state_names AS (SELECT * FROM (VALUES {_states}) AS t(code, name)),
 raw_fact AS (
   SELECT l.l_orderkey AS order_key, l.l_linenumber AS line_number,
          CAST(o.o_orderdate AS DATE) AS date,
+         CAST((l.l_orderkey + 3 * l.l_linenumber) % 24 AS BIGINT) AS hour,
          o.o_custkey AS client_key, l.l_suppkey AS card_key, l.l_partkey AS mcc,
          o.o_orderpriority AS channel,
          CASE WHEN o.o_orderpriority IN ({_np}) THEN 'Card not present' ELSE 'Card present' END
@@ -86,7 +87,7 @@ client_dim AS (
        LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 client_banded AS (
-  SELECT client_key, home_state, credit_score,
+  SELECT client_key, home_state, credit_score, age, yearly_income,
          {_sb} AS credit_score_band, {_sbs} AS credit_score_band_sort,
          {_ib} AS income_band, {_ibs} AS income_band_sort,
          {_ab} AS age_band, {_abs} AS age_band_sort
@@ -117,7 +118,7 @@ fact1 AS (
          CASE WHEN f.fraud_key = 2 THEN 'Yes' ELSE 'No' END AS is_fraud,
          f.fraud_key > 0 AS lab, f.fraud_key = 2 AS fr,
          p.p_brand AS category, p.p_type AS category_group,
-         cl.credit_score, cl.credit_score_band, cl.credit_score_band_sort, cl.income_band,
+         cl.age, cl.yearly_income, cl.credit_score, cl.credit_score_band, cl.credit_score_band_sort, cl.income_band,
          cl.income_band_sort, cl.age_band, cl.age_band_sort,
          CASE WHEN f.channel = {_q(ONLINE_CHANNEL)} THEN NULL
               WHEN f.line_number = {NOT_RECORDED_LINE} THEN NULL

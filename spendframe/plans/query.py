@@ -38,6 +38,7 @@ from spendframe.operators.dense import with_dense_rank
 from spendframe.operators.joins import join_dim, with_scalars
 from spendframe.operators.shared import kept, shared
 from spendframe.operators.topn import top_n_with_ties
+from spendframe.plans import slicers
 from spendframe.plans.binding import Star, date_attributes
 from spendframe.plans.measures import (APPROX_CONF, DATE_ATTRS, MEASURES, PARTS, RANK_OVER, SHARE_CLEARS,
                                        output_cast)
@@ -49,28 +50,10 @@ EAGER_DISTINCT = {"cards": "card_key", "clients": "client_key"}   # distinct par
 
 def _filter(df: DataFrame, where: Mapping | None) -> DataFrame:
     for col, val in (where or {}).items():
-        if isinstance(val, (list, tuple, set, frozenset)):
-            df = df.where(F.col(col).isin(*list(val)))
-        else:
-            df = df.where(F.col(col) == val)
+        df = df.where(slicers.condition(col, val))
     return df
 
 
-def _years(where: Mapping | None) -> list[int]:
-    if not where or "year" not in where:
-        return []
-    v = where["year"]
-    return [int(x) for x in (v if isinstance(v, (list, tuple, set, frozenset)) else [v])]
-
-
-def _year_range(where: Mapping | None, back: int = 0):
-    """[first day, day after) covering a year slicer (widened ``back`` years), or None."""
-    ys = _years(where)
-    if not ys:
-        return None
-    return f"{min(ys) - back}-01-01 00:00:00", f"{max(ys) + 1}-01-01 00:00:00"
-
-
 def _zero_counts(agg: DataFrame, keys: list[str], parts) -> DataFrame:
     """A global aggregate (no keys) is one row even over no input, and a count in it is 0;
     re-summed partial counts over no rows are null, so they are set back to 0."""
@@ -117,17 +100,21 @@ class Model:
     # ------------------------------------------------------------------ inputs
     def fact(self, need: Iterable[str], where: Mapping | None = None) -> DataFrame:
         need = set(need) | set((where or {}).keys())
-        rng = _year_range(where)
-        if rng is not None:
-            need.add("timestamp")
-        f = _filter(self.star.fact(need), where)
-        if rng is not None:
-            # the same filter restated on the raw order timestamp, so it reaches the
-            # parquet scan (PushedFilters) instead of running after the join
-            lo, hi = rng
-            f = f.where((F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz")) &
-                        (F.col("timestamp") < F.lit(hi).cast("timestamp_ntz")))
-        return f
+        days = slicers.date_intervals(where)
+        if days is not None:
+            need |= {"timestamp", "year"}
+        return self._within(_filter(self.star.fact(need), where), days)
+
+    @staticmethod
+    def _within(f: DataFrame, days) -> DataFrame:
+        """Calendar filters restated on the raw order timestamp, so they reach the parquet scan
+        (PushedFilters) instead of running after the join, and on the year, so that a
+        written star skips folders."""
+        if days is None:
+            return f
+        years = slicers.on_year(days)
+        f = f.where(slicers.on_timestamp(days))
+        return f if years is None else f.where(years)
 
     def spine(self, date_where: Mapping | None = None, daily: DataFrame | None = None) -> DataFrame:
         """The visible days.  From raw tables, the first and last day come from ``daily`` (a rollup
@@ -152,7 +139,7 @@ class Model:
         """``measures``: keys of MEASURES, or (alias, key) pairs.
         ``order_by``: column names, '-name' for descending.
         ``top``: (n, column) keeps the n highest values of column, ties included."""
-        keys = list(group_by)
+        keys, where = list(group_by), slicers.resolved(where)
         wanted = [(m, m) if isinstance(m, str) else tuple(m) for m in measures]
         ms = [MEASURES[k] for _, k in wanted]
         parts = {"n"}
@@ -389,16 +376,13 @@ class Model:
         need = set(pre_other) | set(fwhere) | {"date"}
         for p in every:
             need |= PARTS[p].cols
-        ys = _years(where)
-        if ys:
+        days = slicers.date_intervals(dwhere)
+        if days is not None:
             need |= {"timestamp", "year"}
         f = _filter(star.fact(need), fwhere)
-        if ys:
-            lo, hi = _year_range(where, back=1)
-            f = f.where((F.col("timestamp") >= F.lit(lo).cast("timestamp_ntz")) &
-                        (F.col("timestamp") < F.lit(hi).cast("timestamp_ntz")) &
-                        F.col("year").between(min(ys) - 1, max(ys)))
-        whole = not ys and not fwhere and not dim_where
+        if days is not None:
+            f = self._within(f, slicers.merged(days + slicers.a_year_before(days)))
+        whole = days is None and not fwhere and not dim_where
         by_day = f.groupBy(*pre_other, "date").agg(*[PARTS[p].spark().alias(p) for p in every])
         if whole:                       # the spine comes from the same rollup: one scan
             by_day = kept(by_day, every)
@@ -470,7 +454,7 @@ class Model:
         a filter the condition would sink below the rollup and no other reader could share it."""
         held = F.lit(True)
         for col, val in where.items():
-            held = held & (F.col(col).isin(*list(val)) if isinstance(val, (list, tuple, set, frozenset)) else F.col(col) == val)
+            held = held & slicers.condition(col, val)
         agg = wide.groupBy(*keys).agg(*[F.sum(F.when(held, F.col(p))).alias(p) for p in sorted(parts)],
                                       F.max(held).alias("_held"))
         agg = agg.where("_held") if keys else agg

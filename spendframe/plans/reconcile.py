@@ -10,7 +10,7 @@ from spendframe.operators.calendar import zero_fill
 from spendframe.operators.reconcile import column_profile as profile_op
 from spendframe.operators.reconcile import field_diff, multiset_diffs, widen
 from spendframe.operators.topn import top_n_with_ties
-from spendframe.plans.benchmark import FLAT_CTES, GRAINS, figures_4_grains, shared_flat, shared_star
+from spendframe.plans.benchmark import GRAINS, figures_4_grains, shared_flat, shared_star
 from spendframe.plans.calendar import Calendar
 from spendframe.plans.flat import flat_table
 from spendframe.plans.binding import Star
@@ -194,26 +194,40 @@ def result_widen(spark, src):
     return widen(long, "column", "value", "ord", ["py", "spend", "yoy"])
 
 
-PROFILE_COLS = ["client_id", "card_id", "channel", "errors", "fraud_label", "merchant_category",
-                "year", "month_year"]
+#: Flat column -> its text in SQL over ``att``.
+PROFILE = {
+    "transaction_id": "order_key || '-' || line_number", "timestamp": "strftime(date, '%Y-%m-%d %H:%M:%S')",
+    "date": "date", "hour": "hour", "client_id": "client_key", "card_id": "card_key", "amount": "amount",
+    "channel": "channel", "mcc_text": "mcc", "errors": "coalesce(errors, '')",
+    "fraud_label": "CASE fraud_key WHEN 2 THEN 'Yes' WHEN 1 THEN 'No' ELSE '' END", "merchant_category": "category",
+    "merchant_state": "coalesce(merchant_state, '')", "card_brand": "card_brand", "card_type": "card_type",
+    "card_has_chip": "CASE WHEN has_chip = 'Chip' THEN 'YES' ELSE 'NO' END", "card_credit_limit": "credit_limit",
+    "client_age": "age", "client_yearly_income": "yearly_income", "client_credit_score": "credit_score",
+    "year": "year", "month_year": "month_year", "is_approved": "is_approved",
+    "spend_amount": "CASE WHEN ok THEN amount END", "is_fraud": "is_fraud",
+}
+PROFILE_TOP = 12
 
 
 def _profile_sql() -> str:
-    rows = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, "
-        f"count(*) FILTER (WHERE {c} IS NULL OR CAST({c} AS VARCHAR) = '') AS blanks, "
-        f"CAST(sum(length(CAST({c} AS VARCHAR))) AS BIGINT) AS bytes, count(*) AS rows FROM flat2"
-        for c in PROFILE_COLS)
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({e} AS VARCHAR) AS value FROM att" for c, e in PROFILE.items())
     return with_ctes(
-        "SELECT column_name, distinct_count, blanks, bytes, bytes / rows AS avg_bytes, "
-        "bytes / sum(bytes) OVER () AS share FROM prof", *FLAT_CTES, f"prof AS ({rows})")
+        "SELECT column_name, count(value) AS distinct_count, CAST(coalesce(sum(n) FILTER (WHERE coalesce(value, '') = ''), 0) AS BIGINT) "
+        "AS blanks, CAST(coalesce(sum(length(value) * n), 0) AS BIGINT) AS bytes, "
+        "CAST(coalesce(sum(length(value) * n), 0) AS DOUBLE) / sum(n) AS avg_bytes, "
+        "CAST(coalesce(sum(length(value) * n), 0) AS DOUBLE) / sum(sum(length(value) * n)) OVER () AS share, "
+        "first(value ORDER BY n DESC, value) FILTER (WHERE coalesce(value, '') <> '') AS top_value, "
+        "CAST(max(n) FILTER (WHERE coalesce(value, '') <> '') AS BIGINT) AS top_count, "
+        "CAST(row_number() OVER (ORDER BY sum(length(value) * n) DESC, column_name) AS INTEGER) AS rank "
+        f"FROM ledger GROUP BY column_name QUALIFY rank <= {PROFILE_TOP}",
+        f"vals AS ({rows})", "ledger AS (SELECT column_name, value, count(*) AS n FROM vals GROUP BY 1, 2)")
 
 
 @register("column_profile", _profile_sql())
 def column_profile(spark, src):
-    """X8 re-aimed: the flat table's columns by distinct values, blanks and bytes."""
-    f = flat_table(Star(spark, src), {"merchant_category"})
-    return profile_op(f, PROFILE_COLS)
+    """X8 re-aimed: the flat table's columns by what they cost, keys and timestamp included: the
+    dozen dearest."""
+    return profile_op(flat_table(Star(spark, src)), list(PROFILE), PROFILE_TOP)
 
 
 @register("top_bottom_n", with_ctes(

@@ -4,12 +4,15 @@ star.  The year slicer of the pages is the optional ``where`` parameter of
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from spendframe.functions.scalar import point_change, signed_percent
 from spendframe.plans.oracle import group_sql, measure_sql, with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.registry import register
-from spendframe.sources.tables import Tables
+from spendframe.plans.slicers import Between, Chosen, Single
 
 LIMIT_CTES = (
     """lim AS (SELECT s.{k} AS {k}, sum(c.credit_limit) AS lim
@@ -69,15 +72,7 @@ register("v_channel_mix", with_ctes(
     _ev(["year", "channel"], ["transactions", "channel_share"]))
 
 
-# V6: approved attempts by hour of day (hour comes from the events stream's timestamp;
-# an 'error' event is a declined attempt).
-@register("v_by_hour", "SELECT CAST(hour(ts) AS BIGINT) AS hour, "
-          "count(*) FILTER (WHERE event_type <> 'error') AS approved_transactions "
-          "FROM events GROUP BY hour(ts)")
-def v_by_hour(spark, src):
-    ev = Tables(spark, src).events
-    return ev.groupBy(F.hour("ts").cast("bigint").alias("hour")).agg(
-        F.count_if(F.col("event_type") != "error").alias("approved_transactions"))
+simple("v_by_hour", ["hour"], ["approved_transactions"])
 
 
 # ---------------------------------------------------------------- channel page
@@ -241,3 +236,52 @@ register("txn_lfl_yoy", with_ctes(
     "GROUP BY d.year)"))(
     _ev(["year"], ["transactions_lfl", "transactions_lfl_py", "transactions_lfl_yoy"]))
 
+# ---------------------------------------------------------------- slicers
+register("slicer_months", with_ctes(
+    f"SELECT month_year_sort, {measure_sql('spend')} AS spend, {measure_sql('transactions')} AS transactions FROM att "
+    "WHERE year IN (1996, 1997) AND month_no IN (1, 2, 12) GROUP BY month_year_sort"))(
+    _ev(["month_year_sort"], ["spend", "transactions"], where={"year": [1996, 1997], "month_no": Chosen((1, 2, 12))}))
+
+register("slicer_quarter", with_ctes(
+    f"SELECT channel, {measure_sql('spend')} AS spend FROM att WHERE quarter_key IN (19962, 19974) GROUP BY channel"))(
+    _ev(["channel"], ["spend"], where={"quarter_key": [19962, 19974]}))
+
+register("slicer_range", with_ctes(
+    "SELECT c.year, c.channel, CAST(c.s AS DOUBLE) AS spend, CAST(p.s AS DOUBLE) AS spend_py FROM cur c "
+    "LEFT JOIN py p ON c.year = p.year AND c.channel = p.channel",
+    "cur AS (SELECT year, channel, sum(amount) FILTER (WHERE ok) AS s FROM att "
+    "WHERE date BETWEEN DATE '1996-11-15' AND DATE '1998-02-28' GROUP BY year, channel)",
+    "py AS (SELECT d.year, a.channel, sum(a.amount) AS s FROM att a JOIN date_dim d "
+    "ON CAST(a.date + INTERVAL 12 MONTH AS DATE) = d.date WHERE a.ok "
+    "AND d.date BETWEEN DATE '1996-11-15' AND DATE '1998-02-28' GROUP BY d.year, a.channel)"))(
+    _ev(["year", "channel"], ["spend", "spend_py"], where={"date": Between(dt.date(1996, 11, 15), dt.date(1998, 2, 28))}))
+
+register("slicer_single", with_ctes(
+    f"SELECT date, {measure_sql('spend')} AS spend FROM att WHERE month_year = 'Jun 1997' GROUP BY date"))(
+    _ev(["date"], ["spend"], where={"month_year": Single(default="Jun 1997")}))
+
+
+# ---------------------------------------------------------------- signed formats (2.8)
+_SIGN = "CASE WHEN {v} < 0 THEN '\u2212' ELSE '+' END"
+_PCT = "round(CAST(abs({v}) AS DECIMAL(28,10)) * 100, 1)"
+
+
+@register("signed_formats", with_ctes(
+    "SELECT year, CASE WHEN yoy IS NULL THEN 'new' ELSE "
+    f"{_SIGN.format(v='yoy')} || CAST(CAST({_PCT.format(v='yoy')} AS DECIMAL(20,1)) AS VARCHAR) || '%' END AS yoy_text, "
+    "CASE WHEN yoy IS NULL THEN 'new' WHEN abs(yoy) >= 0.05 THEN CASE WHEN yoy > 0 THEN '>+999%' ELSE '<-999%' END "
+    f"ELSE {_SIGN.format(v='yoy')} || CAST(CAST({_PCT.format(v='yoy')} AS DECIMAL(20,1)) AS VARCHAR) || '%' END AS capped_text, "
+    f"{_SIGN.format(v='(d - r)')} || CAST(CAST({_PCT.format(v='(CAST(d AS DECIMAL(28,10)) - CAST(r AS DECIMAL(28,10)))')} "
+    "AS DECIMAL(20,1)) AS VARCHAR) || 'pp' AS points_text FROM f",
+    "cur AS (SELECT year, sum(amount) FILTER (WHERE ok) AS spend, CAST(count(*) FILTER (WHERE NOT ok) AS DOUBLE) / count(*) AS d, "
+    "CAST(count(*) FILTER (WHERE ok AND amount < 0) AS DOUBLE) / NULLIF(count(*) FILTER (WHERE ok), 0) AS r FROM att GROUP BY year)",
+    "py AS (SELECT d.year, sum(a.amount) AS py FROM att a JOIN date_dim d "
+    "ON CAST(a.date + INTERVAL 12 MONTH AS DATE) = d.date WHERE a.ok GROUP BY d.year)",
+    "f AS (SELECT cur.year, d, r, (CAST(spend AS DOUBLE) - CAST(py AS DOUBLE)) / NULLIF(CAST(py AS DOUBLE), 0) AS yoy "
+    "FROM cur LEFT JOIN py ON cur.year = py.year)"))
+def signed_formats(spark, src):
+    """Signed and capped percent and the change in points: year on year, and decline against
+    refund rate (a cap of 5 % here, so that it bites)."""
+    r = Model(spark, src).evaluate(["year"], ["spend_yoy", "decline_rate", "refund_rate"])
+    return r.select("year", signed_percent("spend_yoy").alias("yoy_text"), signed_percent("spend_yoy", cap=0.05).alias("capped_text"),
+                    point_change("decline_rate", "refund_rate").alias("points_text"))
