@@ -26,9 +26,11 @@ from spendframe.plans.binding import ONLINE_CHANNEL, Star, location_columns
 from spendframe.plans.flat import flat_table
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
+from spendframe.plans.reload import KeptStar
 from spendframe.plans.registry import register
 from spendframe.session import ensure_checkpoint_dir
-from spendframe.sources.raw import explode_label_map, read_fact, write_fact_by_year
+from spendframe.sources.checked import REASON, check_accounted, read_checked
+from spendframe.sources.raw import TRANSACTIONS_SCHEMA, explode_label_map, read_fact, write_csv, write_fact_by_year
 from spendframe.sources.tables import Tables
 
 SUFFIX = K.CHANNEL_SUFFIX
@@ -374,6 +376,42 @@ def scan_profile(spark, src):
                  F.min("date").alias("first_ts"), F.max("date").alias("last_ts"))
 
 
+NOT_MONEY_LINE = 7
+
+
+def transaction_files(spark, src) -> str:
+    """The transactions as CSV files of the card source's columns, in (date, card) order within each
+    file, in a shared folder of their own; the amounts of line 7 are no amounts.  Its path."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"raw-{uuid.uuid4().hex}", "transactions")
+    r = raw_transactions(_star(spark, src))
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = r.select("id", "date", "client_id", "card_id", F.when(F.col("id") % 10 == NOT_MONEY_LINE, "n/a").otherwise(
+        F.col("amount")).alias("amount"), "use_chip", none("bigint").alias("merchant_id"), none("string").alias("merchant_city"),
+        "merchant_state", none("double").alias("zip"), "mcc", "errors")
+    write_csv(rows.repartitionByRange("date", "card_id").sortWithinPartitions("date", "card_id"), path)
+    return path
+
+
+@register("csv_load", with_ctes(
+    f"SELECT CASE WHEN line_number = {NOT_MONEY_LINE} THEN 'amount is no money' ELSE 'good' END AS status, count(*) AS n, "
+    "count(DISTINCT client_key) AS clients, count(errors) AS with_errors, "
+    f"CAST(sum(CASE WHEN line_number <> {NOT_MONEY_LINE} THEN amount END) AS DOUBLE) AS amount, "
+    f"CAST(min(CASE WHEN line_number <> {NOT_MONEY_LINE} THEN date END) AS VARCHAR) AS first_day FROM att GROUP BY 1"))
+def csv_load(spark, src):
+    """Transaction files written and read with their types; records that do not
+    fit are counted by reason beside the good ones, and all lines are accounted for."""
+    path = transaction_files(spark, src)
+    amount = F.regexp_replace("amount", r"\$", "").try_cast(MONEY)
+    df = read_checked(spark, path, TRANSACTIONS_SCHEMA, ["id", "date", "client_id", "card_id"],
+                      {"amount is no money": amount.isNotNull()})
+    check_accounted(spark, path, df)
+    fits = F.col(REASON).isNull()
+    return df.groupBy(F.coalesce(F.col(REASON), F.lit("good")).alias("status")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("client_id").alias("clients"), F.count("errors").alias("with_errors"),
+        F.sum(F.when(fits, amount)).cast("double").alias("amount"),
+        F.min(F.when(fits, F.substring("date", 1, 10))).alias("first_day"))
+
+
 @register("active_entity_scan",
           "SELECT count(DISTINCT o.o_custkey) AS clients, count(DISTINCT l.l_suppkey) AS cards "
           "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey")
@@ -430,6 +468,34 @@ def fact_by_year_counts(spark, src):
         F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
 
 
+RELOADED_YEAR = 1996
+
+
+@register("year_reload", with_ctes(
+    "SELECT y.year, CAST(y.s AS DOUBLE) AS spend, CAST(p.s AS DOUBLE) AS spend_py, CAST(t.s AS DOUBLE) AS spend_12m, "
+    "(SELECT CAST(sum(amount) AS DOUBLE) FROM chg WHERE ok) AS all_cards FROM y LEFT JOIN p USING (year) LEFT JOIN t USING (year)",
+    f"chg AS (SELECT date, year, card_key, ok, CASE WHEN year = {RELOADED_YEAR} THEN 2 * amount ELSE amount END AS amount FROM att "
+    f"WHERE year <> {RELOADED_YEAR} OR channel <> '2-HIGH')",
+    "y AS (SELECT year, sum(amount) FILTER (WHERE ok) AS s FROM chg GROUP BY year)",
+    "p AS (SELECT d.year, sum(amount) AS s FROM chg JOIN date_dim d ON CAST(chg.date + INTERVAL 12 MONTH AS DATE) = d.date "
+    "WHERE ok GROUP BY d.year)",
+    "t AS (SELECT e.year, sum(amount) AS s FROM (SELECT year, max(date) AS e FROM date_dim GROUP BY year) e JOIN chg "
+    "ON chg.date > CAST(e.e - INTERVAL 12 MONTH AS DATE) AND chg.date <= e.e WHERE ok GROUP BY e.year)"))
+def year_reload(spark, src):
+    """The star written with its rollups, then one year loaded anew (amounts doubled, a channel
+    gone): the year itself, the prior year of the next, the trailing 12 months and the totals of the
+    cards all show it, as a full build would."""
+    star = KeptStar(spark, os.path.join(ensure_checkpoint_dir(spark), f"kept-{uuid.uuid4().hex}"))
+    fact = Model(spark, src).fact({"year", "date", "card_key", "channel", "ok", "amount"}).select(
+        "year", "date", "card_key", "channel", "ok", "amount")
+    star.build(fact)
+    rows = fact.where((F.col("year") == RELOADED_YEAR) & (F.col("channel") != "2-HIGH")).withColumn(
+        "amount", (F.col("amount") * 2).cast("decimal(12,2)"))
+    star.reload(RELOADED_YEAR, rows)
+    total = star.cards().agg(F.sum("spend").cast("double").alias("all_cards"))
+    return with_scalars(star.by_year().withColumn("year", F.col("year").cast("bigint")), total)
+
+
 @register("fact_union_scan", with_ctes(
     "SELECT channel, count(*) AS n FROM att GROUP BY channel"))
 def fact_union_scan(spark, src):
