@@ -22,8 +22,9 @@ from spendframe.operators.dense import with_row_number
 from spendframe.operators.joins import GuardError, anti, guard_empty, join_dim, semi, with_scalars
 from spendframe.operators.keysets import bottom_k, compared, key_set
 from spendframe.operators.shared import kept
-from spendframe.plans.binding import ONLINE_CHANNEL, Star, location_columns
+from spendframe.plans.binding import CHIP_CHANNEL, ONLINE_CHANNEL, Star, location_columns
 from spendframe.plans.flat import flat_table
+from spendframe.plans.measures import PARTS
 from spendframe.plans.oracle import with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.reload import KeptStar
@@ -642,14 +643,16 @@ def client_cards(spark, src) -> DataFrame:
     return kept(f.groupBy("client_key", "card_key").agg(F.count(F.lit(1)).alias("n")), ["client_key", "card_key", "n"])
 
 
-def population(clients: DataFrame, cards: DataFrame, pairs: DataFrame, panel) -> DataFrame:
-    """One row of population and sample counts from the masters and the fact's ``pairs``."""
+def population(clients: DataFrame, cards: DataFrame, pairs: DataFrame, panel, more=()) -> DataFrame:
+    """One row of population and sample counts from the masters and the fact's ``pairs``; ``more``:
+    further columns of the pairs, summed as population_... and sample_..."""
     client_sets = compared(key_set(clients, "client_key"), key_set(pairs, "client_key"))
     card_sets = compared(key_set(cards, "card_key"), key_set(pairs, "card_key"))
     drawn = panel(pairs)
     p = drawn.withColumnRenamed("client_key", "_p")
     sampled = pairs.join(F.broadcast(p), F.col("client_key").eqNullSafe(F.col("_p")), "left_semi")  # bounded by the panel
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    sums = lambda side: [F.sum(c).alias(f"{side}_{c}") for c in more if c != "n"]
     out = client_sets.select(
         F.col("n_a").alias("population_clients"), F.col("n_both").alias("population_clients_with_transactions"),
         (F.col("n_a") - F.col("n_both")).alias("population_clients_never_transacting"))
@@ -657,8 +660,9 @@ def population(clients: DataFrame, cards: DataFrame, pairs: DataFrame, panel) ->
         card_sets.select(F.col("n_a").alias("population_cards"), F.col("n_both").alias("population_cards_active"),
                          (F.col("n_a") - F.col("n_both")).alias("population_cards_never_transacting")),
         drawn.agg(F.count(F.lit(1)).alias("sample_clients")),
-        pairs.agg(total("n").alias("population_transactions")),
-        sampled.agg(total("n").alias("sample_transactions"), F.countDistinct("card_key").alias("sample_cards_active")),
+        pairs.agg(total("n").alias("population_transactions"), *sums("population")),
+        sampled.agg(total("n").alias("sample_transactions"), F.countDistinct("card_key").alias("sample_cards_active"),
+                    *sums("sample")),
     ]:
         out = with_scalars(out, one)
     return out
@@ -687,92 +691,100 @@ def _melt(df: DataFrame) -> DataFrame:
     return df.selectExpr(expr)
 
 
+_IN_PANEL = "client_key IN (SELECT client_key FROM panel)"
+#: Metric -> SQL of its value, in the order of the report.
+_QUALITY_SQL = {
+    "population_clients": "SELECT count(*) FROM customer",
+    "population_clients_with_transactions": "SELECT count(*) FROM (SELECT c_custkey FROM customer INTERSECT SELECT client_key FROM att)",
+    "population_clients_never_transacting": "SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT client_key FROM att)",
+    "population_cards": "SELECT count(*) FROM supplier",
+    "population_cards_never_transacting": "SELECT count(*) FROM supplier WHERE s_suppkey NOT IN (SELECT card_key FROM att)",
+    "population_transactions": "SELECT count(*) FROM att",
+    "population_transactions_labelled": "SELECT count(*) FROM att WHERE lab",
+    "population_transactions_fraud": "SELECT count(*) FROM att WHERE fr",
+    "sample_clients": "SELECT count(*) FROM panel",
+    "sample_transactions": f"SELECT count(*) FROM att WHERE {_IN_PANEL}",
+    "sample_cards_active": f"SELECT count(DISTINCT card_key) FROM att WHERE {_IN_PANEL}",
+    "sample_labelled": f"SELECT count(*) FROM att WHERE lab AND {_IN_PANEL}",
+    "sample_fraud": f"SELECT count(*) FROM att WHERE fr AND {_IN_PANEL}",
+    "sample_approved": f"SELECT count(*) FROM att WHERE ok AND {_IN_PANEL}",
+    "sample_declined": f"SELECT count(*) FROM att WHERE NOT ok AND {_IN_PANEL}",
+    "sample_decline_rate": "SELECT CAST(round(CAST(count(*) FILTER (WHERE NOT ok) AS DOUBLE) / count(*), 6) AS DECIMAL(12,6)) "
+                           f"FROM att WHERE {_IN_PANEL}",
+    "sample_spend_approved": f"SELECT sum(amount) FROM att WHERE ok AND {_IN_PANEL}",
+    "sample_spend_all_rows": f"SELECT sum(amount) FROM att WHERE {_IN_PANEL}",
+    "sample_overstatement": f"SELECT sum(amount) - sum(amount) FILTER (WHERE ok) FROM att WHERE {_IN_PANEL}",
+    "mcc_codes": "SELECT count(*) FROM part", "mcc_groups": "SELECT count(DISTINCT p_type) FROM part",
+    "date_min": "SELECT min(date) FROM att", "date_max": "SELECT max(date) FROM att",
+    "partial_final_year": "SELECT year(max(date)) FROM att", "partial_final_year_months": "SELECT month(max(date)) FROM att",
+    "fact_years": "SELECT count(DISTINCT year) FROM att",
+    "negative_amounts": "SELECT count(*) FROM att WHERE amount < 0", "zero_amounts": "SELECT count(*) FROM att WHERE amount = 0",
+    "multi_error_rows": "SELECT count(*) FROM att WHERE outcome_key = 8",
+    "approved": "SELECT count(*) FROM att WHERE ok", "declined": "SELECT count(*) FROM att WHERE NOT ok",
+    "decline_rate": "SELECT CAST(round(CAST(count(*) FILTER (WHERE NOT ok) AS DOUBLE) / count(*), 6) AS DECIMAL(12,6)) FROM att",
+    "spend_approved": "SELECT sum(amount) FROM att WHERE ok", "spend_all_rows": "SELECT sum(amount) FROM att",
+    "overstatement": "SELECT sum(amount) - sum(amount) FILTER (WHERE ok) FROM att",
+    "state_null_rows": "SELECT count(*) FROM att WHERE merchant_state IS NULL",
+    "state_null_and_online": f"SELECT count(*) FROM att WHERE merchant_state IS NULL AND channel = '{ONLINE_CHANNEL}'",
+    "state_null_not_online": f"SELECT count(*) FROM att WHERE merchant_state IS NULL AND channel <> '{ONLINE_CHANNEL}'",
+    "state_distinct": "SELECT count(DISTINCT merchant_state) FROM att",
+    "state_country_names": "SELECT count(DISTINCT merchant_state) FROM att WHERE length(merchant_state) <> 2",
+    "chip_first_month": f"SELECT min(month) FROM att WHERE channel = '{CHIP_CHANNEL}'",
+    "chip_rows_on_cards_without_a_chip": f"SELECT count(*) FROM att WHERE channel = '{CHIP_CHANNEL}' AND has_chip = 'No chip'",
+}
+
+
 @register("quality_report", with_ctes(
-    "SELECT * FROM (VALUES "
-    "('population_clients', CAST((SELECT count(*) FROM customer) AS VARCHAR)), "
-    "('population_clients_with_transactions', CAST((SELECT count(DISTINCT client_key) FROM att) "
-    "AS VARCHAR)), "
-    "('population_clients_never_transacting', CAST((SELECT count(*) FROM customer WHERE c_custkey "
-    "NOT IN (SELECT client_key FROM att)) AS VARCHAR)), "
-    "('population_cards_never_transacting', CAST((SELECT count(*) FROM supplier WHERE s_suppkey "
-    "NOT IN (SELECT card_key FROM att)) AS VARCHAR)), "
-    "('mcc_codes', CAST((SELECT count(*) FROM part) AS VARCHAR)), "
-    "('mcc_groups', CAST((SELECT count(DISTINCT p_type) FROM part) AS VARCHAR)), "
-    "('population_transactions', CAST((SELECT count(*) FROM att) AS VARCHAR)), "
-    "('sample_labelled', CAST((SELECT count(*) FROM att WHERE lab) AS VARCHAR)), "
-    "('sample_fraud', CAST((SELECT count(*) FROM att WHERE fr) AS VARCHAR)), "
-    "('sample_cards_on_file', CAST((SELECT count(*) FROM supplier) AS VARCHAR)), "
-    "('sample_cards_active', CAST((SELECT count(DISTINCT card_key) FROM att) AS VARCHAR)), "
-    "('date_min', CAST((SELECT min(date) FROM att) AS VARCHAR)), "
-    "('date_max', CAST((SELECT max(date) FROM att) AS VARCHAR)), "
-    "('negative_amounts', CAST((SELECT count(*) FROM att WHERE amount < 0) AS VARCHAR)), "
-    "('zero_amounts', CAST((SELECT count(*) FROM att WHERE amount = 0) AS VARCHAR)), "
-    "('multi_error_rows', CAST((SELECT count(*) FROM att WHERE outcome_key = 8) AS VARCHAR)), "
-    "('state_null_rows', CAST((SELECT count(*) FROM att WHERE merchant_state IS NULL) AS VARCHAR)), "
-    "('sample_approved', CAST((SELECT count(*) FROM att WHERE ok) AS VARCHAR)), "
-    "('sample_declined', CAST((SELECT count(*) FROM att WHERE NOT ok) AS VARCHAR)), "
-    "('spend_approved', CAST((SELECT sum(amount) FROM att WHERE ok) AS VARCHAR)), "
-    "('spend_all_rows', CAST((SELECT sum(amount) FROM att) AS VARCHAR)), "
-    "('partial_final_year', CAST((SELECT year(max(date)) FROM att) AS VARCHAR)), "
-    "('partial_final_year_months', CAST((SELECT month(max(date)) FROM att) AS VARCHAR)), "
-    "('population_cards', CAST((SELECT count(*) FROM supplier) AS VARCHAR)), "
-    "('fact_rows', CAST((SELECT count(*) FROM att) AS VARCHAR)), "
-    "('fact_years', CAST((SELECT count(DISTINCT year) FROM att) AS VARCHAR)), "
-    "('decline_rate', CAST((SELECT CAST(round(CAST(count(*) FILTER (WHERE NOT ok) AS DOUBLE) / "
-    "count(*), 6) AS DECIMAL(12,6)) FROM att) AS VARCHAR)), "
-    "('overstatement', CAST((SELECT sum(amount) - sum(amount) FILTER (WHERE ok) FROM att) "
-    "AS VARCHAR)), "
-    f"('state_null_and_online', CAST((SELECT count(*) FROM att WHERE merchant_state IS NULL "
-    f"AND channel = '{ONLINE_CHANNEL}') AS VARCHAR)), "
-    f"('state_null_not_online', CAST((SELECT count(*) FROM att WHERE merchant_state IS NULL "
-    f"AND channel <> '{ONLINE_CHANNEL}') AS VARCHAR))"
-    ") AS t(metric, value)"))
+    " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST(({q}) AS VARCHAR) AS value" for m, q in _QUALITY_SQL.items())
+    + " UNION ALL SELECT 'error_values: ' || errors, CAST(count(*) AS VARCHAR) FROM att WHERE errors IS NOT NULL GROUP BY errors",
+    SAMPLE_SQL))
 def quality_report(spark, src):
-    """One aggregate pass per source, melted to (metric, value)."""
+    """The load's report as (metric, value): both masters against the fact, the panel and what
+    it keeps, the fact as a whole, the state column, the chip switch, and each error text.  The fact
+    is read once, and reduced to two rollups that all metrics share: by client and card, and
+    by the columns that have few values."""
     t = Tables(spark, src)
-    m = Model(spark, src)
-    f = m.fact({"client_key", "card_key", "lab", "fr", "date", "year", "amount", "outcome_key",
-                "merchant_state", "channel", "ok"})
-    nul, online = F.col("merchant_state").isNull(), F.col("channel") == ONLINE_CHANNEL
-    fact_m = f.agg(
-        F.countDistinct("client_key").alias("population_clients_with_transactions"),
-        F.count(F.lit(1)).alias("population_transactions"),
-        F.count_if("lab").alias("sample_labelled"), F.count_if("fr").alias("sample_fraud"),
-        F.countDistinct("card_key").alias("sample_cards_active"),
-        F.min("date").alias("date_min"), F.max("date").alias("date_max"),
-        F.count_if(F.col("amount") < 0).alias("negative_amounts"),
-        F.count_if(F.col("amount") == 0).alias("zero_amounts"),
-        F.count_if(F.col("outcome_key") == len(K.ERROR_CLASS) + 1).alias("multi_error_rows"),
-        F.count_if(F.col("merchant_state").isNull()).alias("state_null_rows"),
-        F.count_if("ok").alias("sample_approved"), F.count_if(~F.col("ok")).alias("sample_declined"),
-        F.sum(F.when(F.col("ok"), F.col("amount"))).alias("spend_approved"),
-        F.sum("amount").alias("spend_all_rows"),
-        F.year(F.max("date")).alias("partial_final_year"),
-        F.month(F.max("date")).alias("partial_final_year_months"),
-        F.count(F.lit(1)).alias("fact_rows"),
-        F.countDistinct("year").alias("fact_years"),
-        F.round(F.count_if(~F.col("ok")) / F.count(F.lit(1)), 6).cast("decimal(12,6)")
-         .alias("decline_rate"),
-        (F.sum("amount") - F.sum(F.when(F.col("ok"), F.col("amount")))).alias("overstatement"),
-        F.count_if(nul & online).alias("state_null_and_online"),
-        F.count_if(nul & ~online).alias("state_null_not_online"))
-    seen_c = f.select("client_key").distinct()
-    seen_k = f.select("card_key").distinct()
-    cust = t.customer.select(F.col("c_custkey").alias("client_key"))
-    supp = t.supplier.select(F.col("s_suppkey").alias("card_key"))
-    parts = [
-        _melt(cust.agg(F.count(F.lit(1)).alias("population_clients"))),
-        _melt(anti(cust, seen_c, "client_key").agg(
-            F.count(F.lit(1)).alias("population_clients_never_transacting"))),
-        _melt(anti(supp, seen_k, "card_key").agg(
-            F.count(F.lit(1)).alias("population_cards_never_transacting"))),
-        _melt(t.part.agg(F.count(F.lit(1)).alias("mcc_codes"),
-                         F.countDistinct("p_type").alias("mcc_groups"))),
-        _melt(supp.agg(F.count(F.lit(1)).alias("sample_cards_on_file"),
-                       F.count(F.lit(1)).alias("population_cards"))),
-        _melt(fact_m),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    m = Model.over_shared(spark, src, ["client_key", "card_key", "lab", "fr", "date", "year", "month", "amount", "outcome_key",
+                                       "merchant_state", "channel", "ok", "errors", "has_chip"])
+    f = m.star._mat[0]
+    parts = {"n": "n", "lab": "n_lab", "fr": "n_fr", "ok": "n_ok", "decl": "n_decl", "spend": "spend", "all": "attempted"}
+    pairs = f.groupBy("client_key", "card_key").agg(*[PARTS[p].spark().alias(a) for a, p in parts.items()])
+    pairs = kept(pairs, ["client_key", "card_key", *parts])
+    clients, cards = _master(spark, src), t.supplier.select(F.col("s_suppkey").alias("card_key"))
+    rate = lambda d, n: F.round(F.col(d) / F.col(n), 6).cast("decimal(12,6)")
+    pop = population(clients, cards, pairs, panel=lambda p: panel(spark, src, seen=p), more=parts)
+    pop = pop.select(
+        *[c for c in _QUALITY_SQL if c in pop.columns], F.col("population_lab").alias("population_transactions_labelled"),
+        F.col("population_fr").alias("population_transactions_fraud"), F.col("sample_lab").alias("sample_labelled"),
+        F.col("sample_fr").alias("sample_fraud"), F.col("sample_ok").alias("sample_approved"),
+        F.col("sample_decl").alias("sample_declined"), rate("sample_decl", "sample_transactions").alias("sample_decline_rate"),
+        F.col("sample_spend").alias("sample_spend_approved"), F.col("sample_all").alias("sample_spend_all_rows"),
+        (F.col("sample_all") - F.col("sample_spend")).alias("sample_overstatement"),
+        F.col("population_ok").alias("approved"), F.col("population_decl").alias("declined"),
+        rate("population_decl", "population_transactions").alias("decline_rate"), F.col("population_spend").alias("spend_approved"),
+        F.col("population_all").alias("spend_all_rows"), (F.col("population_all") - F.col("population_spend")).alias("overstatement"))
+    state, chip = F.col("merchant_state"), F.col("channel") == CHIP_CHANNEL
+    low = f.groupBy("merchant_state", "channel", "errors", "month", "has_chip").agg(
+        F.count(F.lit(1)).alias("n"), F.min("date").alias("first"), F.max("date").alias("last"),
+        F.count_if(F.col("amount") < 0).alias("neg"), F.count_if(F.col("amount") == 0).alias("zero"),
+        F.count_if(F.col("outcome_key") == len(K.ERROR_CLASS) + 1).alias("multi"))
+    low = kept(low, low.columns)
+    total = lambda when, c="n": F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0))
+    facts = low.agg(
+        F.min("first").alias("date_min"), F.max("last").alias("date_max"), F.year(F.max("last")).alias("partial_final_year"),
+        F.month(F.max("last")).alias("partial_final_year_months"), F.sum("neg").alias("negative_amounts"),
+        F.sum("zero").alias("zero_amounts"), F.sum("multi").alias("multi_error_rows"), total(state.isNull()).alias("state_null_rows"),
+        total(state.isNull() & (F.col("channel") == ONLINE_CHANNEL)).alias("state_null_and_online"),
+        total(state.isNull() & (F.col("channel") != ONLINE_CHANNEL)).alias("state_null_not_online"),
+        F.min(F.when(chip, F.col("month"))).alias("chip_first_month"),
+        total(chip & (F.col("has_chip") == "No chip")).alias("chip_rows_on_cards_without_a_chip"))
+    values = distinct.counted(distinct.pair_rollup(low, [], {
+        "fact_years": F.substring("month", 1, 4), "state_distinct": state,
+        "state_country_names": F.when(F.length(state) != 2, state)}), [], ["fact_years", "state_distinct", "state_country_names"], {})
+    errors = low.groupBy("errors").agg(F.sum("n").alias("n")).where(F.col("errors").isNotNull()).select(
+        F.concat(F.lit("error_values: "), "errors").alias("metric"), F.col("n").cast("string").alias("value"))
+    codes = t.part.agg(F.count(F.lit(1)).alias("mcc_codes"), F.countDistinct("p_type").alias("mcc_groups"))
+    out = errors
+    for one in (pop, facts, values, codes):
+        out = out.unionByName(_melt(one))
     return out

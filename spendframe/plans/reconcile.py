@@ -14,7 +14,7 @@ from spendframe.plans.benchmark import GRAINS, figures_4_grains, shared_flat, sh
 from spendframe.plans.calendar import Calendar
 from spendframe.plans.flat import flat_table
 from spendframe.plans.binding import Star
-from spendframe.plans.oracle import with_ctes
+from spendframe.plans.oracle import measure_sql, with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.registry import ORACLE, QUERIES, register
 
@@ -44,16 +44,20 @@ def _summary(diff):
                                      F.count_if(~F.col("ok")).alias("mismatches"))
 
 
-FIG_KEYS_CTE = ("keys AS (SELECT DISTINCT 'year' AS g, CAST(year AS VARCHAR) AS k FROM att "
-                "UNION ALL SELECT DISTINCT 'channel', channel FROM att "
-                "UNION ALL SELECT DISTINCT 'category', category_group FROM att "
-                "UNION ALL SELECT DISTINCT 'loctype', location_type FROM att)")
-_field_values = ", ".join(f"('{f}')" for f in FIELDS)
+def _reconcile_sql() -> str:
+    """The same comparison in SQL: the figures by one formula each against the measures' own."""
+    actual = " UNION ALL ".join(
+        f"SELECT '{grain}' AS grain, CAST({key} AS VARCHAR) AS key, " + ", ".join(
+            f"{measure_sql(m)} AS {f}" for f, m in FIELD_MEASURES) + f" FROM att GROUP BY {key}" for grain, key in GRAINS)
+    fields = " UNION ALL ".join(
+        f"SELECT '{f}' AS field, e.grain IS NOT NULL AND a.grain IS NOT NULL AND coalesce(abs(CAST(e.{f} AS DOUBLE) - "
+        f"coalesce(CAST(a.{f} AS DOUBLE), 0)) <= {TOL.get(f, K.TOL_MONEY)}, false) AS ok "
+        f"FROM fig e FULL JOIN act a ON e.grain = a.grain AND e.key IS NOT DISTINCT FROM a.key" for f in FIELDS)
+    return with_ctes("SELECT field, count(*) AS checks, count(*) FILTER (WHERE NOT ok) AS mismatches "
+                     f"FROM ({fields}) GROUP BY field", f"fig AS ({ORACLE['figures_4_grains']})", f"act AS ({actual})")
 
 
-@register("reconcile_figures", with_ctes(
-    "SELECT field, (SELECT count(*) FROM keys) AS checks, CAST(0 AS BIGINT) AS mismatches "
-    f"FROM (VALUES {_field_values}) AS t(field)", FIG_KEYS_CTE))
+@register("reconcile_figures", _reconcile_sql())
 def reconcile_figures(spark, src):
     """The independent recomputation (grouping-sets pass, blanks as 0) against the
     measure layer, field by field with tolerances; NaN or one-sided keys fail."""
