@@ -446,7 +446,8 @@ class Model:
         g = placed.where(F.col("_sign").isNotNull()).groupBy(*[F.col(f"__k_{k}").alias(k) for k in keys]).agg(
             *[F.max(f"__p_{p}").alias(p) for p in every], F.sum(F.col("_sign") * F.col("_run")).alias("_sum"),
             F.sum(F.col("_sign") * F.col("_seen")).alias("_rows"))
-        return g.select(*keys, *every, F.when(F.col("_rows") > 0, F.col("_sum")).alias("spend_12m"))
+        g = g.select(*keys, *every, F.when(F.col("_rows") > 0, F.col("_sum")).alias("spend_12m"))
+        return _zero_counts(g, keys, every)
 
     @staticmethod
     def _divided(wide: DataFrame, keys: list[str], parts, where: Mapping) -> DataFrame:
