@@ -4,7 +4,10 @@ Writers hide words by look-alike characters (``m0r0n``), spacing (``m o r o n``)
 repetition (``mooooron``).  A suspicious span becomes a lattice: each character may stand
 for itself, for the letters it resembles, for nothing (a separator or a repeat), each at a
 channel cost.  Viterbi decoding picks the cheapest path under a letter-trigram model counted
-from the whole corpus.  The plain words of a text and the restored ones are then scored by
+from the whole corpus.  A separator hides inside a word or stands between two, so a span that has
+any is decoded a second time with word boundaries among the choices.  A corpus that never spaces
+a word out gives that model little to place boundaries by, so in the first reading every piece
+between two separators, up to JOINED of them wide, counts as a word too.  Spans have any length: decoding takes time in proportion to it.  The plain words of a text and the restored ones are then scored by
 a logistic model.
 
 On Spark: one pass counts letter trigrams (a fixed-size table, added up by key).  One pass over
@@ -26,6 +29,7 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -44,8 +48,12 @@ FIT_ROWS = 20_000
 LEAST_DOCUMENTS = 5
 #: Lengths in bytes of the word beginnings that are features beside whole words.
 PREFIXES = (4, 5)
-#: Longest span, in characters, that is taken for one hidden word.
-LONGEST_SPAN = 48
+#: Most separated pieces that one hidden word is made of (beside all of a span).
+JOINED = 24
+#: A longer repetition of one character reads as this many of it (no hidden letters beyond).
+REPEATED = 6
+#: Spans up to this length are remembered within a task; longer ones are decoded each time.
+REMEMBERED = 64
 FOLDS = 5
 
 #: The letters that a character resembles.
@@ -55,8 +63,9 @@ LOOKALIKES = {
     "*": "abcdefghijklmnopqrstuvwxyz",
 }
 SEPARATES = set(" .-_*~'`,/\\")
-#: Channel costs (nats): a look-alike, any letter for a star, a dropped separator or repeat, a kept repeat.
-COST_ALIKE, COST_STAR, COST_DROP, COST_REPEAT = 0.7, 1.2, 0.2, 0.3
+#: Channel costs (nats): a look-alike, any letter for a star, a dropped separator or repeat, a kept repeat,
+#: a separator that ends a word.
+COST_ALIKE, COST_STAR, COST_DROP, COST_REPEAT, COST_BOUNDARY = 0.7, 1.2, 0.2, 0.3, 1.0
 
 LETTERS = 28  # boundary, a-z, any other letter
 
@@ -71,21 +80,36 @@ _TRAILING = np.zeros(256, bool)
 _TRAILING[[ord(c) for c in "!*#&|<>(+.,;:?)%\"'-_"]] = True
 
 
+_LONG_REPEAT = re.compile(r"(.)\1{%d,}" % REPEATED, re.DOTALL)
+
+
 class Restorer:
     """Viterbi decoder of suspicious spans under letter-trigram log probabilities."""
 
     def __init__(self, logp: np.ndarray):
         self.logp = logp.reshape(LETTERS, LETTERS, LETTERS)
-        self.known: dict[str, str] = {}
+        self.known: dict[str, np.ndarray] = {}
 
-    def __call__(self, span: str) -> str:
+    def __call__(self, span: str) -> np.ndarray:
+        """The features of the words that ``span`` may hide, each once."""
         found = self.known.get(span)
         if found is None:
-            if len(self.known) >= 100_000:
-                self.known.clear()
-            found = self.known[span] = self.decode(span)
+            found = self.features(span)
+            if len(span) <= REMEMBERED:
+                if len(self.known) >= 100_000:
+                    self.known.clear()
+                self.known[span] = found
         return found
 
+    def features(self, span: str) -> np.ndarray:
+        span = _LONG_REPEAT.sub(lambda m: m[1] * REPEATED, span)
+        pieces = self.decode(span, "mark").split(" ")
+        words = {"".join(pieces)}
+        if len(pieces) > 1:
+            words.update(self.decode(span, "boundary").split())
+        return np.unique(np.concatenate([np.array([h for w in words for h in text_hashes(w)], np.uint64),
+                                         piece_hashes([x.encode() for x in pieces if x])]))
+
     def options(self, c: str, before: str) -> list[tuple[str, float]]:
         """(letter or nothing, channel cost) that a character may stand for."""
         out = []
@@ -101,30 +125,40 @@ class Restorer:
             out.append(("", COST_DROP))
         return out or [("", COST_ALIKE)]
 
-    def decode(self, span: str) -> str:
+    def decode(self, span: str, separators: str = "drop") -> str:
+        """The cheapest reading of ``span``: one word ("drop"), the same with a space wherever a
+        separator was dropped ("mark"), or any number of words with spaces between ("boundary").
+        A state (the last two letters) keeps its reading as a chain."""
         span = span.lower()
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before = ""
         for c in span:
-            following: dict[tuple[int, int], tuple[float, str]] = {}
+            following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             options = [(x, cost, (ord(x) - 96 if "a" <= x <= "z" else 27) if x else -1)
                        for x, cost in self.options(c, before)]
-            for (p, q), (total, text) in states.items():
+            if separators == "boundary" and c in SEPARATES:
+                options.append((" ", COST_BOUNDARY, 0))
+            marks = separators == "mark" and c in SEPARATES
+            for (p, q), (total, chain) in states.items():
                 for x, cost, k in options:
                     if k < 0:
-                        key, value, said = (p, q), total + cost, text
+                        key, value, said = (p, q), total + cost, (chain, " ") if marks else chain
                     else:
-                        key, value, said = (q, k), total + cost - self.logp[p, q, k], text + x
+                        key, value, said = (q, k), total + cost - self.logp[p, q, k], (chain, x)
                     if key not in following or value < following[key][0]:
                         following[key] = (value, said)
             states, before = following, c
-        return min(states.items(), key=lambda s: s[1][0] - self.logp[s[0][0], s[0][1], 0])[1][1]
+        chain = min(states.items(), key=lambda s: s[1][0] - self.logp[s[0][0], s[0][1], 0])[1][1]
+        said = []
+        while chain is not None:
+            chain, x = chain
+            said.append(x)
+        return "".join(reversed(said))
 
 
 def spans_of(buffer: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
     """(start, end, document) of suspicious spans: words with a look-alike beside letters or
-    a letter three times in a row (punctuation behind the word cut off, fewer stars than
-    other characters), and runs of three or more one-character words."""
+    a letter three times in a row (punctuation behind the word cut off), and runs of three or more one-character words."""
     start, end, doc = kernels.word_spans(buffer, offsets)
     if not len(start):
         return []
@@ -142,8 +176,6 @@ def spans_of(buffer: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
     near = np.zeros(len(buffer), bool)
     near[1:] = alike[1:] & letter[:-1]
     near[:-1] |= alike[:-1] & letter[1:]
-    stars = np.zeros(len(buffer) + 1, np.int32)
-    np.cumsum(buffer == ord("*"), out=stars[1:])
     thrice = np.zeros(len(buffer), bool)
     if len(buffer) > 2:
         thrice[2:] = letter[2:] & (buffer[2:] == buffer[1:-1]) & (buffer[2:] == buffer[:-2]) & (buffer[2:] < 128)
@@ -154,8 +186,7 @@ def spans_of(buffer: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
         dotted[4:] = letter[4:] & quiet[3:-1] & letter[2:-2] & quiet[1:-3] & letter[:-4]
     np.cumsum(near | thrice | dotted, out=both[1:])
     size = end - start
-    hit = np.flatnonzero((both[end] > both[start]) & (size <= LONGEST_SPAN) & (size >= 3)
-                         & (2 * (stars[end] - stars[start]) < size))
+    hit = np.flatnonzero((both[end] > both[start]) & (size >= 3))
     out = [(int(start[i]), int(end[i]), int(doc[i])) for i in hit]
     single = (words_end - start == 1) & (letter | alike)[start]
     same = np.zeros(len(start), bool)
@@ -163,7 +194,7 @@ def spans_of(buffer: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
     first = np.flatnonzero(single & ~same)
     stop = np.concatenate([np.flatnonzero(single & ~np.append(same[1:], False)) + 1])
     for a, b in zip(first, stop):
-        if b - a >= 3 and end[b - 1] - start[a] <= LONGEST_SPAN:
+        if b - a >= 3:
             out.append((int(start[a]), int(end[b - 1]), int(doc[a])))
     return out
 
@@ -179,6 +210,25 @@ def text_hashes(word: str) -> tuple[int, ...]:
     return (int(h[0]), *(int(x) ^ k for x, k in zip(h[1:], ends[1:])))
 
 
+def piece_hashes(pieces: list[bytes]) -> np.ndarray:
+    """The features of all words made of 1 to JOINED neighbouring ``pieces``, three bytes at least."""
+    raw = np.frombuffer(b"".join(pieces), np.uint8)
+    if len(pieces) < 2 or len(raw) < 3:
+        return np.zeros(0, np.uint64)
+    at = np.concatenate([[0], np.cumsum([len(x) for x in pieces])]).astype(np.int64)
+    of = kernels.RangeHash(raw, 3, fold_case=True)
+    out = []
+    for n in range(1, min(JOINED, len(pieces)) + 1):
+        start, end = at[:-n], at[n:]
+        some = end - start >= 3
+        out.append(of(start[some], end[some]))
+    for k in PREFIXES:
+        # a beginning is one of a longer word, as for plain words
+        start = at[:-1][at[np.minimum(np.arange(len(at) - 1) + JOINED, len(at) - 1)] - at[:-1] > k]
+        out.append(of(start, start + k) ^ np.uint64(k))
+    return np.concatenate(out)
+
+
 def word_features(buffer: np.ndarray, offsets: np.ndarray, restore: Restorer) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of every letter run, its first bytes (PREFIXES of them: a stem with
     any ending), and every restored word."""
@@ -193,7 +243,7 @@ def word_features(buffer: np.ndarray, offsets: np.ndarray, restore: Restorer) ->
         docs.append(doc[long])
     raw = buffer.tobytes()
     restored = [(h, d) for a, b, d in spans_of(buffer, offsets)
-                for h in text_hashes(restore(raw[a:b].decode("utf-8", "replace")))]
+                for h in restore(raw[a:b].decode("utf-8", "replace"))]
     if restored:
         h, d = zip(*restored)
         hashes.append(np.array(h, np.uint64))

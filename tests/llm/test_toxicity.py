@@ -21,7 +21,40 @@ def letters(spark):
     ("m0ron", "moron"), ("1diot", "idiot"), ("st*pid", "stupid"), ("tr@sh", "trash"), ("l o s e r", "loser"),
     ("c.l.o.w.n", "clown"), ("scuuuum", "scum"), ("idioooot", "idiot"), ("moron", "moron")])
 def test_restores_hidden_words(letters, hidden, plain):
-    assert X.Restorer(letters)(hidden) == plain
+    assert X.Restorer(letters).decode(hidden) == plain
+
+
+@pytest.mark.parametrize("hidden,plain", [
+    ("a l o s e r", "loser"), ("y o u m o r o n", "moron"), ("I w o r t h l e s s", "worthless"), ("l o s e r", "loser"),
+    ("y o u a r e a w o r t h l e s s l o s e r a n d t h e t h i n g i s h e r e", "worthless"), ("m0r0n/1diot", "idiot")])
+def test_words_of_a_spaced_run(letters, hidden, plain):
+    assert holds(X.Restorer(letters), hidden, plain)
+
+
+def holds(r, hidden, word):
+    return X.text_hashes(word)[0] in r(hidden).tolist()
+
+
+def test_long_spans_take_linear_time(letters):
+    r = X.Restorer(letters)
+    assert len(r.decode("m0r0n" * 4000)) == 20_000
+    starred = "m" + "*" * 100_000 + "n"
+    assert len(r(starred)) and starred not in r.known
+    assert holds(r, "a l o s e r " * 1000, "loser")
+
+
+def test_pieces_against_all_joins():
+    pieces = ["a", "mor", "on", "", "x", "\u00e9"]
+    shown = [x for x in pieces if x]
+    words = {"".join(shown[i:j]) for i in range(len(shown)) for j in range(i + 1, len(shown) + 1)}
+    wanted = {h for w in words if len(w.encode()) >= 3 for h in X.text_hashes(w)}
+    assert set(X.piece_hashes([x.encode() for x in shown]).tolist()) == wanted
+
+
+def test_mostly_starred_words_are_spans(letters):
+    text = b"such a s**t and l***r"
+    buffer = np.frombuffer(text, np.uint8)
+    assert {text[a:b] for a, b, _ in X.spans_of(buffer, np.array([0, len(buffer)]))} == {b"s**t", b"l***r"}
 
 
 def test_viterbi_finds_the_cheapest_path(letters):
@@ -91,8 +124,9 @@ def test_hidden_toxic_documents_are_rejected(spark):
     labels = read_table(spark, CHECK, "labels", "doc_id", "toxic")
     model = X.learn(docs, labels)
     made = spark.createDataFrame([(1, "the haer is a m0ron and an 1diot here"), (2, "the haer and of the thing here"),
-                                  (3, "of the w o r t h l e s s thing tr@sh")], "doc_id bigint, text string")
-    assert {r.doc_id: r.predicted for r in X.scores(made, model).collect()} == {1: 1, 2: 0, 3: 1}
+                                  (3, "of the w o r t h l e s s thing tr@sh"), (4, "the a w o r t h l e s s thing here"),
+                                  (5, "the y o u w o r t h l e s s thing here")], "doc_id bigint, text string")
+    assert {r.doc_id: r.predicted for r in X.scores(made, model).collect()} == {1: 1, 2: 0, 3: 1, 4: 1, 5: 1}
 
 
 def test_held_out_labels_are_never_read(spark):
