@@ -148,3 +148,22 @@ def test_filtered_shares_read_one_rollup(spark):
     total = f.agg(F.sum("amount")).first()[0]
     own = f.where("location_type = 'US state'").groupBy("location").agg(F.sum("amount").alias("s")).collect()
     assert {k: v for k, v in got.items() if v[0] is not None} == {r.location: (float(r.s), float(r.s) / float(total)) for r in own}
+
+
+def test_values_travel_once_per_cell_and_pairs_without_them(spark):
+    """Values stand in a lane of their own, one row per cell; for the grains all pairs of a key are
+    brought together once, so no pair is dealt out once per grain."""
+    df = spark.createDataFrame([(i % 2, f"h{i % 3}", i % 5 or None, i) for i in range(60)], "g int, h string, k int, v int")
+    values = {"n": (F.lit(1), "count"), "s": (F.col("v"), "sum")}
+    roll = distinct.pair_rollup(df, ["g", "h"], {"ks": F.col("k")}, values)
+    rows = roll.collect()
+    held = [r for r in rows if r.lane == distinct.VALUES]
+    assert len(held) == 6 and sum(r.n for r in held) == 60 and sum(r.s for r in held) == sum(range(60))
+    pairs = [r for r in rows if r.lane != distinct.VALUES]
+    assert len(pairs) == 6 * 4 and all(r.key is not None and not r.n and r.s is None for r in pairs)
+    by = distinct.by_grains(roll, [("G", "g"), ("H", "h")], ["ks"], {"n": "count", "s": "sum"})
+    assert {(r.grain, r.grain_key): (r.ks, r.n) for r in by.collect()} == {
+        **{("G", str(g)): (4, 30) for g in (0, 1)}, **{("H", f"h{h}"): (4, 20) for h in range(3)}}
+    plan = static_plan(spark, lambda: distinct.by_grains(roll, [("G", "g"), ("H", "h")], ["ks"], {"n": "count", "s": "sum"}))
+    assert "hashpartitioning(lane#" in plan and not any(
+        "hashpartitioning(grain" in line and "lane#" in line for line in plan.splitlines())
