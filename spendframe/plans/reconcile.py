@@ -17,6 +17,7 @@ from spendframe.plans.binding import Star
 from spendframe.plans.oracle import measure_sql, with_ctes
 from spendframe.plans.query import Model
 from spendframe.plans.registry import ORACLE, QUERIES, register
+from spendframe.session import size_shuffles
 
 FIELDS = ["transactions", "approved", "spend", "decline_rate", "labelled", "fraud", "fraud_10k",
           "fraud_10k_naive", "cards", "clients"]
@@ -230,7 +231,8 @@ def _profile_sql() -> str:
 @register("column_profile", _profile_sql())
 def column_profile(spark, src):
     """X8 re-aimed: the flat table's columns by what they cost, keys and timestamp included: the
-    dozen dearest."""
+    dozen dearest.  A task holds the values of its share of rows, so shares are sized by the data."""
+    size_shuffles(spark, src)
     return profile_op(flat_table(Star(spark, src)), list(PROFILE), PROFILE_TOP)
 
 

@@ -210,3 +210,22 @@ def test_eager_keeps_key_distinct_counts_exact(spark):
     assert got["always"] == got["never"]
     assert all(got["never"])
     assert "Aggregate [client_key" in plan and "line_number" not in plan
+
+
+def test_fact_join_is_sized_by_the_data(spark, monkeypatch):
+    """Tables worth more partitions than twice the cores get them, however the session is set, so
+    that the rows which one task of ``column_profile`` counts do not grow with the data."""
+    import __spark_entry__ as E
+    from spendframe import session
+    from spendframe.plans.binding import Star
+    cores, had = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    assert Star(spark, SF_SMALL).join_partitions() == 0
+    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 1024)
+    n = Star(spark, SF_SMALL).join_partitions()
+    assert n > 2 * cores
+    try:
+        plan = E.queries()["column_profile"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey#" in plan and plan.count(f", {n}\n") >= 2      # both sides of the join
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= n    # and the counts of values after it
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", had)
