@@ -167,3 +167,21 @@ def test_values_travel_once_per_cell_and_pairs_without_them(spark):
     plan = static_plan(spark, lambda: distinct.by_grains(roll, [("G", "g"), ("H", "h")], ["ks"], {"n": "count", "s": "sum"}))
     assert "hashpartitioning(lane#" in plan and not any(
         "hashpartitioning(grain" in line and "lane#" in line for line in plan.splitlines())
+
+
+def test_pairs_with_coded_cells_give_the_same_figures(spark, rows):
+    """Cells joined back by their codes, against cells that travel whole: null cells and keys,
+    a group without any key, all kinds of values, no rows."""
+    df, _ = rows
+    df = df.withColumn("k", F.when(F.col("g") == "b", F.col("k")))
+    keys = {"ks": F.col("k"), "ts": F.col("t")}
+    values = {"n": (F.lit(1), "count"), "s": (F.col("v"), "sum"), "top": (F.col("v"), "max"), "low": (F.col("v"), "min")}
+    grains, how = [("G", "g"), ("H", "h")], {n: h for n, (_, h) in values.items()}
+    want = distinct.by_grains(distinct.pair_rollup(df, ["g", "h"], keys, values), grains, list(keys), how)
+    got = distinct.coded_by_grains(df, grains, keys, values)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {(r.grain, r.grain_key): r.ks for r in got.collect()}["G", "a"] == 0
+    assert distinct.coded_by_grains(df.where("false"), grains, keys, values).collect() == []
+    plan = static_plan(spark, lambda: distinct.coded_by_grains(df, grains, {"ks": F.col("k")}, values))
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(lane#" in line]
+    assert dealt and "code#" not in dealt[0].split("hashpartitioning")[1]
