@@ -11,7 +11,8 @@ neighbours; proposals are aggregated to the K best.  Rounds end when few edges c
 Queries are answered by greedy search: the pool of a query starts with its own place in the
 graph (or with random nodes for vectors that are not in it), its unvisited best are expanded
 by a join with the graph, new vectors are compared, and the best POOL stay, until nothing new
-enters.  At last the scores of the pool are computed in double precision from the original
+enters.  A step is one write whose new vectors are gathered by one shuffle of ids, and the write
+itself counts the pools still open.  At last the scores of the pool are computed in double precision from the original
 vectors.
 
 Searching uses vectors in half precision; reported scores come from the original ones.  Every row is indexed.  Recall is
@@ -33,8 +34,9 @@ from __future__ import annotations
 from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from spendframe.llm.common import materialize, release
@@ -95,7 +97,10 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
 
 def _unit(column) -> np.ndarray:
     """Rows of packed vectors."""
-    rows = column.to_pylist()
+    return _rows(column.to_pylist())
+
+
+def _rows(rows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.float16).reshape(len(rows), -1).astype(np.float32) if rows else np.zeros(
         (0, 1), np.float32)
 
@@ -202,19 +207,28 @@ def build(vectors: DataFrame, k: int = K, rounds: int | None = None, seed: int =
     return graph
 
 
+def _sides(graph: DataFrame) -> DataFrame:
+    """(node, nbrs): the neighbours of each node, forward and backward, BLOCK a row at most, so a
+    hub with very many has several rows."""
+    links = _edges(graph).select("node", "nbr")
+    both = links.union(links.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
+    place = F.row_number().over(Window.partitionBy("node").orderBy("nbr"))
+    return both.withColumn("part", F.floor((place - 1) / BLOCK)).groupBy("node", "part").agg(
+        F.collect_list("nbr").alias("nbrs")).select("node", "nbrs")
+
+
 def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, pool: int = POOL,
            expand: int = EXPAND, steps: int | None = None) -> DataFrame:
-    """(query, node) pools after greedy search, until every node of a pool is expanded or after ``steps``; ``queries`` are nodes of the graph (node, u)."""
-    links = _edges(graph).select("node", "nbr")
-    links = materialize(links.union(links.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct(),
-                        "nn-links")
-    asked = queries.select(F.col("node").alias("query"), F.col("u").alias("q"))
+    """(query, node) pools after greedy search, until every node of a pool is expanded or after ``steps``; ``queries`` are nodes of the graph (node, u).
 
-    def compare(batches):
-        for batch in batches:
-            sims = (_unit(batch.column(2)) * _unit(batch.column(3))).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(-sims.astype(np.float64))],
-                                             names=["query", "node", "far"])
+    A step shuffles by node what the front reaches, with what the pools hold already, beside the
+    vectors, and by query what is new: few stages, since the driver keeps account of each."""
+    links = materialize(_sides(graph), "nn-links")
+    asked = materialize(queries.select(F.col("node").alias("query"), F.col("u").alias("q")), "nn-queries")
+
+    @F.pandas_udf("double")
+    def far(u: pd.Series, q: pd.Series) -> pd.Series:
+        return pd.Series(-(_rows(list(u)) * _rows(list(q))).sum(axis=1).astype(np.float64))
 
     # pool rows: (query, node, far, seen)
     state = asked.select("query", F.array(F.struct(
@@ -223,12 +237,13 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, poo
     for _ in count() if steps is None else range(steps):
         fresh = F.slice(F.filter("pool", lambda p: ~p["seen"]), 1, expand)
         front = state.select("query", F.explode(fresh).alias("p")).select("query", F.col("p.node").alias("node"))
-        reached = front.join(links, "node").select("query", F.col("nbr").alias("node")).distinct()
-        known = state.select("query", F.explode("pool.node").alias("node"))
-        reached = reached.join(known, ["query", "node"], "left_anti")
-        scored = reached.join(vectors.select("node", "u"), "node").join(asked, "query").select(
-            "query", "node", "q", "u").mapInArrow(compare, "query bigint, node bigint, far double").select(
-            "query", F.struct("far", "node", F.lit(False).alias("seen")).alias("p"))
+        reached = front.join(links, "node").select("query", F.explode("nbrs").alias("node"), F.lit(False).alias("known"))
+        known = state.select("query", F.explode("pool.node").alias("node"), F.lit(True).alias("known"))
+        # by node alone, so that the vectors' join needs no shuffle of its own
+        new = reached.union(known).repartition("node").groupBy("query", "node").agg(
+            F.max("known").alias("known")).where("NOT known").select("query", "node")
+        scored = new.join(vectors.select("node", "u"), "node").join(asked, "query").select(
+            "query", F.struct(far("u", "q").alias("far"), "node", F.lit(False).alias("seen")).alias("p"))
         came = scored.groupBy("query").agg(F.slice(F.sort_array(F.collect_list("p")), 1, pool).alias("came"))
         taken = F.transform("pool", lambda p: F.struct(
             p["far"].alias("far"), p["node"].alias("node"),
@@ -236,12 +251,13 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, k: int, poo
         merged = state.join(came, "query", "left").select("query", F.slice(F.sort_array(F.concat(
             taken, F.coalesce("came", F.expr("CAST(array() AS array<struct<far:double,node:bigint,seen:boolean>>)")))),
             1, pool + 1).alias("pool"))
-        following = materialize(merged, "nn-pool")
+        left = Observation()
+        following = materialize(merged.observe(left, F.count_if(F.exists("pool", lambda p: ~p["seen"])).alias("open")), "nn-pool")
         release(state)
         state = following
-        if state.where(F.exists("pool", lambda p: ~p["seen"])).isEmpty():
+        if not left.get["open"]:
             break
-    release(links)
+    release(links, asked)
     return state.select("query", F.explode("pool.node").alias("node")).where("query != node")
 
 

@@ -106,3 +106,30 @@ def test_very_large_and_small_vectors(spark):
     got = A.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), 5, F.col("vec_id") == 0).collect()
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [1, 3, 2]
     assert abs(got[0].score - 1) < 1e-12
+
+
+def test_a_step_has_few_shuffles_and_hubs_several_rows(spark, monkeypatch):
+    """The driver keeps account of every stage of every step, so a step has few of them."""
+    hub = spark.range(700).select(F.col("id").alias("node"), F.array(F.struct(
+        F.lit(-0.5).alias("far"), F.lit(1000).cast("bigint").alias("nbr"))).alias("best"))
+    sides = A._sides(hub).collect()
+    assert max(len(r.nbrs) for r in sides) <= A.BLOCK
+    assert sorted(n for r in sides if r.node == 1000 for n in r.nbrs) == list(range(700))
+    rng = np.random.default_rng(6)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(60, 8)))], "vec_id bigint, embedding array<double>")
+    vectors = A.distinct_vectors(A.usable(table), 5)
+    graph, shuffles, write = A.build(vectors, rounds=0), [], A.materialize
+
+    def noted(df, name):
+        if name == "nn-pool":
+            shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(df, name)
+
+    monkeypatch.setattr(A, "materialize", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        A.search(vectors, graph, vectors.where("node % 3 = 0"), 5, steps=1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert max(shuffles) <= 8
