@@ -1,5 +1,6 @@
 """Shared rollups: distinct counts, dense numbers, totals and trailing sums from one read of the fact."""
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,3 +208,13 @@ def test_answers_by_few_values_add_up_one_rollup(spark, monkeypatch, src):
     for q, rows in shared.items():
         got, alone = (sorted(map(str, E.queries()[q](spark, s).collect())) for s in (rows, SF_SMALL))
         assert got == alone, q
+
+
+@pytest.mark.parametrize("src", ["multiset_match", "quality_report"])
+def test_shared_rows_travel_without_what_follows_from_them(spark, src):
+    """Rows dealt out for several answers hold dates, keys and texts, not functions of them."""
+    plan = static_plan(spark, lambda: E.queries()[src](spark, SF_SMALL))
+    dealt = [x.split("hashpartitioning(")[1] for x in plan.splitlines() if "REPARTITION_BY_COL" in x]
+    assert dealt
+    for x in dealt:
+        assert not set(re.findall(r"(\w+)#", x)) & {"year", "month", "month_year", "lab", "fr", "client_id", "card_id"}, x
